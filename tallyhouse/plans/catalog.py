@@ -56,7 +56,8 @@ GROUP BY 1, 2, 3, 4
 
 
 def with_survey(body: str) -> str:
-    return f"WITH survey AS ({SURVEY_SQL})\n{body}"
+    """A body that starts with a comma goes on with further named tables."""
+    return f"WITH survey AS ({SURVEY_SQL}){body}" if body.lstrip().startswith(",") else f"WITH survey AS ({SURVEY_SQL})\n{body}"
 
 
 def with_silver(body: str, more: str = "") -> str:

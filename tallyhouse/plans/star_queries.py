@@ -106,7 +106,7 @@ def dimension_hierarchy(spark, sf):
          DENSE_RANK() OVER (ORDER BY year, quarter) AS period_key, score
   FROM survey)
 SELECT team_key, question_key, period_key, CAST(SUM(score) AS BIGINT) AS score_sum, COUNT(*) AS response_count
-FROM keyed GROUP BY team_key, question_key, period_key""").replace(")\n\n, keyed", "),\nkeyed"))
+FROM keyed GROUP BY team_key, question_key, period_key"""))
 def build_star(spark, sf):
     flat = survey(spark, sf).select("team_id", "team_name", "department", "question_no", "category", "year", "quarter", "score")
     star = warehouse.build_star(
@@ -184,7 +184,7 @@ SELECT project, COUNT(*) AS row_count,
        COUNT(valid_score) AS filled_valid_score, {pub('100.0 * COUNT(valid_score) / COUNT(*)', 1)} AS pct_valid_score,
        COUNT(growth_score) AS filled_growth_score, {pub('100.0 * COUNT(growth_score) / COUNT(*)', 1)} AS pct_growth_score,
        COUNT(west_q1) AS filled_west_q1, {pub('100.0 * COUNT(west_q1) / COUNT(*)', 1)} AS pct_west_q1
-FROM w GROUP BY project""").replace(")\n\n, w", "),\nw"))
+FROM w GROUP BY project"""))
 def sparsity(spark, sf):
     wide = survey(spark, sf).select(
         "project",
@@ -213,7 +213,7 @@ def filtered_mean(spark, sf):
 
 @query("weighted_mean", with_survey(f"""
 , g AS (SELECT department, category, AVG(score) AS m, COUNT(*) AS n FROM survey GROUP BY department, category)
-SELECT department, {pub('SUM(m * n) / SUM(n)')} AS weighted_mean FROM g GROUP BY department""").replace(")\n\n, g", "),\ng"))
+SELECT department, {pub('SUM(m * n) / SUM(n)')} AS weighted_mean FROM g GROUP BY department"""))
 def weighted_mean(spark, sf):
     cells = survey(spark, sf).groupBy("department", "category").agg(F.avg("score").alias("m"), F.count(F.lit(1)).alias("n"))
     return agg.weighted_mean(cells, "m", "n", ["department"])
@@ -221,7 +221,7 @@ def weighted_mean(spark, sf):
 
 @query("grain_check", with_survey(f"""
 , g AS (SELECT team_id, project, location, AVG(score) AS m, SUM(score) AS s, COUNT(*) AS n FROM survey GROUP BY team_id, project, location)
-SELECT {pub('AVG(m)')} AS avg_of_avgs, {pub('SUM(m * n) / SUM(n)')} AS weighted_mean, {pub('CAST(SUM(s) AS DOUBLE) / SUM(n)')} AS raw_mean FROM g""").replace(")\n\n, g", "),\ng"))
+SELECT {pub('AVG(m)')} AS avg_of_avgs, {pub('SUM(m * n) / SUM(n)')} AS weighted_mean, {pub('CAST(SUM(s) AS DOUBLE) / SUM(n)')} AS raw_mean FROM g"""))
 def grain_check(spark, sf):
     return agg.grain_check(survey(spark, sf), ["team_id", "project", "location"], "score")
 
@@ -229,7 +229,7 @@ def grain_check(spark, sf):
 @query("additivity_report", with_survey(f"""
 , g AS (SELECT team_id, AVG(score) AS m, COUNT(*) AS n, QUANTILE_CONT(CAST(score AS DOUBLE), 0.9) AS p FROM survey GROUP BY team_id)
 SELECT CAST(SUM(n) AS BIGINT) AS total_responses, {pub('AVG(m)')} AS unweighted_mean, {pub('SUM(m * n) / SUM(n)')} AS weighted_mean,
-       {pub('AVG(p)')} AS avg_of_percentiles, (SELECT {pub('QUANTILE_CONT(CAST(score AS DOUBLE), 0.9)')} FROM survey) AS raw_percentile FROM g""").replace(")\n\n, g", "),\ng"))
+       {pub('AVG(p)')} AS avg_of_percentiles, (SELECT {pub('QUANTILE_CONT(CAST(score AS DOUBLE), 0.9)')} FROM survey) AS raw_percentile FROM g"""))
 def additivity_report(spark, sf):
     return agg.additivity_report(survey(spark, sf), ["team_id"], "score")
 
@@ -276,7 +276,7 @@ SELECT team_id, question_no, n AS response_count, {pub('AVG(score)')} AS mean_sc
        MAX(CASE WHEN pos = n // 4 THEN score END) AS p25, MAX(CASE WHEN pos = n // 2 THEN score END) AS median,
        MAX(CASE WHEN pos = 3 * n // 4 THEN score END) AS p75,
        {', '.join(f'COUNT(CASE WHEN score = {v} THEN 1 END) AS n_{v}' for v in range(1, 6))}
-FROM r GROUP BY team_id, question_no, n""").replace(")\n\n, r", "),\nr")
+FROM r GROUP BY team_id, question_no, n""")
 
 
 @query("question_metrics", QUESTION_METRICS_SQL)
@@ -291,7 +291,7 @@ def question_metrics(spark, sf):
   SELECT question_no, score, 'location', location FROM survey)
 SELECT question_no, dimension, value, {pub('AVG(score)')} AS mean_score, COUNT(score) AS response_count,
        {', '.join(f'COUNT(CASE WHEN score = {v} THEN 1 END) AS n_{v}' for v in range(1, 6))}
-FROM long GROUP BY question_no, dimension, value""").replace(")\n\n, long", "),\nlong"))
+FROM long GROUP BY question_no, dimension, value"""))
 def dimension_slices(spark, sf):
     return agg.dimension_slices(survey(spark, sf), ["department", "project", "location"], ["question_no"], "score")
 
@@ -318,7 +318,7 @@ def cell_growth(spark, sf):
 @query("benchmark_gap", with_survey(f"""
 , g AS (SELECT team_name, {pub('AVG(score)')} AS mean_score, COUNT(*) AS response_count FROM survey GROUP BY team_name),
 b AS (SELECT {pub('AVG(score)')} AS benchmark FROM survey)
-SELECT team_name, mean_score, response_count, benchmark, {pub('mean_score - benchmark')} AS gap FROM g CROSS JOIN b""").replace(")\n\n, g", "),\ng"))
+SELECT team_name, mean_score, response_count, benchmark, {pub('mean_score - benchmark')} AS gap FROM g CROSS JOIN b"""))
 def benchmark_gap(spark, sf):
     rows = survey(spark, sf)
     return agg.with_benchmark(agg.group_means(rows, ["team_name"], "score"), rows, "score")
@@ -421,7 +421,7 @@ def expression_columns(spark, sf):
 
 @query("reduction", with_survey(f"""
 , g AS (SELECT DISTINCT team_id, category FROM survey)
-SELECT (SELECT COUNT(*) FROM survey) AS raw_rows, COUNT(*) AS gold_rows, {pub('CAST((SELECT COUNT(*) FROM survey) AS DOUBLE) / COUNT(*)')} AS reduction_factor FROM g""").replace(")\n\n, g", "),\ng"))
+SELECT (SELECT COUNT(*) FROM survey) AS raw_rows, COUNT(*) AS gold_rows, {pub('CAST((SELECT COUNT(*) FROM survey) AS DOUBLE) / COUNT(*)')} AS reduction_factor FROM g"""))
 def volume_reduction(spark, sf):
     rows = survey(spark, sf)
     return reduction(rows, agg.group_means(rows, ["team_id", "category"], "score"))
@@ -451,7 +451,7 @@ def percent_rank_departments(spark, sf):
 @query("period_trend", with_survey(f"""
 , g AS (SELECT team_name, year, quarter, {pub('AVG(score)')} AS mean_score FROM survey GROUP BY team_name, year, quarter),
 l AS (SELECT *, LAG(mean_score) OVER (PARTITION BY team_name ORDER BY year, quarter) AS prev_mean FROM g)
-SELECT *, {pub('mean_score - prev_mean')} AS change FROM l""").replace(")\n\n, g", "),\ng"))
+SELECT *, {pub('mean_score - prev_mean')} AS change FROM l"""))
 def period_trend(spark, sf):
     return ranking.period_trend(survey(spark, sf), ["team_name"], ["year", "quarter"], "score")
 
