@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("star_queries", "layer_queries", "schema_queries", "privacy_queries")
+_MODULES = ("star_queries", "layer_queries", "schema_queries", "privacy_queries", "governed_queries", "analysis_queries")
 
 
 def _load() -> None:

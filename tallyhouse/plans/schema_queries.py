@@ -147,7 +147,7 @@ def add_attribute(spark, sf):
     return reshape.questions_per_project(reshape.add_attribute(eav, new), "project")
 
 
-@query("add_json_key", "SELECT event_id, CASE WHEN event_type = 'signup' THEN 4.5 END AS new_question, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events")
+@query("add_json_key", "SELECT event_id, CASE WHEN event_type = 'signup' THEN CAST(4.5 AS DOUBLE) END AS new_question, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events")
 def add_json_key(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "event_type", "props")
     added = reshape.add_json_key(rows, "props", "new_question", F.when(F.col("event_type") == "signup", 4.5))

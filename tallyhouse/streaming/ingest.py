@@ -86,3 +86,26 @@ def drain(sdf: DataFrame, path: str, checkpoint: str) -> DataFrame:
     )
     query.awaitTermination()
     return sdf.sparkSession.read.schema(sdf.schema).parquet(path)
+
+
+def stream_split_late(sdf: DataFrame, ts: str, delay: str, path: str, checkpoint: str):
+    """Keep rows that arrive behind the watermark apart, as <path>/late next to <path>/on_time.
+
+    The watermark is the largest time of all earlier batches less the delay.
+    Each batch writes its own folders, so a replay replaces what it wrote before.
+    """
+    spark = sdf.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = None
+        if batch_id > 0:
+            earlier = [f"{path}/{side}/batch={i}" for side in ("on_time", "late") for i in range(batch_id)]
+            seen = spark.read.schema(batch.schema).parquet(*earlier).agg(F.max(ts)).first()[0]
+        if seen is None:
+            on_time, late = batch, batch.limit(0)
+        else:
+            on_time, late = split_late(batch, ts, seen, delay)
+        on_time.write.mode("overwrite").parquet(f"{path}/on_time/batch={batch_id}")
+        late.write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+
+    return sdf.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
