@@ -42,16 +42,12 @@ def group_summary(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame
 
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Several distinct counts next to the row count.
+    """Several distinct counts next to the row count, in one read of the input.
 
-    One two-phase aggregation per column: rows collapse to (keys, value) on the
-    map side, so the work is not multiplied by expanding every row.
+    Each (keys, value) pair is combined on the map side and counted in a second
+    step, so no task holds the distinct values of a whole group.
     """
-    out = df.groupBy(*keys).agg(F.count(ROWS).alias("row_count"))
-    for c in columns:
-        part = df.groupBy(*keys).agg(F.countDistinct(c).alias(f"distinct_{c}"))
-        out = null_safe_join(out, part, keys)
-    return out
+    return df.groupBy(*keys).agg(F.count(ROWS).alias("row_count"), *[F.countDistinct(c).alias(f"distinct_{c}") for c in columns])
 
 
 def sparsity(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -89,34 +85,35 @@ def grain_check(df: DataFrame, group: Sequence[str], measure: str) -> DataFrame:
 
 
 def additivity_report(df: DataFrame, group: Sequence[str], measure: str, p: float = 0.9) -> DataFrame:
-    """Which measures survive re-aggregation: counts add, means need weights, percentiles need raw rows."""
-    x = F.col(measure).cast("double")
-    cells = df.groupBy(*group).agg(F.avg(x).alias("m"), F.count(x).alias("n"))
+    """Which measures survive re-aggregation: counts add, means need weights, percentiles need the value counts.
+
+    Everything is derived from one histogram per group.
+    """
+    hist = value_counts(df, group, measure)
+    x = F.col("value").cast("double")
+    cells = hist.groupBy(*group).agg((F.sum(x * F.col("n")) / F.sum("n")).alias("m"), F.sum("n").alias("n"))
     rolled = cells.agg(
         F.sum("n").alias("total_responses"),
         publish(F.avg("m")).alias("unweighted_mean"),
         publish(F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("weighted_mean"),
     )
     name = f"p{round(p * 100)}"
-    per_group = percentiles(df, group, measure, [p])
+    per_group = percentiles(hist, group, "value", [p], weight="n")
     averaged = per_group.agg(publish(F.avg(name)).alias("avg_of_percentiles"))
-    exact = percentiles(df, [], measure, [p]).select(publish(name).alias("raw_percentile"))
+    exact = percentiles(hist, [], "value", [p], weight="n").select(publish(name).alias("raw_percentile"))
     return rolled.withColumns(
         {"avg_of_percentiles": averaged.scalar(), "raw_percentile": exact.scalar()}
     )
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
     """(keys, value, n): equal values collapse on the map side before anything is ordered."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).alias("value"))
-        .agg(F.count(ROWS).alias("n"))
-    )
+    n = F.count(ROWS) if weight is None else F.sum(weight)
+    return df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("value")).agg(n.alias("n"))
 
 
-def _ranked_values(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    counts = value_counts(df, keys, column)
+def _ranked_values(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
+    counts = value_counts(df, keys, column, weight)
     return running_total(counts, keys, ["value"], "n", value_bucket("value"), out="upto", total="total").withColumn(
         "first_pos", F.col("upto") - F.col("n")
     )
@@ -127,9 +124,14 @@ def _value_at(position: Column) -> Column:
     return F.max(F.when((F.col("first_pos") <= position) & (position < F.col("upto")), F.col("value")))
 
 
-def percentiles(df: DataFrame, keys: Sequence[str], column: str, ps: Sequence[float]) -> DataFrame:
-    """Exact linearly interpolated percentiles p<100p>, from cumulative value counts."""
-    ranked = _ranked_values(df, keys, column)
+def percentiles(
+    df: DataFrame, keys: Sequence[str], column: str, ps: Sequence[float], weight: str | None = None
+) -> DataFrame:
+    """Exact linearly interpolated percentiles p<100p>, from cumulative value counts.
+
+    `weight` names a count column when the input already is a histogram.
+    """
+    ranked = _ranked_values(df, keys, column, weight)
     aggs = []
     for p in ps:
         place = (F.col("total") - 1) * F.lit(float(p))
@@ -288,12 +290,14 @@ def cell_growth(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     return potential.join(actual, "dimensions")
 
 
-def with_benchmark(groups: DataFrame, raw: DataFrame, measure: str, mean_col: str = "mean_score") -> DataFrame:
-    """Attach the organisation mean to every group, with the gap to it."""
-    org = raw.agg(publish(mean(measure)).alias("m"))
-    return groups.withColumn("benchmark", org.scalar()).withColumn(
-        "gap", publish(F.col(mean_col) - F.col("benchmark"))
-    )
+def with_benchmark(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+    """Group means with the organisation mean and the gap to it, both from the groups' sums."""
+    x = F.col(measure).cast("double")
+    parts = df.groupBy(*keys).agg(F.sum(x).alias("_s"), F.count(x).alias("_m"), F.count(ROWS).alias("response_count"))
+    org = parts.agg(publish(F.sum("_s") / F.sum("_m")).alias("m"))
+    return parts.select(
+        *keys, publish(F.col("_s") / F.col("_m")).alias("mean_score"), "response_count", org.scalar().alias("benchmark")
+    ).withColumn("gap", publish(F.col("mean_score") - F.col("benchmark")))
 
 
 def response_rate(responses: DataFrame, roster: DataFrame, keys: Sequence[str], person: str) -> DataFrame:

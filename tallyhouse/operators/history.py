@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import path_label, publish
 from tallyhouse.operators.aggregate import mean
-from tallyhouse.operators.spread import dense_index, neighbour, row_numbers
+from tallyhouse.operators.spread import dense_index, neighbour, number_and_next
+from tallyhouse.session import pin
 
 OPEN_END = "9999-12-31"
 
@@ -107,12 +108,13 @@ def scd2_from_log(log: DataFrame, key: str, attr: str, date: str, tiebreak: Sequ
     seen = neighbour(
         last_of_day.withColumn("_row", F.lit(1)), [key], ["valid_from"], [attr, "_row"], month_cell("valid_from")
     )
-    starts = seen.filter(F.col("prev__row").isNull() | ~F.col(attr).eqNullSafe(F.col(f"prev_{attr}"))).select(
-        key, attr, "valid_from"
+    starts = pin(
+        seen.filter(F.col("prev__row").isNull() | ~F.col(attr).eqNullSafe(F.col(f"prev_{attr}"))).select(
+            key, attr, "valid_from"
+        )
     )
-    numbered = row_numbers(starts, [key], ["valid_from"], month_cell("valid_from"), out="version_no")
-    following = neighbour(numbered, [key], ["valid_from"], ["valid_from"], month_cell("valid_from"), ahead=True)
-    return following.select(
+    numbered = number_and_next(starts, [key], "valid_from", month_cell("valid_from"), "version_no", "next_valid_from")
+    return numbered.select(
         key,
         attr,
         "version_no",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.spread import dense_index, null_safe_join
 
 LITERAL_LIMIT = 10_000
+COUNTED_LIMIT = 200_000
 
 
 def star_query(
@@ -73,6 +74,11 @@ def label_lookup(df: DataFrame, labels: DataFrame, key: str, label: str) -> Data
     return named.withColumn(label, F.coalesce(F.col(label), F.col(key).cast("string")))
 
 
+def counted_side(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast for a side whose rows were counted and are few; a larger one is shuffled."""
+    return F.broadcast(df) if rows <= COUNTED_LIMIT else df
+
+
 def with_group_size(df: DataFrame, keys: Sequence[str], out: str = "group_size") -> DataFrame:
     """Row count of each row's group, NULL keys included."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
@@ -112,5 +118,5 @@ def cross_cells(dims: Sequence[DataFrame], order: Sequence[Sequence[str]]) -> Da
         cells = cells.withColumn(f"_i{i}", F.expr(f"(cell_no div {step}) % {max(sizes[i], 1)}"))
         step *= max(sizes[i], 1)
     for i, dim in enumerate(indexed):
-        cells = cells.join(dim, f"_i{i}").drop(f"_i{i}")
+        cells = cells.join(counted_side(dim, sizes[i]), f"_i{i}").drop(f"_i{i}")
     return cells

@@ -95,12 +95,15 @@ def generalize(
     """For each finest group, the mean at the finest level whose group reaches k.
 
     `hierarchy` lists the levels' columns, finest first; each level's columns are
-    a subset of the one before. Above the last level nothing is published.
+    a subset of the one before. Above the last level nothing is published. The
+    finest cells are pinned, since every level is aggregated from them.
     """
     finest = list(hierarchy[0])
     person = [count_col] if count_col else []
-    base = df.groupBy(*finest, *person).agg(
-        F.sum(F.col(measure).cast("double")).alias("_s"), F.count(measure).alias("_m"), F.count(F.lit(1)).alias("_n")
+    base = pin(
+        df.groupBy(*finest, *person).agg(
+            F.sum(F.col(measure).cast("double")).alias("_s"), F.count(measure).alias("_m"), F.count(F.lit(1)).alias("_n")
+        )
     )
     out = base.select(*finest).distinct()
     for i, level in enumerate(hierarchy):

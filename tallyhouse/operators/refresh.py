@@ -37,10 +37,12 @@ def newer_than_target(source: DataFrame, target: DataFrame, ts: str, lookback: s
     Strict mode drops late rows. `lookback` (an interval such as '3 days') re-reads a margin
     and relies on the keyed upsert to absorb repeats.
     """
-    high = target.agg(F.max(ts).alias("m")).scalar()
-    bound = high if lookback is None else high - F.expr(f"INTERVAL {lookback}")
-    past = F.col(ts) > bound if lookback is None else F.col(ts) >= bound
-    return source.filter(high.isNull() | past)
+    newest = target.agg(F.max(ts)).first()[0]
+    if newest is None:
+        return source
+    # a literal bound reaches the source's scan, a subquery would not
+    high = F.lit(str(newest)).cast(source.schema[ts].dataType)
+    return source.filter(F.col(ts) > high if lookback is None else F.col(ts) >= high - F.expr(f"INTERVAL {lookback}"))
 
 
 def incremental_load(

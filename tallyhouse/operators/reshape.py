@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tallyhouse.functions.columns import as_col, json_value, publish
 from tallyhouse.operators.compare import consistency_check
 from tallyhouse.operators.joins import categorize
+from tallyhouse.session import pin
 
 
 def wide_to_eav(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -139,6 +140,7 @@ def add_column(df: DataFrame, name: str, kind: str = "double") -> DataFrame:
 def encoding_equivalence(eav: DataFrame, ids: Sequence[str], project: str, group: str, attrs: Sequence[str]) -> DataFrame:
     """Means of the attributes per group on all four encodings, and whether they agree."""
     keys = [group]
+    eav = pin(eav)
     from_eav = eav.groupBy(*keys).agg(
         *[publish(F.avg(F.when(F.col("attribute") == a, F.col("value")))).alias(f"{a}_avg") for a in attrs]
     )

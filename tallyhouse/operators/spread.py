@@ -5,6 +5,13 @@ cells by a `cell` column that grows with the order (a month, a value bucket).
 Windows run per (key, cell); one summary row per (key, cell) carries what
 crosses a cell border. Only the summaries are windowed per key. Cells are
 computed from the row itself, so a lost and recomputed task gives equal rows.
+
+Key and cell travel as one struct column. Structs compare NULL fields as equal,
+so NULL keys form a group like any other, and the window and the join back to
+the summaries share one partitioning: the rows are shuffled once.
+
+The input is read twice, for the rows and for the narrow summary. Pin or store
+an input that is expensive to compute.
 """
 
 from __future__ import annotations
@@ -17,7 +24,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.columns import as_col
 from tallyhouse.session import pin
 
-_CELL = "_cell"
+_AT = "_at"  # struct of the keys and the cell
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -30,8 +37,24 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _before(order: Sequence[Column]):
-    return lambda keys: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def _tag(df: DataFrame, keys: Sequence[str], cell: Column) -> DataFrame:
+    return df.withColumn(_AT, F.struct(*[F.col(k) for k in keys], cell.alias("_cell")))
+
+
+def _across(keys: Sequence[str], descending: bool = False):
+    """Window over the summaries of one key, in cell order."""
+    place = F.col(f"{_AT}._cell")
+    return Window.partitionBy(*[F.col(f"{_AT}.{k}") for k in keys]).orderBy(place.desc() if descending else place.asc())
+
+
+def _earlier(value: str, keys: Sequence[str], descending: bool = False) -> Column:
+    """Sum over the cells before this one."""
+    w = _across(keys, descending).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(w), F.lit(0))
+
+
+def _whole(value: str, keys: Sequence[str]) -> Column:
+    return F.sum(value).over(Window.partitionBy(*[F.col(f"{_AT}.{k}") for k in keys]))
 
 
 def ranks(
@@ -44,22 +67,15 @@ def ranks(
     size_col: str = "group_rows",
 ) -> DataFrame:
     """SQL RANK of `value` per key and the group's row count. Equal values must share a cell."""
-    keys = list(keys)
-    tagged = df.withColumn(_CELL, cell)
-    sizes = tagged.groupBy(*keys, _CELL).agg(F.count(F.lit(1)).alias("_n"))
-    cell_order = F.col(_CELL).desc() if descending else F.col(_CELL).asc()
-    offsets = sizes.select(
-        *keys,
-        _CELL,
-        F.coalesce(F.sum("_n").over(_before([cell_order])(keys)), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias(size_col),
-    )
+    tagged = _tag(df, keys, cell)
+    sizes = tagged.groupBy(_AT).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select(_AT, _earlier("_n", keys, descending).alias("_before"), _whole("_n", keys).alias(size_col))
     order = F.col(value).desc() if descending else F.col(value).asc()
-    local = tagged.withColumn("_rank", F.rank().over(Window.partitionBy(*keys, _CELL).orderBy(order)))
+    local = tagged.withColumn("_rank", F.rank().over(Window.partitionBy(_AT).orderBy(order)))
     return (
-        null_safe_join(local, offsets, [*keys, _CELL])
+        local.join(offsets, _AT)
         .withColumn(rank_col, (F.col("_rank") + F.col("_before")).cast("bigint"))
-        .drop("_rank", "_before", _CELL)
+        .drop("_rank", "_before", _AT)
     )
 
 
@@ -73,28 +89,12 @@ def running_total(
     total: str | None = "total",
 ) -> DataFrame:
     """Cumulative sum of `amount` per key in ascending order, with the key's grand total."""
-    keys = list(keys)
-    tagged = df.withColumn(_CELL, cell)
-    sums = tagged.groupBy(*keys, _CELL).agg(F.sum(amount).alias("_s"))
-    offsets = sums.select(
-        *keys,
-        _CELL,
-        F.coalesce(F.sum("_s").over(_before([F.col(_CELL)])(keys)), F.lit(0)).alias("_before"),
-        *([F.sum("_s").over(Window.partitionBy(*keys)).alias(total)] if total else []),
-    )
-    w = Window.partitionBy(*keys, _CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    tagged = _tag(df, keys, cell)
+    sums = tagged.groupBy(_AT).agg(F.sum(amount).alias("_s"))
+    offsets = sums.select(_AT, _earlier("_s", keys).alias("_before"), *([_whole("_s", keys).alias(total)] if total else []))
+    w = Window.partitionBy(_AT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn("_local", F.sum(amount).over(w))
-    return (
-        null_safe_join(local, offsets, [*keys, _CELL])
-        .withColumn(out, F.col("_local") + F.col("_before"))
-        .drop("_local", "_before", _CELL)
-    )
-
-
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], cell: Column, out: str = "rn") -> DataFrame:
-    """1-based position per key in ascending order."""
-    numbered = running_total(df.withColumn("_one", F.lit(1)), keys, order, "_one", cell, out, total=None)
-    return numbered.drop("_one").withColumn(out, F.col(out).cast("bigint"))
+    return local.join(offsets, _AT).withColumn(out, F.col("_local") + F.col("_before")).drop("_local", "_before", _AT)
 
 
 def neighbour(
@@ -107,27 +107,42 @@ def neighbour(
     prefix: str | None = None,
 ) -> DataFrame:
     """The previous (or, with `ahead`, the next) row's columns per key; NULL at the end."""
-    keys = list(keys)
     prefix = prefix or ("next_" if ahead else "prev_")
     payload = F.struct(*[F.col(c) for c in columns])
     sort_key = F.struct(*[F.col(c) for c in order])
-    tagged = df.withColumn(_CELL, cell)
+    tagged = _tag(df, keys, cell)
     edge = F.min_by(payload, sort_key) if ahead else F.max_by(payload, sort_key)
-    edges = tagged.groupBy(*keys, _CELL).agg(edge.alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy(_CELL)
     shift = F.lead if ahead else F.lag
-    edges = edges.select(*keys, _CELL, shift("_edge").over(across).alias("_outer"))
-    inside = Window.partitionBy(*keys, _CELL).orderBy(*order)
-    local = tagged.withColumn("_inner", shift(payload).over(inside))
-    joined = null_safe_join(local, edges, [*keys, _CELL]).withColumn("_near", F.coalesce("_inner", "_outer"))
+    edges = tagged.groupBy(_AT).agg(edge.alias("_edge")).select(_AT, shift("_edge").over(_across(keys)).alias("_outer"))
+    local = tagged.withColumn("_inner", shift(payload).over(Window.partitionBy(_AT).orderBy(*order)))
+    joined = local.join(edges, _AT).withColumn("_near", F.coalesce("_inner", "_outer"))
     return joined.select(*df.columns, *[F.col(f"_near.{c}").alias(f"{prefix}{c}") for c in columns])
 
 
+def number_and_next(
+    df: DataFrame, keys: Sequence[str], order: str, cell: Column, number: str = "rn", following: str = "next"
+) -> DataFrame:
+    """1-based position per key and the next row's `order` value, in one pass over the cells."""
+    tagged = _tag(df, keys, cell)
+    summary = tagged.groupBy(_AT).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
+    offsets = summary.select(
+        _AT, _earlier("_n", keys).alias("_before"), F.lead("_first").over(_across(keys)).alias("_outer")
+    )
+    w = Window.partitionBy(_AT).orderBy(order)
+    local = tagged.withColumns({"_local": F.row_number().over(w), "_inner": F.lead(order).over(w)})
+    return local.join(offsets, _AT).select(
+        *df.columns,
+        (F.col("_local") + F.col("_before")).cast("bigint").alias(number),
+        F.coalesce("_inner", "_outer").alias(following),
+    )
+
+
 def dense_index(df: DataFrame, order: Sequence[Column | str], out: str = "idx", start: int = 0) -> DataFrame:
     """Consecutive numbers over the whole table in the given total order.
 
     Rows are range-partitioned and pinned, so positions are fixed before the
-    per-slice offsets are counted. The offsets have one row per slice.
+    per-slice offsets are counted. There is one offset per slice, as many as
+    shuffle partitions, which is the bound for sending them to every task.
     """
     order = [as_col(c) for c in order]
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -143,7 +158,7 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], out: str = "idx",
     offsets = counts.select("_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     return (
         placed.withColumn("_slice", slice_id)
-        .join(offsets, "_slice")
+        .join(F.broadcast(offsets), "_slice")
         .withColumn(out, F.col("_before") + F.col("_mid") - F.shiftleft(F.col("_slice"), local_bits) + start)
         .drop("_slice", "_mid", "_before")
     )

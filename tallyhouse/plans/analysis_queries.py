@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import stats
 from tallyhouse.plans.catalog import pub, query, with_survey
 from tallyhouse.session import scratch_path
-from tallyhouse.sources.published import read_version
 from tallyhouse.sources.schemas import EVENTS
 from tallyhouse.sources.survey import survey, table
 from tallyhouse.streaming import ingest
@@ -136,16 +135,16 @@ def stream_gold(spark, sf):
     source = ingest.stream_bronze(spark, path, EVENTS, "ts", files_per_batch=4)
     out = scratch_path(spark, "gold")
     ingest.stream_gold(source, "ts", "1 day", ["event_type"], "value", "40 days", out, scratch_path(spark, "ckpt")).awaitTermination()
-    means = ingest.published_means(read_version(spark, out), ["event_type"])
+    means = ingest.published_means(ingest.read_gold(spark, out, ["event_type"]), ["event_type"])
     return means.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("stream_late_rows", """
-WITH first_arrival AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-25 00:00:00' AND event_id % 10 <> 0)
-SELECT event_id, event_id % 10 = 0 AND ts < TIMESTAMP '2024-01-25 00:00:00' AND ts <= (SELECT MAX(ts) FROM first_arrival) - INTERVAL 3 DAY AS is_late FROM events""")
+WITH first_arrival AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-25 00:00:00' AND event_type <> 'error')
+SELECT event_id, event_type = 'error' AND ts < TIMESTAMP '2024-01-25 00:00:00' AND ts <= (SELECT MAX(ts) FROM first_arrival) - INTERVAL 3 DAY AS is_late FROM events""")
 def stream_late_rows(spark, sf):
-    """A tenth of the early events arrives with the second delivery; those past the margin are kept apart."""
-    first = (F.col("ts") < _at("25")) & (F.col("event_id") % 10 != 0)
+    """Early error events arrive with the second delivery; those past the margin are kept apart."""
+    first = (F.col("ts") < _at("25")) & (F.col("event_type") != "error")
     path = _stage(table(spark, sf, "events"), [first, ~first])
     source = ingest.stream_bronze(spark, path, EVENTS, "ts", files_per_batch=4)
     out = scratch_path(spark, "arrived")

@@ -8,6 +8,8 @@ from tallyhouse.functions.columns import publish
 from tallyhouse.operators import cache, overview
 from tallyhouse.operators.privacy import suppress
 from tallyhouse.plans.catalog import pub, query, with_survey
+from tallyhouse.session import pin, scratch_path
+from tallyhouse.sources.files import materialize
 from tallyhouse.sources.survey import survey, table, teams
 
 # ---- overviews --------------------------------------------------------------
@@ -19,22 +21,26 @@ _K = 12
 def category_scores(spark, sf):
     """Category means per team, project and period, with the scope's people, response rate and benchmark.
 
-    Rows collapse once to (scope, category, question, person); everything else
-    is derived from those cells.
+    Rows collapse once to (scope, category, question, person) cells, which are
+    stored; everything else is derived from them.
     """
     period = F.concat(F.col("year").cast("string"), F.lit("-Q"), F.col("quarter").cast("string"))
-    rows = survey(spark, sf).select(
-        "team_id", F.col("project").alias("project_id"), period.alias("time_period"), "category", "question_no", "respondent_id", "score", "submitted_at"
+    rows = materialize(
+        survey(spark, sf)
+        .groupBy("team_id", F.col("project").alias("project_id"), period.alias("time_period"), "category", "question_no", "respondent_id")
+        .agg(F.sum("score").alias("score_sum"), F.count("score").alias("score_count"), F.max("submitted_at").alias("submitted_at")),
+        scratch_path(spark, "answers"),
     )
+    mean_score = publish(F.sum("score_sum") / F.sum("score_count"))
     scope = ["team_id", "project_id", "time_period"]
     cells = rows.groupBy(*scope, "category").agg(
-        publish(F.avg("score")).alias("mean_score"), F.countDistinct("question_no").alias("question_count")
+        mean_score.alias("mean_score"), F.countDistinct("question_no").alias("question_count")
     )
     people = rows.groupBy(*scope).agg(F.countDistinct("respondent_id").alias("response_count"), F.max("submitted_at").alias("freshness"))
     invited = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("team_id"), F.col("c_mktsegment").alias("project_id")).agg(
         F.count(F.lit(1)).alias("invited")
     )
-    bench = rows.groupBy("time_period").agg(publish(F.avg("score")).alias("benchmark"))
+    bench = rows.groupBy("time_period").agg(mean_score.alias("benchmark"))
     return (
         cells.join(people, scope)
         .join(invited, ["team_id", "project_id"])
@@ -45,7 +51,7 @@ def category_scores(spark, sf):
 
 
 def overviews(spark, sf):
-    scores = category_scores(spark, sf)
+    scores = pin(category_scores(spark, sf))
     fresh = scores.groupBy(*overview.SCOPE).agg(F.max("freshness").alias("freshness"))
     projects = table(spark, sf, "customer").filter("c_mktsegment <> 'MACHINERY'").select(
         F.col("c_mktsegment").alias("project_id"), F.concat(F.lit("Project "), F.lower("c_mktsegment")).alias("project_name")
@@ -104,18 +110,18 @@ _REQUESTS = """
 
 
 @query("scope_status", with_survey(_CELLS + _REQUESTS + """
+, entitled AS (SELECT DISTINCT user_id, CAST(event_id % 27 AS INT) AS team_id FROM events WHERE event_type IN ('purchase', 'signup'))
 , judged AS (SELECT r.*, o.overall_score AS v, o.response_count AS n,
-   CASE WHEN (r.user_id + r.team_id) % 4 = 0 THEN 'not_entitled' WHEN o.team_id IS NULL THEN 'no_data' WHEN o.suppressed THEN 'suppressed'
+   CASE WHEN e.user_id IS NULL THEN 'not_entitled' WHEN o.team_id IS NULL THEN 'no_data' WHEN o.suppressed THEN 'suppressed'
         WHEN o.freshness < TIMESTAMP '2001-01-01 00:00:00' - INTERVAL 900 DAY THEN 'stale_cache' ELSE 'ok' END AS status
-   FROM requests r LEFT JOIN ov o ON o.team_id = r.team_id AND o.project_id = r.project_id AND o.time_period = r.time_period)
+   FROM requests r LEFT JOIN entitled e ON e.user_id = r.user_id AND e.team_id = r.team_id LEFT JOIN ov o ON o.team_id = r.team_id AND o.project_id = r.project_id AND o.time_period = r.time_period)
 SELECT request_id, user_id, team_id, project_id, time_period, status, CASE WHEN status IN ('ok', 'stale_cache') THEN v END AS overall_score,
        CASE WHEN status <> 'not_entitled' THEN COALESCE(n, 0) END AS response_count FROM judged"""))
 def scope_status(spark, sf):
     requests = _requests(spark, sf)
     entitled = (
-        table(spark, sf, "events").select("user_id").distinct()
-        .withColumn("team_id", F.explode(F.sequence(F.lit(0), F.lit(26))))
-        .filter((F.col("user_id") + F.col("team_id")) % 4 != 0)
+        table(spark, sf, "events").filter(F.col("event_type").isin("purchase", "signup"))
+        .select("user_id", (F.col("event_id") % 27).cast("int").alias("team_id")).distinct()
     )
     now = F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")
     return overview.resolve_status(requests, overviews(spark, sf), entitled, now, "900 DAY")
@@ -217,7 +223,7 @@ def shape_raw(spark, sf):
 @query("payload_report")
 def payload_report(spark, sf):
     """JSON size, token estimate and rating of the four shapes per team."""
-    rows = survey(spark, sf)
+    rows = materialize(survey(spark, sf), scratch_path(spark, "survey"))
     team = ["team_id"]
     shapes = {
         "A overview": overview.shape_overview(rows, team, "question_no", "category", "score"),

@@ -19,6 +19,12 @@ from tallyhouse.sources.survey import CATEGORIES, survey, table, teams
 
 # ---- layers -----------------------------------------------------------------
 
+
+def _stored_silver(spark, sf):
+    """Silver as a table, the way the layers keep it, since several results read it."""
+    return materialize(survey_silver(spark, sf), scratch_path(spark, "silver"))
+
+
 RAW_TEXT = "CASE WHEN raw_score = 0 THEN 'X' ELSE CAST(raw_score AS VARCHAR) END"
 
 
@@ -54,7 +60,7 @@ SELECT s.team_id, s.category, CASE WHEN NOT f.is_suppressed THEN {pub('AVG(s.sco
 FROM silver s JOIN flags f ON s.team_id = f.team_id JOIN nation n ON n.n_nationkey = s.team_id JOIN region r ON r.r_regionkey = n.n_regionkey
 GROUP BY s.team_id, s.category, n.n_name, r.r_name, f.is_suppressed""", _OVERVIEW))
 def team_overview_metrics(spark, sf):
-    silver = survey_silver(spark, sf)
+    silver = _stored_silver(spark, sf)
     return medallion.team_overview_metrics(silver, medallion.silver_teams(teams(spark, sf)), medallion.suppression_flags(silver, k=50))
 
 
@@ -65,7 +71,7 @@ FROM silver s JOIN flags f ON s.team_id = f.team_id JOIN nation n ON n.n_nationk
 GROUP BY s.team_id, s.category, n.n_name, r.r_name, f.is_suppressed""", _OVERVIEW))
 def team_overview_flagged(spark, sf):
     """The gold shape that marks suppressed teams and still carries their mean."""
-    silver = survey_silver(spark, sf)
+    silver = _stored_silver(spark, sf)
     return medallion.team_overview_metrics(silver, teams(spark, sf), medallion.suppression_flags(silver, k=50), mode="flag")
 
 
@@ -89,7 +95,7 @@ UNION ALL SELECT 'gold', COUNT(*) FROM (SELECT DISTINCT team_id, category FROM s
 def layer_counts(spark, sf):
     """Row counts of the three layers. Silver is stored once, as it is when the layers run."""
     bronze = survey_bronze(spark, sf)
-    silver = materialize(survey_silver(spark, sf), scratch_path(spark, "silver"))
+    silver = _stored_silver(spark, sf)
     return medallion.layer_counts({"bronze": bronze, "silver": silver, "gold": silver.select("team_id", "category").distinct()})
 
 
@@ -127,8 +133,8 @@ def _suite_sql(silver: str) -> str:
 
 def _suite_tables(spark, sf):
     known = teams(spark, sf).filter("department <> 'MIDDLE EAST'")
-    silver = materialize(survey_silver(spark, sf), scratch_path(spark, "silver"))
-    return {"silver": silver, "bronze": survey_bronze(spark, sf), "teams": known}
+    bronze = materialize(survey_bronze(spark, sf), scratch_path(spark, "bronze"))
+    return {"silver": _stored_silver(spark, sf), "bronze": bronze, "teams": known}
 
 
 @query("dq_suite", with_silver(_suite_sql("silver")))
@@ -301,19 +307,19 @@ def mv_incremental_equals_full(spark, sf):
 def incremental_load(spark, sf):
     """A target that stops early and misses some late rows catches up through the lookback margin."""
     rows = _events(spark, sf)
-    held_back = (F.col("ts") >= F.lit("2024-01-23 00:00:00").cast("timestamp_ntz")) & (F.col("event_id") % 5 == 0)
+    held_back = (F.col("ts") >= F.lit("2024-01-23 00:00:00").cast("timestamp_ntz")) & (F.col("event_type") == "error")
     target = materialize(rows.filter((F.col("ts") < _cut()) & ~held_back), scratch_path(spark, "target"))
     return refresh.incremental_load(rows, target, ["event_id"], "ts", lookback="3 days")
 
 
 @query("incremental_strict", f"""
-WITH target AS (SELECT * FROM events WHERE ts < {_CUT} AND event_id % 5 <> 0)
+WITH target AS (SELECT * FROM events WHERE ts < {_CUT} AND event_type <> 'error')
 SELECT event_id, ts, user_id, event_type, {_CENTS} AS cents FROM events
-WHERE (ts < {_CUT} AND event_id % 5 <> 0) OR ts > (SELECT MAX(ts) FROM target)""")
+WHERE (ts < {_CUT} AND event_type <> 'error') OR ts > (SELECT MAX(ts) FROM target)""")
 def incremental_strict(spark, sf):
     """Only rows past the newest stored time are taken: older rows that came late stay missing."""
     rows = _events(spark, sf)
-    target = rows.filter((F.col("ts") < _cut()) & (F.col("event_id") % 5 != 0))
+    target = rows.filter((F.col("ts") < _cut()) & (F.col("event_type") != "error"))
     return refresh.incremental_load(rows, target, ["event_id"], "ts", lookback=None)
 
 
@@ -328,13 +334,13 @@ def upsert(spark, sf):
 
 
 @query("upsert_partitions", f"""
-SELECT event_id, user_id, event_type, CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN 0 ELSE {_CENTS} END AS cents FROM events""")
+SELECT event_id, user_id, event_type, CASE WHEN event_type = 'error' AND value < 50 THEN 0 ELSE {_CENTS} END AS cents FROM events""")
 def upsert_partitions(spark, sf):
     """A keyed upsert into a partitioned table; only the partition of the changed rows is rewritten."""
     rows = _events(spark, sf).select("event_id", "user_id", "event_type", "cents")
     path = scratch_path(spark, "partitioned")
     write_parquet(rows, path, partition_by=["event_type"])
-    changed = rows.filter("event_type = 'error' AND user_id % 2 = 0").withColumn("cents", F.lit(0).cast("bigint"))
+    changed = rows.filter("event_type = 'error' AND cents < 5000").withColumn("cents", F.lit(0).cast("bigint"))
     refresh.upsert_partitions(spark, path, changed, ["event_id"], "event_type")
     return spark.read.parquet(path)
 
@@ -347,13 +353,13 @@ def update_delete(spark, sf):
     return refresh.delete_where(moved, F.col("cents") < 500)
 
 
-@query("append_rows", "SELECT event_type, COUNT(*) + COUNT(CASE WHEN user_id % 2 = 0 THEN 1 END) AS n FROM events GROUP BY event_type")
+@query("append_rows", "SELECT event_type, COUNT(*) + COUNT(CASE WHEN value < 50 THEN 1 END) AS n FROM events GROUP BY event_type")
 def append_rows(spark, sf):
-    """Bronze only grows: half the users' events are delivered twice and both copies stay."""
+    """Bronze only grows: small events are delivered twice and both copies stay."""
     rows = _events(spark, sf)
     path = scratch_path(spark, "bronze")
     write_parquet(rows, path)
-    append(rows.filter("user_id % 2 = 0"), path)
+    append(rows.filter("cents < 5000"), path)
     return spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -369,13 +375,13 @@ def metric_diff(spark, sf):
 
 
 @query("consistency_check", f"""
-WITH a AS (SELECT user_id, {pub('AVG(value)')} AS m FROM events GROUP BY user_id), b AS (SELECT user_id, {pub('AVG(value)')} AS m FROM events WHERE user_id % 7 <> 0 OR ts < {_CUT} GROUP BY user_id)
+WITH a AS (SELECT user_id, {pub('AVG(value)')} AS m FROM events GROUP BY user_id), b AS (SELECT user_id, {pub('AVG(value)')} AS m FROM events WHERE event_type <> 'error' OR ts < {_CUT} GROUP BY user_id)
 SELECT COALESCE(a.user_id, b.user_id) AS user_id, {pub('ABS(a.m - b.m)', 4)} AS delta_m, CASE WHEN a.m = b.m THEN 'MATCH' ELSE 'MISMATCH' END AS status FROM a FULL JOIN b ON a.user_id = b.user_id""")
 def consistency_check(spark, sf):
-    """Two consumers of one metric, one of them reading an old snapshot for some users."""
+    """Two consumers of one metric, one of them missing the newest errors."""
     rows = table(spark, sf, "events")
     m = lambda df: df.groupBy("user_id").agg(publish(F.avg("value")).alias("m"))
-    return compare.consistency_check(m(rows), m(rows.filter((F.col("user_id") % 7 != 0) | (F.col("ts") < _cut()))), ["user_id"], ["m"])
+    return compare.consistency_check(m(rows), m(rows.filter((F.col("event_type") != "error") | (F.col("ts") < _cut()))), ["user_id"], ["m"])
 
 
 @query("served_read", with_survey(f"SELECT team_id, category, {pub('AVG(score)')} AS mean_score, COUNT(*) AS response_count FROM survey WHERE team_id = 7 GROUP BY team_id, category"))

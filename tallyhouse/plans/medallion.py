@@ -91,19 +91,18 @@ def reject_reasons(
 ) -> DataFrame:
     """Every bronze row's fate: kept, duplicate, not a number, or out of range, with counts.
 
-    A row is a duplicate when it is not the winner of its key; winners are
-    counted per key, so copies never meet in one task.
+    `latest` must contain the score column.
+
+    One aggregation per key finds the winner and counts its copies; copies
+    combine on the map side and never meet in one task.
     """
-    value = F.col(score).try_cast("int")
-    winners = dedup_latest(bronze, [key], list(latest))
-    fate = (
-        F.when(value.isNull(), "not_a_number").when(~value.between(lo, hi), "out_of_range").otherwise("kept")
-    )
-    kept = winners.groupBy(fate.alias("reason")).agg(F.count(F.lit(1)).alias("row_count"))
-    copies = bronze.agg((F.count(F.lit(1)) - F.countDistinct(key)).alias("row_count")).select(
-        F.lit("duplicate").alias("reason"), "row_count"
-    )
-    return kept.unionByName(copies)
+    per_key = bronze.groupBy(key).agg(F.max(F.struct(*latest)).alias("_w"), F.count(F.lit(1)).alias("_n"))
+    value = F.col(f"_w.{score}").try_cast("int")
+    fate = F.when(value.isNull(), "not_a_number").when(~value.between(lo, hi), "out_of_range").otherwise("kept")
+    counts = per_key.groupBy(fate.alias("reason")).agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("_n") - 1).alias("_copies"))
+    copies = F.struct(F.lit("duplicate").alias("reason"), F.col("_copies").alias("row_count"))
+    lines = counts.select(F.inline(F.array(F.struct("reason", "row_count"), copies)))
+    return lines.groupBy("reason").agg(F.sum("row_count").alias("row_count")).filter("row_count > 0")
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:

@@ -14,6 +14,8 @@ from tallyhouse.operators.privacy import suppress
 from tallyhouse.operators.rollup import reduction
 from tallyhouse.plans.catalog import pub, query, with_survey
 from tallyhouse.plans.inputs import question_config, survey_bronze
+from tallyhouse.session import scratch_path
+from tallyhouse.sources.files import materialize
 from tallyhouse.sources.generate import generate_facts
 from tallyhouse.sources.survey import question_items, respondents, survey, table, teams
 
@@ -108,7 +110,8 @@ def dimension_hierarchy(spark, sf):
 SELECT team_key, question_key, period_key, CAST(SUM(score) AS BIGINT) AS score_sum, COUNT(*) AS response_count
 FROM keyed GROUP BY team_key, question_key, period_key"""))
 def build_star(spark, sf):
-    flat = survey(spark, sf).select("team_id", "team_name", "department", "question_no", "category", "year", "quarter", "score")
+    columns = ["team_id", "team_name", "department", "question_no", "category", "year", "quarter", "score"]
+    flat = materialize(survey(spark, sf).select(*columns), scratch_path(spark, "flat"))
     star = warehouse.build_star(
         flat,
         {"team_key": ["team_id", "team_name", "department"], "question_key": ["question_no", "category"], "period_key": ["year", "quarter"]},
@@ -320,8 +323,7 @@ def cell_growth(spark, sf):
 b AS (SELECT {pub('AVG(score)')} AS benchmark FROM survey)
 SELECT team_name, mean_score, response_count, benchmark, {pub('mean_score - benchmark')} AS gap FROM g CROSS JOIN b"""))
 def benchmark_gap(spark, sf):
-    rows = survey(spark, sf)
-    return agg.with_benchmark(agg.group_means(rows, ["team_name"], "score"), rows, "score")
+    return agg.with_benchmark(survey(spark, sf), ["team_name"], "score")
 
 
 @query("response_rate", f"""

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse.functions.columns import publish
-from tallyhouse.operators.refresh import upsert
-from tallyhouse.sources.published import latest_version, publish_version, read_version
+from tallyhouse.operators.ranking import dedup_latest
+from tallyhouse.sources.published import publish_version
 
 
 def stream_bronze(spark: SparkSession, path: str, schema: StructType, ts: str, files_per_batch: int = 1000, glob: str | None = None) -> DataFrame:
@@ -45,23 +45,16 @@ def published_means(gold: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def stream_gold(sdf: DataFrame, ts: str, window: str, keys: Sequence[str], measure: str, delay: str, out: str, checkpoint: str):
-    """Keep a published gold table up to date from the stream.
+    """Keep a gold table up to date from the stream; read it with `read_gold`.
 
-    Update mode emits each changed window; a batch is upserted into a new
-    version numbered by the batch, so a replayed batch finds its version
-    already published and changes nothing.
+    Update mode emits each changed window. A batch writes only its changed rows,
+    into a folder of its own, so a replay replaces what it wrote before and the
+    cost of a batch does not grow with the table.
     """
-    spark = sdf.sparkSession
     grouped = windowed_means(sdf.withWatermark(ts, delay), ts, window, keys, measure)
-    id_columns = ["window_start", *keys]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        done = latest_version(spark, out) or 0
-        if done >= version:
-            return
-        merged = batch if done == 0 else upsert(read_version(spark, out, done), batch, id_columns)
-        publish_version(merged, out, id_columns, version)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         grouped.writeStream.outputMode("update")
@@ -72,6 +65,16 @@ def stream_gold(sdf: DataFrame, ts: str, window: str, keys: Sequence[str], measu
     )
 
 
+def read_gold(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row per window and key over all batches."""
+    return dedup_latest(spark.read.parquet(out), ["window_start", *keys], ["batch"]).drop("batch")
+
+
+def compact_gold(spark: SparkSession, out: str, keys: Sequence[str], path: str) -> int:
+    """Publish the current state as one key-sorted version for serving."""
+    return publish_version(read_gold(spark, out, keys), path, ["window_start", *keys])
+
+
 def split_late(batch: DataFrame, ts: str, max_seen, delay: str) -> tuple[DataFrame, DataFrame]:
     """Rows newer than the watermark (largest time seen less the delay), and the late rows."""
     bound = F.lit(max_seen).cast("timestamp") - F.expr(f"INTERVAL {delay}")
@@ -91,21 +94,23 @@ def drain(sdf: DataFrame, path: str, checkpoint: str) -> DataFrame:
 def stream_split_late(sdf: DataFrame, ts: str, delay: str, path: str, checkpoint: str):
     """Keep rows that arrive behind the watermark apart, as <path>/late next to <path>/on_time.
 
-    The watermark is the largest time of all earlier batches less the delay.
-    Each batch writes its own folders, so a replay replaces what it wrote before.
+    The watermark is the largest time of all earlier batches less the delay; one
+    row per batch under <path>/seen carries it on. Each batch writes folders of
+    its own, so a replay replaces what it wrote before.
     """
     spark = sdf.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        seen = None
+        bound = None
         if batch_id > 0:
-            earlier = [f"{path}/{side}/batch={i}" for side in ("on_time", "late") for i in range(batch_id)]
-            seen = spark.read.schema(batch.schema).parquet(*earlier).agg(F.max(ts)).first()[0]
-        if seen is None:
-            on_time, late = batch, batch.limit(0)
+            bound = spark.read.parquet(f"{path}/seen/batch={batch_id - 1}").first()[0]
+        if bound is None:
+            on_time, late = batch, batch.filter(F.lit(False))
         else:
-            on_time, late = split_late(batch, ts, seen, delay)
+            on_time, late = split_late(batch, ts, bound, delay)
         on_time.write.mode("overwrite").parquet(f"{path}/on_time/batch={batch_id}")
         late.write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+        seen = batch.agg(F.greatest(F.max(ts), F.lit(bound).cast("timestamp")).alias("seen"))
+        seen.write.mode("overwrite").parquet(f"{path}/seen/batch={batch_id}")
 
     return sdf.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
