@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.columns import publish, value_bucket
 from tallyhouse.operators.spread import null_safe_join, running_total
 
-ROWS = F.lit(1)
-
-
 def mean(measure: str) -> Column:
     """Mean as double whatever the measure's numeric type."""
     return F.avg(F.col(measure).cast("double"))
@@ -21,7 +18,7 @@ def mean(measure: str) -> Column:
 
 def group_means(df: DataFrame, keys: Sequence[str], measure: str, digits: int = 2) -> DataFrame:
     return df.groupBy(*keys).agg(
-        publish(mean(measure), digits).alias("mean_score"), F.count(ROWS).alias("response_count")
+        publish(mean(measure), digits).alias("mean_score"), F.count(F.lit(1)).alias("response_count")
     )
 
 
@@ -37,7 +34,7 @@ def group_summary(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame
         F.max(x).alias("max_score"),
         publish(F.stddev_samp(x)).alias("stddev_samp"),
         publish(F.stddev_pop(x)).alias("stddev_pop"),
-        F.count(ROWS).alias("response_count"),
+        F.count(F.lit(1)).alias("response_count"),
     )
 
 
@@ -47,12 +44,12 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
     Each (keys, value) pair is combined on the map side and counted in a second
     step, so no task holds the distinct values of a whole group.
     """
-    return df.groupBy(*keys).agg(F.count(ROWS).alias("row_count"), *[F.countDistinct(c).alias(f"distinct_{c}") for c in columns])
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), *[F.countDistinct(c).alias(f"distinct_{c}") for c in columns])
 
 
 def sparsity(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Filled cells and percent filled per column."""
-    total = F.count(ROWS)
+    total = F.count(F.lit(1))
     aggs = [total.alias("row_count")]
     for c in columns:
         aggs.append(F.count(c).alias(f"filled_{c}"))
@@ -108,7 +105,7 @@ def additivity_report(df: DataFrame, group: Sequence[str], measure: str, p: floa
 
 def value_counts(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
     """(keys, value, n): equal values collapse on the map side before anything is ordered."""
-    n = F.count(ROWS) if weight is None else F.sum(weight)
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("value")).agg(n.alias("n"))
 
 
@@ -272,7 +269,7 @@ def cell_growth(df: DataFrame, dims: Sequence[str]) -> DataFrame:
         .select("_p.dimensions", "_p.cell")
         .distinct()
         .groupBy("dimensions")
-        .agg(F.count(ROWS).alias("actual_cells"))
+        .agg(F.count(F.lit(1)).alias("actual_cells"))
     )
     potential = singles.select(
         F.explode(
@@ -293,7 +290,7 @@ def cell_growth(df: DataFrame, dims: Sequence[str]) -> DataFrame:
 def with_benchmark(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """Group means with the organisation mean and the gap to it, both from the groups' sums."""
     x = F.col(measure).cast("double")
-    parts = df.groupBy(*keys).agg(F.sum(x).alias("_s"), F.count(x).alias("_m"), F.count(ROWS).alias("response_count"))
+    parts = df.groupBy(*keys).agg(F.sum(x).alias("_s"), F.count(x).alias("_m"), F.count(F.lit(1)).alias("response_count"))
     org = parts.agg(publish(F.sum("_s") / F.sum("_m")).alias("m"))
     return parts.select(
         *keys, publish(F.col("_s") / F.col("_m")).alias("mean_score"), "response_count", org.scalar().alias("benchmark")
@@ -322,7 +319,7 @@ def drill_down(fact: DataFrame, filters: dict, by: Sequence[str], measure: str)
 def hot_dimension_sets(query_log: DataFrame, dims_col: str = "dims") -> DataFrame:
     """Usage count of each dimension set, most used first, with cumulative share."""
     counts = query_log.groupBy(F.concat_ws(",", F.array_sort(dims_col)).alias("dimension_set")).agg(
-        F.count(ROWS).alias("queries")
+        F.count(F.lit(1)).alias("queries")
     )
     # one row per combination of declared dimensions, far fewer than the log
     w = Window.orderBy(F.col("queries").desc(), "dimension_set").rowsBetween(Window.unboundedPreceding, 0)

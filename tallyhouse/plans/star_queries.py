@@ -19,8 +19,9 @@ from tallyhouse.sources.files import materialize
 from tallyhouse.sources.generate import generate_facts
 from tallyhouse.sources.survey import question_items, respondents, survey, table, teams
 
-MEAN = publish(F.avg(F.col("score").cast("double"))).alias("mean_score")
-ROWS = F.count(F.lit(1)).alias("response_count")
+
+def _mean_and_rows():
+    return [publish(F.avg(F.col("score").cast("double"))).alias("mean_score"), F.count(F.lit(1)).alias("response_count")]
 
 
 def answers(spark, sf):
@@ -37,19 +38,19 @@ def answers(spark, sf):
 
 @query("star_mean_by_team", with_survey(f"SELECT team_name, {pub('AVG(score)')} AS mean_score, COUNT(*) AS response_count FROM survey GROUP BY team_name"))
 def star_mean_by_team(spark, sf):
-    return joins.star_query(answers(spark, sf), [(respondents(spark, sf), "respondent_id")], ["team_name"], [MEAN, ROWS])
+    return joins.star_query(answers(spark, sf), [(respondents(spark, sf), "respondent_id")], ["team_name"], _mean_and_rows())
 
 
 @query("star_mean_by_category", with_survey(f"SELECT category, {pub('AVG(score)')} AS mean_score, COUNT(*) AS response_count FROM survey GROUP BY category"))
 def star_mean_by_category(spark, sf):
-    return joins.star_query(answers(spark, sf), [(question_items(spark, sf), "p_partkey")], ["category"], [MEAN, ROWS])
+    return joins.star_query(answers(spark, sf), [(question_items(spark, sf), "p_partkey")], ["category"], _mean_and_rows())
 
 
 @query("star_department_category", with_survey(
     f"SELECT department, category, {pub('AVG(score)')} AS mean_score, COUNT(*) AS response_count FROM survey WHERE division = 'WEST' GROUP BY department, category"))
 def star_department_category(spark, sf):
     dims = [(respondents(spark, sf), "respondent_id"), (question_items(spark, sf), "p_partkey")]
-    return joins.star_query(answers(spark, sf), dims, ["department", "category"], [MEAN, ROWS], where=F.col("division") == "WEST")
+    return joins.star_query(answers(spark, sf), dims, ["department", "category"], _mean_and_rows(), where=F.col("division") == "WEST")
 
 
 FLAGSHIP_SQL = with_survey(f"""
@@ -61,7 +62,7 @@ FROM survey GROUP BY team_name, category""")
 
 @query("star_suppressed_team_category", FLAGSHIP_SQL)
 def star_suppressed_team_category(spark, sf):
-    rows = survey(spark, sf).groupBy("team_name", "category").agg(MEAN, F.countDistinct("respondent_id").alias("n"))
+    rows = survey(spark, sf).groupBy("team_name", "category").agg(_mean_and_rows()[0], F.countDistinct("respondent_id").alias("n"))
     return suppress(rows, "n", ["mean_score"], 4)
 
 
@@ -78,7 +79,7 @@ def _team_chain(spark, sf):
 def snowflake_division_rollup(spark, sf):
     facts = answers(spark, sf).join(
         table(spark, sf, "customer").select(F.col("c_custkey").alias("respondent_id"), F.col("c_nationkey").alias("team_id")), "respondent_id")
-    return joins.snowflake_query(facts, _team_chain(spark, sf), "team_id", ["division", "department"], [MEAN, ROWS])
+    return joins.snowflake_query(facts, _team_chain(spark, sf), "team_id", ["division", "department"], _mean_and_rows())
 
 
 @query("star_equals_snowflake", with_survey(
@@ -86,8 +87,8 @@ def snowflake_division_rollup(spark, sf):
 def star_equals_snowflake(spark, sf):
     facts = answers(spark, sf).join(
         table(spark, sf, "customer").select(F.col("c_custkey").alias("respondent_id"), F.col("c_nationkey").alias("team_id")), "respondent_id")
-    star = joins.star_query(facts, [(teams(spark, sf), "team_id")], ["division"], [MEAN, ROWS])
-    snow = joins.snowflake_query(facts, _team_chain(spark, sf), "team_id", ["division"], [MEAN, ROWS])
+    star = joins.star_query(facts, [(teams(spark, sf), "team_id")], ["division"], _mean_and_rows())
+    snow = joins.snowflake_query(facts, _team_chain(spark, sf), "team_id", ["division"], _mean_and_rows())
     return consistency_check(star, snow, ["division"], ["mean_score", "response_count"])
 
 
