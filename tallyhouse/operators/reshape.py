@@ -137,7 +137,9 @@ def add_column(df: DataFrame, name: str, kind: str = "double") -> DataFrame:
     return df.withColumn(name, F.lit(None).cast(kind))
 
 
-def encoding_equivalence(eav: DataFrame, ids: Sequence[str], project: str, group: str, attrs: Sequence[str]) -> DataFrame:
+def encoding_equivalence(
+    eav: DataFrame, ids: Sequence[str], project: str, group: str, attrs: Sequence[str], n_slots: int = 20
+) -> DataFrame:
     """Means of the attributes per group on all four encodings, and whether they agree."""
     keys = [group]
     eav = pin(eav)
@@ -148,9 +150,8 @@ def encoding_equivalence(eav: DataFrame, ids: Sequence[str], project: str, group
     from_wide = wide.groupBy(*keys).agg(*[publish(F.avg(a)).alias(f"{a}_avg") for a in attrs])
     packed = eav_to_json(eav, [*ids, group])
     from_json = packed.groupBy(*keys).agg(*[publish(F.avg(json_value("responses", a))).alias(f"{a}_avg") for a in attrs])
-    n = len(attrs)
-    slots, mapping = eav_to_slots(eav, [*ids, group], project, attrs, n_slots=n)
-    back = slots_to_eav(slots, mapping, [*ids, group], project, n_slots=n)
+    slots, mapping = eav_to_slots(eav, [*ids, group], project, attrs, n_slots)
+    back = slots_to_eav(slots, mapping, [*ids, group], project, n_slots)
     from_slots = back.groupBy(*keys).agg(
         *[publish(F.avg(F.when(F.col("attribute") == a, F.col("value")))).alias(f"{a}_avg") for a in attrs]
     )

@@ -120,10 +120,9 @@ def slots_mean(spark, sf):
 
 @query("encoding_equivalence", with_eav(f"""
 SELECT team, {pub("AVG(CASE WHEN attribute = 'click' THEN value END)")} AS click_avg, {pub("AVG(CASE WHEN attribute = 'view' THEN value END)")} AS view_avg,
-       'MATCH' AS wide_status, 'MATCH' AS json_status, 'MATCH' AS slots_status FROM eav WHERE attribute IN ('click', 'view') GROUP BY team"""))
+       'MATCH' AS wide_status, 'MATCH' AS json_status, 'MATCH' AS slots_status FROM eav GROUP BY team"""))
 def encoding_equivalence(spark, sf):
-    eav = event_eav(spark, sf).filter(F.col("attribute").isin("click", "view"))
-    return reshape.encoding_equivalence(eav, ["entity_id", "project"], "project", "team", ["click", "view"])
+    return reshape.encoding_equivalence(event_eav(spark, sf), ["entity_id", "project"], "project", "team", ["click", "view"])
 
 
 @query("eav_category_means", with_eav(f"""
