@@ -42,16 +42,15 @@ def ttl_replay(log: DataFrame, key: str, ts: str, request_id: str, ttl: int) ->
         previous.select(key, "_t", "_first_id", root.alias("_root"), F.col("prev__t").isNull().alias("_cold"))
         .join(pointers, [key, "_t"], "left")
     )
-    # a pointer that lands on a root adds nothing: roots are loads already
+    # a pointer that leaves its run lands on the next run's start, a load already: it is dropped,
+    # so every run is one chain and no moment is reached twice
     roots = nodes.filter("_root").select(key, F.col("_t").alias("_to"))
-    jumps = pin(nodes.filter(F.col("_to").isNotNull()).select(key, "_t", "_to").join(roots, [key, "_to"], "left_anti").select(key, "_t", "_to"))
-    reached = pin(nodes.filter("_root").select(key, "_t"))
-    while True:
+    inside = nodes.filter(F.col("_to").isNotNull()).join(roots, [key, "_to"], "left_anti")
+    jumps = pin(inside.select(key, "_t", "_to"))
+    reached = nodes.filter("_root").select(key, "_t")
+    while not jumps.isEmpty():
         step = reached.join(jumps, [key, "_t"]).select(key, F.col("_to").alias("_t"))
-        grown = pin(reached.unionByName(step).distinct())
-        if grown.count() == reached.count():
-            break
-        reached = grown
+        reached = pin(reached.unionByName(step))
         further = jumps.select(key, F.col("_t").alias("_to"), F.col("_to").alias("_to2"))
         jumps = pin(jumps.join(further, [key, "_to"]).select(key, "_t", F.col("_to2").alias("_to")))
     loads = nodes.join(reached, [key, "_t"], "left_semi").select(key, "_t", "_first_id", "_cold")

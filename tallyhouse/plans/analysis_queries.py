@@ -155,9 +155,8 @@ def stream_late_rows(spark, sf):
 
 @query("batch_windows", f"SELECT DATE_TRUNC('day', ts)::TIMESTAMP AS window_start, user_id, {pub('SUM(CAST(value AS DECIMAL(18,4)))::DOUBLE / COUNT(*)')} AS mean_value, COUNT(*) AS n FROM events GROUP BY 1, 2")
 def batch_windows(spark, sf):
-    rows = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    means = ingest.published_means(ingest.windowed_means(rows, "ts", "1 day", ["user_id"], "value"), ["user_id"])
-    return means.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    rows = table(spark, sf, "events")
+    return ingest.published_means(ingest.windowed_means(rows, "ts", "1 day", ["user_id"], "value"), ["user_id"])
 
 
 @query("team_attrition_signal", with_survey(f"""

@@ -14,7 +14,8 @@ from tallyhouse.plans.catalog import pub, query, with_silver, with_survey
 from tallyhouse.plans.inputs import LATEST, question_config, survey_bronze, survey_silver
 from tallyhouse.session import scratch_path
 from tallyhouse.sources import published
-from tallyhouse.sources.files import append, materialize, write_parquet
+from tallyhouse.sources.files import append, materialize, read_csv, register_view, with_audit, write_parquet
+from tallyhouse.sources.schemas import TABLES
 from tallyhouse.sources.survey import CATEGORIES, survey, table, teams
 
 # ---- layers -----------------------------------------------------------------
@@ -99,6 +100,60 @@ def layer_counts(spark, sf):
     return medallion.layer_counts({"bronze": bronze, "silver": silver, "gold": silver.select("team_id", "category").distinct()})
 
 
+@query("audited_load", "SELECT 'orders.parquet' AS source_file, COUNT(*) AS row_count, COUNT(*) AS stamped FROM orders")
+def audited_load(spark, sf):
+    """Rows per file they were read from, all with a load time."""
+    rows = with_audit(table(spark, sf, "orders"))
+    return rows.groupBy(F.substring_index("_source_file", "/", -1).alias("source_file")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("_loaded_at").alias("stamped")
+    )
+
+
+@query("csv_load", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def csv_load(spark, sf):
+    """A seed in CSV with header, read back under its declared schema."""
+    path = scratch_path(spark, "seed")
+    table(spark, sf, "customer").write.option("header", True).csv(path)
+    return read_csv(spark, path, TABLES["customer"])
+
+
+@query("view_read", f"SELECT o_orderstatus, {pub('AVG(o_totalprice)')} AS mean_price FROM orders GROUP BY o_orderstatus")
+def view_read(spark, sf):
+    register_view(table(spark, sf, "orders"), "orders_view")
+    return spark.sql("SELECT o_orderstatus, CAST(ROUND(CAST(AVG(o_totalprice) AS DECIMAL(18,6)), 2) AS DOUBLE) AS mean_price FROM orders_view GROUP BY o_orderstatus")
+
+
+_LAYERED = """
+, raw AS (SELECT CAST(response_id AS VARCHAR) AS response_id, CAST(respondent_id AS VARCHAR) AS respondent_id, CAST(team_id AS VARCHAR) AS team_id, project AS project_id,
+    CAST(question_no AS VARCHAR) AS question_id, raw_score, submitted_at, category, is_reverse_scored FROM survey)
+, clean AS (SELECT *, CASE WHEN is_reverse_scored THEN 6 - raw_score ELSE raw_score END AS score FROM (
+    SELECT raw.*, ROW_NUMBER() OVER (PARTITION BY response_id ORDER BY submitted_at DESC, respondent_id DESC, team_id DESC, project_id DESC, question_id DESC, raw_score DESC) AS rn FROM raw)
+    WHERE rn = 1 AND raw_score BETWEEN 1 AND 5)
+, flags AS (SELECT team_id, COUNT(DISTINCT respondent_id) < 4 AS is_suppressed FROM clean GROUP BY team_id)
+"""
+
+
+@query("layered_run", with_survey(_LAYERED + f"""
+SELECT c.team_id, c.category, {pub('AVG(c.score)')} AS mean_score, COUNT(*) AS response_count, COUNT(DISTINCT c.respondent_id) AS respondent_count,
+       n.n_name AS team_name, r.r_name AS department, f.is_suppressed
+FROM clean c JOIN flags f ON f.team_id = c.team_id JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = c.team_id JOIN region r ON r.r_regionkey = n.n_regionkey
+GROUP BY c.team_id, c.category, n.n_name, r.r_name, f.is_suppressed"""))
+def layered_run(spark, sf):
+    """All layers built in order from raw text tables, gated by their 26 checks and the custom one; gold is returned."""
+    text = lambda c: F.col(c).cast("string")
+    raw = survey(spark, sf).select(
+        text("response_id").alias("response_id"), text("respondent_id").alias("respondent_id"), text("team_id").alias("team_id"),
+        F.col("project").alias("project_id"), text("question_no").alias("question_id"), text("raw_score").alias("score"), text("submitted_at").alias("submitted_at"),
+    )
+    questions = question_config(spark, sf).select(
+        text("question_no").alias("question_id"), F.concat(F.lit("Question "), text("question_no")).alias("question_text"), "category", text("is_reverse_scored").alias("is_reverse_scored")
+    )
+    people = teams(spark, sf).select(text("team_id").alias("team_id"), "team_name", "department", "division")
+    path = scratch_path(spark, "layers")
+    sources = {"raw_survey_responses": materialize(raw, f"{path}/raw"), "raw_question_config": questions, "raw_team_hierarchy": people}
+    return medallion.run_layers(spark, medallion.engagement_models(), sources, path)["team_overview_metrics"]
+
+
 # ---- contracts --------------------------------------------------------------
 
 SUITE = [

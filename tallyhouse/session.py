@@ -13,7 +13,10 @@ def build_session(master: str | None = None, app: str = "tallyhouse", **conf: st
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # a hot key on the fact side of a shuffled join is split over tasks, even if that costs a shuffle after it
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",

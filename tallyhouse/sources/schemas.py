@@ -113,3 +113,39 @@ EVENTS = T.StructType(
         T.StructField("props", T.StringType()),
     ]
 )
+
+_KINDS = {
+    "int": T.IntegerType,
+    "bigint": T.LongType,
+    "double": T.DoubleType,
+    "string": T.StringType,
+    "time": T.TimestampNTZType,
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """'name kind, name kind' -> schema."""
+    pairs = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _KINDS[kind]()) for name, kind in pairs])
+
+
+# Given tables. A declared schema saves reading file footers before every query.
+TABLES = {
+    "region": _columns("r_regionkey int, r_name string"),
+    "nation": _columns("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": _columns("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    "supplier": _columns("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "part": _columns(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": _columns(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate time,"
+        " o_orderpriority string"
+    ),
+    "lineitem": _columns(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+        " l_shipdate time"
+    ),
+    "events": EVENTS,
+}

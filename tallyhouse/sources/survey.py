@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.sources.schemas import TABLES
+
 CATEGORIES = ("Basic Needs", "Individual", "Teamwork", "Growth")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables, with its declared schema."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
