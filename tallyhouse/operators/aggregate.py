@@ -111,7 +111,12 @@ def value_counts(df: DataFrame, keys: Sequence[str], column: str, weight: str |
 
 def _ranked_values(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
     counts = value_counts(df, keys, column, weight)
-    return running_total(counts, keys, ["value"], "n", value_bucket("value"), out="upto", total="total").withColumn(
+    # a log scale splits long tails, a linear one splits values that lie close together far from zero
+    bounds = counts.agg(F.struct(F.min("value").cast("double").alias("lo"), F.max("value").cast("double").alias("hi")))
+    lo, hi = bounds.scalar().lo, bounds.scalar().hi
+    linear = F.floor((F.col("value").cast("double") - lo) / F.greatest(hi - lo, F.lit(1e-300)) * 4096)
+    cell = F.struct(value_bucket("value").alias("log"), linear.alias("linear"))
+    return running_total(counts, keys, ["value"], "n", cell, out="upto", total="total").withColumn(
         "first_pos", F.col("upto") - F.col("n")
     )
 

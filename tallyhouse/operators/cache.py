@@ -13,8 +13,8 @@ from tallyhouse.session import pin
 
 
 def _ttl_cell(t: Column, ttl: int) -> Column:
-    """Cells of one TTL: the next load after a request lies in the next cell or later."""
-    return F.floor(t / F.lit(ttl * 1_000_000))
+    """Cells much shorter than the TTL, so a busy key is spread over many tasks."""
+    return F.floor(t / F.lit(max(ttl * 1_000_000 // 256, 1)))
 
 
 def ttl_replay(log: DataFrame, key: str, ts: str, request_id: str, ttl: int) -> DataFrame:

@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.columns import publish
 from tallyhouse.operators.aggregate import cardinality_profile
 from tallyhouse.operators.spread import dense_index, neighbour
-from tallyhouse.sources.files import stored_bytes, write_parquet
+from tallyhouse.sources.files import range_sorted, stored_bytes, write_parquet
 
 
 def cluster_by(df: DataFrame, columns: Sequence[str], path: str, files: int | None = None) -> DataFrame:
-    """A copy whose files hold disjoint key ranges, sorted inside each file."""
-    n = [files] if files else []
-    df.repartitionByRange(*n, *columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    """A copy whose files hold neighbouring key ranges, sorted inside each file."""
+    range_sorted(df, columns, files).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -49,11 +48,13 @@ def pruning_report(spark: SparkSession, copies: Mapping[str, str], column: str,
 def encoding_profile(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per column: distinct values, runs of equal values in the given order, and NULL share.
 
-    Rows get their place in a distributed sort; a run starts where a value
+    Equal rows lie side by side and start no run, so they collapse first. The
+    others get their place in a distributed sort; a run starts where a value
     differs from its predecessor. Places are cut into blocks, so no single task
     sees the whole order.
     """
-    placed = dense_index(df.select(*dict.fromkeys([*order, *columns])), [*order, *[c for c in columns if c not in order]], out="_pos")
+    names = list(dict.fromkeys([*order, *columns]))
+    placed = dense_index(df.select(*names).distinct(), names, out="_pos")
     seen = neighbour(placed, [], ["_pos"], [*columns, "_pos"], F.expr("_pos div 1000000"))
     starts = [
         F.count_if(F.col("prev__pos").isNull() | ~F.col(c).eqNullSafe(F.col(f"prev_{c}"))).alias(c) for c in columns

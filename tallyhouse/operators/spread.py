@@ -41,15 +41,14 @@ def _tag(df: DataFrame, keys: Sequence[str], cell: Column) -> DataFrame:
     return df.withColumn(_AT, F.struct(*[F.col(k) for k in keys], cell.alias("_cell")))
 
 
-def _across(keys: Sequence[str], descending: bool = False):
+def _across(keys: Sequence[str]):
     """Window over the summaries of one key, in cell order."""
-    place = F.col(f"{_AT}._cell")
-    return Window.partitionBy(*[F.col(f"{_AT}.{k}") for k in keys]).orderBy(place.desc() if descending else place.asc())
+    return Window.partitionBy(*[F.col(f"{_AT}.{k}") for k in keys]).orderBy(F.col(f"{_AT}._cell"))
 
 
-def _earlier(value: str, keys: Sequence[str], descending: bool = False) -> Column:
+def _earlier(value: str, keys: Sequence[str]) -> Column:
     """Sum over the cells before this one."""
-    w = _across(keys, descending).rowsBetween(Window.unboundedPreceding, -1)
+    w = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(value).over(w), F.lit(0))
 
 
@@ -57,28 +56,6 @@ def _whole(value: str, keys: Sequence[str]) -> Column:
     return F.sum(value).over(Window.partitionBy(*[F.col(f"{_AT}.{k}") for k in keys]))
 
 
-def ranks(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    cell: Column,
-    descending: bool = False,
-    rank_col: str = "rnk",
-    size_col: str = "group_rows",
-) -> DataFrame:
-    """SQL RANK of `value` per key and the group's row count. Equal values must share a cell."""
-    tagged = _tag(df, keys, cell)
-    sizes = tagged.groupBy(_AT).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(_AT, _earlier("_n", keys, descending).alias("_before"), _whole("_n", keys).alias(size_col))
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    local = tagged.withColumn("_rank", F.rank().over(Window.partitionBy(_AT).orderBy(order)))
-    return (
-        local.join(offsets, _AT)
-        .withColumn(rank_col, (F.col("_rank") + F.col("_before")).cast("bigint"))
-        .drop("_rank", "_before", _AT)
-    )
-
-
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -97,6 +74,29 @@ def running_total(
     return local.join(offsets, _AT).withColumn(out, F.col("_local") + F.col("_before")).drop("_local", "_before", _AT)
 
 
+def ranks(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    cell: Column,
+    descending: bool = False,
+    rank_col: str = "rnk",
+    size_col: str = "group_rows",
+) -> DataFrame:
+    """SQL RANK of `value` per key and the group's row count.
+
+    Ties collapse to one counted row per value before anything is ordered, so a
+    value shared by very many rows costs no more than any other. `cell` is
+    computed from `value`. NULLs rank last in descending and first in ascending order.
+    """
+    at = F.struct(*[F.col(k) for k in keys], F.col(value)).alias("_value_at")
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_total(counts, keys, [value], "_n", cell, out="_upto", total=size_col)
+    ahead = F.col(size_col) - F.col("_upto") if descending else F.col("_upto") - F.col("_n")
+    lookup = placed.select(at, (ahead + 1).cast("bigint").alias(rank_col), size_col)
+    return df.withColumn("_value_at", at).join(lookup, "_value_at").drop("_value_at")
+
+
 def neighbour(
     df: DataFrame,
     keys: Sequence[str],
@@ -138,7 +138,7 @@ def number_and_next(
 
 
 def dense_index(df: DataFrame, order: Sequence[Column | str], out: str = "idx", start: int = 0) -> DataFrame:
-    """Consecutive numbers over the whole table in the given total order.
+    """Consecutive numbers over the whole table in the given order, which should tell all rows apart.
 
     Rows are range-partitioned and pinned, so positions are fixed before the
     per-slice offsets are counted. There is one offset per slice, as many as

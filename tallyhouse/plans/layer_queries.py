@@ -222,10 +222,10 @@ def contract_checks(spark, sf):
     return run_suite({"orders": table(spark, sf, "orders"), "customer": table(spark, sf, "customer")}, contract.checks())
 
 
-@query("relationships", "SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
+@query("relationships", "SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)")
 def relationships(spark, sf):
-    """Line items whose supplier is not among those in credit."""
-    parent = table(spark, sf, "supplier").filter("s_acctbal > 0")
+    """Line items whose supplier is not among those with a large balance."""
+    parent = table(spark, sf, "supplier").filter("s_acctbal > 5000")
     return orphans(table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey"), "l_suppkey", parent, "s_suppkey")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType, VariantType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -14,13 +14,23 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+def range_sorted(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Rows in ranges of `columns`, sorted inside each range.
+
+    A hash of the whole row is the last range key, so a value with very many
+    rows is cut into several neighbouring ranges.
+    """
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType | VariantType)]
+    n = [partitions] if partitions else []
+    return df.repartitionByRange(*n, *columns, F.xxhash64(*hashable)).sortWithinPartitions(*columns)
+
+
 def write_parquet(
     df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Parquet export. With `sort_by` the rows are range-partitioned first, so files have disjoint ranges."""
+    """Parquet export. With `sort_by` the rows are range-partitioned first, so files hold narrow ranges."""
     if sort_by:
-        order = [*partition_by, *sort_by]
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df = range_sorted(df, [*partition_by, *sort_by])
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

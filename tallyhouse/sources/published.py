@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.sources.files import range_sorted
+
 _MANIFEST = "version INT, row_count BIGINT, computed_at TIMESTAMP, keys STRING"
 
 
@@ -44,8 +46,7 @@ def publish_version(df: DataFrame, path: str, keys: Sequence[str], version: int
         raise ValueError(f"version {version} is not after {newest}")
     counted = Observation()
     (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        range_sorted(df, keys)
         .observe(counted, F.count(F.lit(1)).alias("row_count"))
         .write.mode("overwrite")
         .parquet(f"{path}/data/v={version}")

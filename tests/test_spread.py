@@ -74,7 +74,7 @@ def test_rows_are_shuffled_once_for_window_and_join(skewed, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = spread.ranks(skewed, ["k"], "pos", F.floor(F.col("pos") / 17))
+        df = spread.running_total(skewed, ["k"], ["pos", "id"], "score", F.floor(F.col("pos") / 17))
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
