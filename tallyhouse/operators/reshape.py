@@ -13,6 +13,8 @@ from tallyhouse.operators.compare import consistency_check
 from tallyhouse.operators.joins import categorize
 from tallyhouse.session import pin
 
+MAX_COLUMNS = 5_000
+
 
 def wide_to_eav(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per filled cell."""
@@ -23,7 +25,10 @@ def wide_to_eav(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> Da
 def eav_to_wide(df: DataFrame, ids: Sequence[str], attrs: Sequence[str] | None = None, agg: str = "max") -> DataFrame:
     """One column per attribute. Unnamed attributes are discovered, which reads the data once more."""
     if attrs is None:
-        attrs = [r[0] for r in df.select("attribute").distinct().orderBy("attribute").collect()]
+        found = df.select("attribute").distinct().limit(MAX_COLUMNS + 1).collect()
+        if len(found) > MAX_COLUMNS:
+            raise ValueError(f"more than {MAX_COLUMNS} attributes; name the ones that become columns")
+        attrs = sorted(r[0] for r in found)
     pick = {"max": F.max, "avg": F.avg, "sum": F.sum}[agg]
     return df.groupBy(*ids).agg(*[pick(F.when(F.col("attribute") == a, F.col("value"))).alias(a) for a in attrs])
 

@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str | None = None, app: str = "tallyhouse", **conf: str) -> SparkSession:
-    """A session with adaptive execution and skew handling on. Settings passed in `conf` win."""
+BYTES_PER_TASK = 200 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Enough partitions for about 200 MB each; adaptive execution merges the ones that stay small."""
+    return max(200, -(-input_bytes // BYTES_PER_TASK))
+
+
+def build_session(
+    master: str | None = None, app: str = "tallyhouse", input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with adaptive execution and skew handling on. Settings passed in `conf` win.
+
+    `input_bytes`, the size of the largest table, sets the number of shuffle partitions.
+    """
     settings = {
+        **({"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes))} if input_bytes else {}),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         # a hot key on the fact side of a shuffled join is split over tasks, even if that costs a shuffle after it
@@ -38,7 +54,10 @@ def shared_root(spark: SparkSession) -> str:
     if named is None and current is None and not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if current is None:
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyhouse-"))
+        if named is None:
+            named = tempfile.mkdtemp(prefix="tallyhouse-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
         current = sc.getCheckpointDir()
     return named or current
 

@@ -21,9 +21,25 @@ def stream_bronze(spark: SparkSession, path: str, schema: StructType, ts: str, f
     return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def stream_dedup(sdf: DataFrame, key: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """First arrival per key within the watermark delay; state is bounded by the delay."""
-    return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
+def combine_copies(sdf: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Drop repeats of a key inside each Arrow batch, before any shuffle."""
+    names = list(key)
+
+    def first_of_each(batches):
+        for pdf in batches:
+            yield pdf.drop_duplicates(subset=names)
+
+    return sdf.mapInPandas(first_of_each, sdf.schema)
+
+
+def stream_dedup(sdf: DataFrame, key: Sequence[str], ts: str, delay: str, many_copies: bool = False) -> DataFrame:
+    """First arrival per key within the watermark delay; state is bounded by the delay.
+
+    The state of a key lives in one task. `many_copies` thins out a feed in
+    which one key repeats very often before rows are sent there.
+    """
+    rows = combine_copies(sdf, key) if many_copies else sdf
+    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def windowed_means(df: DataFrame, ts: str, window: str, keys: Sequence[str], measure: str) -> DataFrame:

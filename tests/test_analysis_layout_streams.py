@@ -113,6 +113,13 @@ def test_stream_dedup_keeps_one_row_per_id_over_batches(spark, rows, tmp_path):
     assert rows(out, "id") == [(1,), (2,), (3,)]
 
 
+def test_copies_are_thinned_before_the_shuffle_and_rows_stay_whole(spark, rows, tmp_path):
+    path = str(tmp_path / "in")
+    arrivals(spark, path, [(1, 0, "a", 1)] * 500 + [(2, 1, "b", 2)], [(1, 0, "a", 1)] * 500 + [(3, 2, "c", 3)])
+    out = ingest.drain(ingest.stream_dedup(source(spark, path), ["id"], "ts", "10 days", many_copies=True), str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert rows(out, "id", "k", "v") == [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)]
+
+
 def test_stream_gold_equals_batch_and_resumes(spark, rows, tmp_path):
     path, out, ck = str(tmp_path / "in"), str(tmp_path / "gold"), str(tmp_path / "ck")
     run = lambda: ingest.stream_gold(source(spark, path), "ts", "1 day", ["k"], "v", "30 days", out, ck).awaitTermination()

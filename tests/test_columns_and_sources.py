@@ -1,8 +1,10 @@
 import datetime as dt
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse import session
 from tallyhouse.functions import columns as c
 from tallyhouse.sources import files, published, schemas
 from tallyhouse.sources.generate import generate_facts
@@ -61,6 +63,28 @@ def test_bound_parameters_are_values(spark, rows):
     assert rows(c.run_sql(spark, "SELECT s FROM {t} WHERE s = :x", {"x": "b' OR '1'='1"}, t=df)) == [("b' OR '1'='1",)]
 
 
+def test_partitions_follow_the_input_size():
+    assert session.shuffle_partitions(10**9) == 200
+    assert session.shuffle_partitions(100 * 10**12) == 476838
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    sc = mock.Mock(master="spark://host:7077")
+    sc.getConf.return_value.get.return_value = None
+    sc.getCheckpointDir.return_value = None
+    fake = mock.Mock(sparkContext=sc)
+    fake.conf.get.return_value = None
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(fake)
+
+
+def test_a_hot_value_is_cut_into_several_files(spark, tmp_path):
+    df = spark.range(2000).withColumn("team", F.when(F.col("id") < 1500, 7).otherwise(F.col("id") % 50))
+    files.range_sorted(df, ["team"], 6).write.parquet(str(tmp_path / "t"))
+    sizes = spark.read.parquet(str(tmp_path / "t")).groupBy(F.col("_metadata.file_path")).count().agg(F.max("count")).first()[0]
+    assert sizes < 800
+
+
 def test_registered_functions(spark):
     c.register_functions(spark)
     got = spark.sql(
