@@ -13,6 +13,8 @@ from tallyhouse.operators.spread import null_safe_join
 from tallyhouse.session import pin
 from tallyhouse.sources.published import latest_version, publish_version, read_version
 
+LISTED_PARTITIONS = 1_000
+
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the target whose key is not updated, plus the updates. Keys are unique in `updates`."""
@@ -25,8 +27,13 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys:
 
     The merged rows are pinned before the write, since the write replaces files they come from.
     """
-    touched = updates.select(F.col(partition).alias("_p")).distinct()
-    affected = spark.read.parquet(path).join(touched, F.col(partition) == F.col("_p"), "left_semi")
+    stored, touched = spark.read.parquet(path), updates.select(F.col(partition).alias("_p")).distinct()
+    names = [r[0] for r in touched.limit(LISTED_PARTITIONS + 1).collect()]
+    if len(names) <= LISTED_PARTITIONS:  # a literal list prunes the scan to these folders
+        hit = F.col(partition).isin([n for n in names if n is not None])
+        affected = stored.filter(hit | F.col(partition).isNull() if None in names else hit)
+    else:
+        affected = stored.join(touched, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
     merged = pin(upsert(affected, updates.select(*affected.columns), keys))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
