@@ -18,6 +18,7 @@ _QUERIES = {
     "op1_decontamination": "decontaminate",
     "op2_packing": "packing",
     "op5_sharding": "sharding",
+    "op10_simhash": "simhash",
 }
 
 
