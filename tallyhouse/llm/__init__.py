@@ -17,7 +17,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _QUERIES = {
     "op1_decontamination": "decontaminate",
     "op2_packing": "packing",
+    "op3_url_filter": "url_filter",
+    "op4_fingerprints": "fingerprints",
     "op5_sharding": "sharding",
+    "op6_revisits": "warc",
+    "op7_toxicity": "toxicity",
     "op10_simhash": "simhash",
 }
 
