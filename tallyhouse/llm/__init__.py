@@ -22,6 +22,8 @@ _QUERIES = {
     "op5_sharding": "sharding",
     "op6_revisits": "warc",
     "op7_toxicity": "toxicity",
+    "op8_suffix_dedup": "suffix_dedup",
+    "op9_passages": "passages",
     "op10_simhash": "simhash",
 }
 
