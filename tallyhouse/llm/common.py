@@ -44,3 +44,17 @@ def batches_of(batches: Iterator[pa.RecordBatch], name: str, limit: int) -> Iter
 
 def partitions(spark: SparkSession, floor: int = 1) -> int:
     return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def with_texts(batch: pa.RecordBatch, text: str, texts: list[bytes | None], changed: list[int], chars: str | None) -> pa.RecordBatch:
+    """`batch` with new texts, and with the number of code points of the changed ones in column `chars`."""
+    columns = list(batch.columns)
+    at = batch.schema.get_field_index(text)
+    columns[at] = pa.array(texts, pa.binary()).cast(columns[at].type)
+    if chars is not None and changed:
+        at = batch.schema.get_field_index(chars)
+        counts = columns[at].to_pylist()
+        for i in changed:
+            counts[i] = len(texts[i].decode())
+        columns[at] = pa.array(counts, columns[at].type)
+    return pa.RecordBatch.from_arrays(columns, batch.schema.names)

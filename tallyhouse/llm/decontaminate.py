@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import batches_of, binaries, keyed, read
+from tallyhouse.llm.common import batches_of, binaries, keyed, read, with_texts
 from tallyhouse.llm.fm_index import FMIndex
 
 PHRASE_WORDS = 10
@@ -205,24 +205,23 @@ def contamination(
 _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first_byte", pa.int64()), ("end_byte", pa.int64())]))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """`docs` with the spans taken out of `text`, together with what separates their words.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", chars: str | None = None, **options) -> DataFrame:
+    """`docs` with the spans taken out of `text`; what separates words outside of them stays.
 
-    Clean documents are unchanged, and a document that is one whole span keeps the rest of its text.
+    Clean documents are unchanged. `chars` names a column with the texts' code points, to be kept right.
     """
     found = contamination(docs, benchmark, text=text, **options)
     kept = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text)
-            texts, spans = batch.column(at).cast(pa.binary()).to_pylist(), batch.column(batch.schema.get_field_index("_spans")).to_pylist()
-            for i, own in enumerate(spans):
-                for s in reversed(own):
+            texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
+            spans = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
+            changed = [i for i, own in enumerate(spans) if own]
+            for i in changed:
+                for s in reversed(spans[i]):
                     texts[i] = texts[i][: s["first_byte"]] + texts[i][s["end_byte"] :]
-            columns = list(batch.columns)
-            columns[at] = pa.array(texts, pa.binary()).cast(batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).select(kept)
+            yield with_texts(batch, text, texts, changed, chars).select(kept)
 
     return found.mapInArrow(cut, docs.schema)
 

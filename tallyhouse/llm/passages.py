@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import binaries, keyed, read
+from tallyhouse.llm.common import binaries, keyed, read, with_texts
 from tallyhouse.llm.repeats import CROWD, mask_of, mixed, recurring
 
 WIDTH = 35
@@ -122,19 +122,22 @@ def kept_words(data: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
     return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]), len(words), int(gone.sum())
 
 
-def drop_repeated_words(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """`docs` with the recurring words taken out of the texts that have any; other texts are unchanged."""
+def drop_repeated_words(docs: DataFrame, *, text: str = "text", chars: str | None = None, **options) -> DataFrame:
+    """`docs` with the recurring words taken out of the texts that have any; other texts are unchanged.
+
+    `chars` names a column with the texts' code points, to be kept right.
+    """
     found = repeated_words(docs, text=text, **options)
     kept = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text)
-            texts, spans = batch.column(at).cast(pa.binary()).to_pylist(), batch.column(batch.schema.get_field_index("_spans")).to_pylist()
-            texts = [kept_words(t, s)[0] if s else t for t, s in zip(texts, spans, strict=True)]
-            columns = list(batch.columns)
-            columns[at] = pa.array(texts, pa.binary()).cast(batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).select(kept)
+            texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
+            spans = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
+            changed = [i for i, own in enumerate(spans) if own]
+            for i in changed:
+                texts[i] = kept_words(texts[i], spans[i])[0]
+            yield with_texts(batch, text, texts, changed, chars).select(kept)
 
     return found.mapInArrow(run, docs.schema)
 

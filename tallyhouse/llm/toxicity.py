@@ -11,8 +11,8 @@ texts are learnt from. One task fits it. Everything else is one pass over all do
 The model has a fixed size and is sent to every task.
 
 Null or empty text has no features, and scores as the intercept says. Null labels and ids are not
-learnt from. An id with several labels counts once for each. Without rows of both labels to learn
-from, every score is 0.5 less a hair (nothing is predicted toxic). Repeated rows are scored each.
+learnt from. An id with several labels counts once for each. Without rows of both labels, or a ratio
+told from zero, every score is 0.5 less a hair (nothing is predicted toxic). Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -75,6 +75,8 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
     ratio = np.log(with_ / (toxic + 1)) - np.log(without / (clean + 1))
     error = np.sqrt(1 / with_ - 1 / (toxic + 1) + 1 / without - 1 / (clean + 1))
     kept = np.flatnonzero(np.abs(ratio) > _SENSE * error)
+    if not len(kept):
+        return np.zeros(0, np.uint32), np.zeros(0), -1e-6
     number = np.full(1 << BITS, -1)
     number[kept] = np.arange(len(kept))
     columns = [number[own] for own in rows]
