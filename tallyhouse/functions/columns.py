@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ def as_col(c: Column | str) -> Column:
 
 def publish(value: Column | str, digits: int = 2) -> Column:
     """Round half up at the published edge. The decimal step removes binary ties."""
-    return F.round(as_col(value).cast("decimal(18,6)"), digits).cast("double")
+    return F.round(as_col(value).cast("decimal(38,10)"), digits).cast("double")
 
 
 def reverse_scale(score: Column | str, flag: Column | str, lo: int = 1, hi: int = 5) -> Column:
@@ -63,12 +64,15 @@ def lcg(seed: Column | str, salt: int = 0, modulus: int = 1_000_003) -> Column:
 
 
 def json_value(doc: Column | str, key: str | Column, as_type: str = "double") -> Column:
-    """One key of a JSON object, cast; an absent key gives NULL. The key may be a column."""
+    """One key of a JSON object, cast; an absent key gives NULL. The key may be a column, and hold any
+    characters. A value that is no such number gives NULL."""
+    doc, entries = as_col(doc), lambda: F.from_json(as_col(doc), "map<string,string>")
     if isinstance(key, str):
-        text = F.get_json_object(as_col(doc), f"$.{key}")
+        text = F.try_element_at(entries(), F.lit(key)) if re.search(r"['?]", key) else F.get_json_object(doc, f"$['{key}']")
     else:
-        text = F.call_function("get_json_object", as_col(doc), F.concat(F.lit("$."), key))
-    return text.cast(as_type)
+        plain = F.call_function("get_json_object", doc, F.concat(F.lit("$['"), key, F.lit("']")))
+        text = F.when(key.rlike("['?]"), F.try_element_at(entries(), key)).otherwise(plain)
+    return text.try_cast(as_type)
 
 
 def json_keys(doc: Column | str) -> Column:
@@ -76,7 +80,7 @@ def json_keys(doc: Column | str) -> Column:
 
 
 def json_has_key(doc: Column | str, key: str) -> Column:
-    return F.get_json_object(as_col(doc), f"$.{key}").isNotNull()
+    return json_value(doc, key, "string").isNotNull()
 
 
 def value_bucket(value: Column | str, per_octave: int = 16) -> Column:
@@ -108,10 +112,6 @@ def reject_uncastable(df: DataFrame, column: str, kind: str) -> tuple[DataFrame,
     return good, bad
 
 
-def in_range(df: DataFrame, column: str, lo, hi) -> DataFrame:
-    return df.filter(F.col(column).between(lo, hi))
-
-
 def run_sql(spark: SparkSession, text: str, args: Mapping | None = None, **frames: DataFrame) -> DataFrame:
     """SQL with bound parameters and DataFrame references ({name} in the text)."""
     return spark.sql(text, args=dict(args or {}), **frames)

@@ -66,7 +66,7 @@ def pivot_eav(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], attr: st
 
 
 def weighted_mean(df: DataFrame, mean_col: str, n_col: str, keys: Sequence[str] = ()) -> DataFrame:
-    weighted = F.sum(F.col(mean_col) * F.col(n_col)) / F.sum(n_col)
+    weighted = F.try_divide(F.sum(F.col(mean_col) * F.col(n_col)), F.sum(n_col))
     return df.groupBy(*keys).agg(publish(weighted).alias("weighted_mean"))
 
 
@@ -76,8 +76,8 @@ def grain_check(df: DataFrame, group: Sequence[str], measure: str) -> DataFrame:
     per_group = df.groupBy(*group).agg(F.avg(x).alias("m"), F.sum(x).alias("s"), F.count(x).alias("n"))
     return per_group.agg(
         publish(F.avg("m")).alias("avg_of_avgs"),
-        publish(F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("weighted_mean"),
-        publish(F.sum("s") / F.sum("n")).alias("raw_mean"),
+        publish(F.try_divide(F.sum(F.col("m") * F.col("n")), F.sum("n"))).alias("weighted_mean"),
+        publish(F.try_divide(F.sum("s"), F.sum("n"))).alias("raw_mean"),
     )
 
 
@@ -88,11 +88,11 @@ def additivity_report(df: DataFrame, group: Sequence[str], measure: str, p: floa
     """
     hist = value_counts(df, group, measure)
     x = F.col("value").cast("double")
-    cells = hist.groupBy(*group).agg((F.sum(x * F.col("n")) / F.sum("n")).alias("m"), F.sum("n").alias("n"))
+    cells = hist.groupBy(*group).agg(F.try_divide(F.sum(x * F.col("n")), F.sum("n")).alias("m"), F.sum("n").alias("n"))
     rolled = cells.agg(
         F.sum("n").alias("total_responses"),
         publish(F.avg("m")).alias("unweighted_mean"),
-        publish(F.sum(F.col("m") * F.col("n")) / F.sum("n")).alias("weighted_mean"),
+        publish(F.try_divide(F.sum(F.col("m") * F.col("n")), F.sum("n"))).alias("weighted_mean"),
     )
     name = f"p{round(p * 100)}"
     per_group = percentiles(hist, group, "value", [p], weight="n")
@@ -173,7 +173,7 @@ def distribution(df: DataFrame, keys: Sequence[str], column: str, domain: Sequen
 
 def favorability(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     x = F.col(column)
-    pct = lambda cond: publish(F.lit(100.0) * F.count_if(cond) / F.count(x), 1)
+    pct = lambda cond: publish(F.try_divide(F.lit(100.0) * F.count_if(cond), F.count(x)), 1)
     return df.groupBy(*keys).agg(
         F.count(x).alias("response_count"),
         pct(x >= 4).alias("favorable_pct"),
@@ -196,8 +196,8 @@ def question_metrics(df: DataFrame, keys: Sequence[str], column: str, domain: Se
         publish(F.stddev_pop(x.cast("double"))).alias("std_dev"),
         F.min(x).alias("min_score"),
         F.max(x).alias("max_score"),
-        publish(F.lit(100.0) * F.count_if(x >= 4) / n, 1).alias("favorable_pct"),
-        publish(F.lit(100.0) * F.count_if(x <= 2) / n, 1).alias("unfavorable_pct"),
+        publish(F.try_divide(F.lit(100.0) * F.count_if(x >= 4), n), 1).alias("favorable_pct"),
+        publish(F.try_divide(F.lit(100.0) * F.count_if(x <= 2), n), 1).alias("unfavorable_pct"),
         *[h.alias(f"n_{v}") for h, v in zip(hist, domain, strict=True)],
     )
 

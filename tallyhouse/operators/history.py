@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import path_label, publish
 from tallyhouse.operators.aggregate import mean
+from tallyhouse.operators.ranking import dedup_latest
 from tallyhouse.operators.spread import dense_index, neighbour, number_and_next
 from tallyhouse.session import pin
 
@@ -19,8 +20,15 @@ def month_cell(day: str) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def scd1_apply(dim: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Overwrite attributes of known keys and add new keys. One change per key."""
+def last_change(changes: DataFrame, key: str, date: str | None) -> DataFrame:
+    """The last change of each key by `date`, then by the remaining columns; the date goes unless it is an attribute."""
+    last = dedup_latest(changes, [key], [date] if date else [])
+    return last.drop(date) if date else last
+
+
+def scd1_apply(dim: DataFrame, changes: DataFrame, key: str, date: str | None = None) -> DataFrame:
+    """Overwrite attributes of known keys and add new keys, by the last change of each key."""
+    changes = last_change(changes, key, date)
     attrs = [c for c in changes.columns if c != key]
     incoming = changes.select(F.col(key).alias("_k"), F.struct(*attrs).alias("_new"))
     joined = dim.join(incoming, F.col(key) == F.col("_k"), "full_outer")
@@ -38,19 +46,28 @@ def scd1_apply(dim: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def scd2_apply(
     dim: DataFrame, changes: DataFrame, key: str, attrs: Sequence[str], date: str, version_key: str
 ) -> DataFrame:
-    """Close the current version the day before the change and open a new one.
+    """Close the current version the day before the first change and open one per change.
 
-    Changes that alter no attribute are ignored. New version keys continue after
-    the largest existing key.
+    A key's changes follow each other by date, each version ending the day before the next; of several
+    on one day the largest counts. Changes that alter no attribute are ignored. One that alters the
+    current version but is dated on or before its start is refused: the job fails. New version keys
+    continue after the largest existing key.
     """
     incoming = changes.select(
         F.col(key).alias("_k"), F.struct(*attrs).alias("_new"), F.col(date).cast("date").alias("_on")
     )
-    current = dim.filter("is_current")
-    touched = incoming.join(current.select(F.col(key).alias("_ck"), F.struct(*attrs).alias("_old")), F.col("_k") == F.col("_ck"), "left")
-    real = touched.filter(~F.col("_old").eqNullSafe(F.col("_new"))).select("_k", "_new", "_on")
+    ordered = neighbour(dedup_latest(incoming, ["_k", "_on"], ["_new"]).withColumn("_one", F.lit(1)), ["_k"], ["_on"], ["_new", "_one"], month_cell("_on"))
+    current = dim.filter("is_current").select(F.col(key).alias("_ck"), F.struct(*attrs).alias("_old"), F.col("valid_from").alias("_since"))
+    touched = ordered.join(current, F.col("_k") == F.col("_ck"), "left").withColumn(
+        "_before", F.when(F.col("prev__one").isNull(), F.col("_old")).otherwise(F.col("prev__new"))
+    )
+    early = F.col("_since").isNotNull() & (F.col("_on") <= F.col("_since"))
+    refused = F.when(early, F.raise_error(F.concat(F.lit("change dated before the current version: "), F.col("_k").cast("string"))).cast("date")).otherwise(F.col("_on"))
+    changed = pin(touched.filter(~F.col("_before").eqNullSafe(F.col("_new"))).select("_k", "_new", refused.alias("_on")))
+    real = pin(number_and_next(changed, ["_k"], "_on", month_cell("_on"), "_no", "_next").drop("_no"))
+    first = real.groupBy("_k").agg(F.min("_on").alias("_on"))
     closed = (
-        dim.join(real.select("_k", "_on"), (F.col(key) == F.col("_k")) & F.col("is_current"), "left")
+        dim.join(first, (F.col(key) == F.col("_k")) & F.col("is_current"), "left")
         .withColumns(
             {
                 "valid_to": F.when(F.col("_on").isNotNull(), F.date_sub("_on", 1)).otherwise(F.col("valid_to")),
@@ -67,8 +84,8 @@ def scd2_apply(
                 version_key: (F.col("_i") + last.scalar()).cast(dim.schema[version_key].dataType),
                 key: F.col("_k"),
                 "valid_from": F.col("_on"),
-                "valid_to": F.lit(OPEN_END).cast("date"),
-                "is_current": F.lit(True),
+                "valid_to": F.coalesce(F.date_sub("_next", 1), F.lit(OPEN_END).cast("date")),
+                "is_current": F.col("_next").isNull(),
                 **{a: F.col(f"_new.{a}") for a in attrs},
             }
         )
@@ -76,8 +93,9 @@ def scd2_apply(
     return closed.unionByName(opened.select(*[c for c in dim.columns if c in opened.columns]), allowMissingColumns=True)
 
 
-def scd3_apply(dim: DataFrame, changes: DataFrame, key: str, attr: str) -> DataFrame:
-    """Keep the value before the last change in `previous_<attr>`."""
+def scd3_apply(dim: DataFrame, changes: DataFrame, key: str, attr: str, date: str | None = None) -> DataFrame:
+    """Keep the value before the last change in `previous_<attr>`. A batch is one change per key, its last."""
+    changes = last_change(changes, key, date)
     previous = f"previous_{attr}"
     base = dim if previous in dim.columns else dim.withColumn(previous, F.lit(None).cast(dim.schema[attr].dataType))
     incoming = changes.select(F.col(key).alias("_k"), F.col(attr).alias("_v"), F.lit(True).alias("_hit"))

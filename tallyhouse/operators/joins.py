@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.spread import dense_index, null_safe_join
 
 LITERAL_LIMIT = 10_000
-COUNTED_LIMIT = 200_000
+CELLS_PER_TASK = 5_000_000
 
 
 def star_query(
@@ -54,10 +54,10 @@ def snowflake_query(
     return fact.join(dim, fact_key).groupBy(*level).agg(*aggs)
 
 
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal relation. Longer lists belong in a table."""
-    if len(rows) > LITERAL_LIMIT:
-        raise ValueError(f"literal relation of {len(rows)} rows; the limit is {LITERAL_LIMIT}")
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str, limit: int = LITERAL_LIMIT) -> DataFrame:
+    """A small literal relation, sent to every task. Lists longer than `limit` are refused; they belong in a table."""
+    if len(rows) > limit:
+        raise ValueError(f"literal relation of {len(rows)} rows; the limit is {limit}")
     return spark.createDataFrame(list(rows), schema)
 
 
@@ -74,11 +74,6 @@ def label_lookup(df: DataFrame, labels: DataFrame, key: str, label: str) -> Data
     return named.withColumn(label, F.coalesce(F.col(label), F.col(key).cast("string")))
 
 
-def counted_side(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast for a side whose rows were counted and are few; a larger one is shuffled."""
-    return F.broadcast(df) if rows <= COUNTED_LIMIT else df
-
-
 def with_group_size(df: DataFrame, keys: Sequence[str], out: str = "group_size") -> DataFrame:
     """Row count of each row's group, NULL keys included."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
@@ -112,11 +107,12 @@ def cross_cells(dims: Sequence[DataFrame], order: Sequence[Sequence[str]]) -> Da
     total = 1
     for n in sizes:
         total *= n
-    cells = spark.range(total).withColumnRenamed("id", "cell_no")
+    slices = max(spark.sparkContext.defaultParallelism, -(-total // CELLS_PER_TASK))
+    cells = spark.range(0, total, 1, slices).withColumnRenamed("id", "cell_no")
     step = 1
     for i in reversed(range(len(dims))):
         cells = cells.withColumn(f"_i{i}", F.expr(f"(cell_no div {step}) % {max(sizes[i], 1)}"))
         step *= max(sizes[i], 1)
     for i, dim in enumerate(indexed):
-        cells = cells.join(counted_side(dim, sizes[i]), f"_i{i}").drop(f"_i{i}")
+        cells = cells.join(dim, f"_i{i}").drop(f"_i{i}")
     return cells

@@ -27,7 +27,7 @@ def team_overview(
     )
     # one entry per category: the list is as short as the questionnaire has categories
     records = scores.groupBy(*SCOPE).agg(
-        publish(F.sum(publish("mean_score") * F.col("question_count")) / F.sum("question_count")).alias("overall_score"),
+        publish(F.coalesce(F.try_divide(F.sum(publish("mean_score") * F.col("question_count")), F.sum("question_count")), F.lit(0.0))).alias("overall_score"),
         F.sort_array(F.collect_list(category)).alias("category_scores"),
         F.max("response_count").alias("response_count"),
         publish(F.max("response_rate"), 4).alias("response_rate"),

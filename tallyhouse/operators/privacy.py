@@ -146,7 +146,7 @@ def suppress_adjacent(
 
 
 def suppress_complementary(
-    cells: DataFrame, row: str, col: str, n: str, measures: Sequence[str], k: int = 4, max_rounds: int | None = None
+    cells: DataFrame, row: str, col: str, n: str, measures: Sequence[str], k: int = 4
 ) -> DataFrame:
     """Hide cells of a two-way table until no row or column total gives a hidden cell away.
 
@@ -166,8 +166,7 @@ def suppress_complementary(
             .select(F.col(line).alias("_line"), F.col("m.other").alias("_other"))
         )
 
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
+    while True:
         rows = exposed(row, col).select(F.col("_line").alias("_r"), F.col("_other").alias("_c"))
         cols = exposed(col, row).select(F.col("_other").alias("_r"), F.col("_line").alias("_c"))
         more = pin(rows.unionByName(cols).distinct())
@@ -179,7 +178,6 @@ def suppress_complementary(
             .withColumn("_hidden", F.col("_hidden") | F.col("_hit").isNotNull())
             .drop("_r", "_c", "_hit")
         )
-        rounds += 1
     reason = F.when(F.col(n) < k, "small_group").when(F.col("_hidden"), "complementary")
     return state.withColumns(
         {**{m: F.when(~F.col("_hidden"), F.col(m)) for m in measures}, "suppression_reason": reason}

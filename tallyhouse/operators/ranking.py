@@ -33,17 +33,20 @@ def _mean_cell(step: float = 1000.0) -> Column:
 
 
 def rank_groups(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    """RANK of group means, best first."""
-    groups = df.groupBy(*keys).agg(publish(mean(measure), 4).alias("mean_score"))
-    return ranks(groups, [], "mean_score", _mean_cell(), descending=True).drop("group_rows")
-
-
-def percent_rank_groups(df: DataFrame, part: Sequence[str], keys: Sequence[str], measure: str) -> DataFrame:
-    """PERCENT_RANK of group means inside each partition, ascending."""
-    groups = df.groupBy(*part, *keys).agg(publish(mean(measure), 4).alias("mean_score"))
-    ranked = ranks(groups, part, "mean_score", _mean_cell())
+    """RANK of group means, best first. The exact means are ranked, and rounded for output."""
+    groups = df.groupBy(*keys).agg(mean(measure).alias("mean_score"))
+    ranked = ranks(groups, [], "mean_score", _mean_cell(), descending=True).drop("group_rows")
+    return ranked.withColumn("mean_score", publish("mean_score", 4))
+
+
+def percent_rank_groups(
+    df: DataFrame, part: Sequence[str], keys: Sequence[str], measure: str, descending: bool = True
+) -> DataFrame:
+    """PERCENT_RANK of exact group means inside each partition, best first unless told otherwise."""
+    groups = df.groupBy(*part, *keys).agg(mean(measure).alias("mean_score"))
+    ranked = ranks(groups, part, "mean_score", _mean_cell(), descending=descending)
     share = F.when(F.col("group_rows") > 1, (F.col("rnk") - 1) / (F.col("group_rows") - 1)).otherwise(F.lit(0.0))
-    return ranked.select(*part, *keys, "mean_score", publish(share, 4).alias("pct_rank"))
+    return ranked.select(*part, *keys, publish("mean_score", 4).alias("mean_score"), publish(share, 4).alias("pct_rank"))
 
 
 def period_trend(df: DataFrame, keys: Sequence[str], period: Sequence[str], measure: str) -> DataFrame:

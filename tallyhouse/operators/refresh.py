@@ -6,15 +6,15 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.operators.compare import staleness
+from tallyhouse.operators.ranking import dedup_latest
 from tallyhouse.operators.rollup import build_rollup, merge_rollups
 from tallyhouse.operators.spread import null_safe_join
 from tallyhouse.session import pin
 from tallyhouse.sources.published import latest_version, publish_version, read_version
 
-LISTED_PARTITIONS = 1_000
-
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the target whose key is not updated, plus the updates. Keys are unique in `updates`."""
@@ -23,19 +23,28 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], partition: str) -> None:
-    """Upsert into a partitioned parquet table, rewriting only the partitions the updates touch.
+    """Upsert into a partitioned parquet table, rewriting only the partitions that the updates touch:
+    those they go to, and those that hold an older row of their keys.
 
-    The merged rows are pinned before the write, since the write replaces files they come from.
+    The merged rows are pinned before the write, since the write replaces files they come from. A
+    partition whose last row moved away is removed after the write.
     """
-    stored, touched = spark.read.parquet(path), updates.select(F.col(partition).alias("_p")).distinct()
-    names = [r[0] for r in touched.limit(LISTED_PARTITIONS + 1).collect()]
-    if len(names) <= LISTED_PARTITIONS:  # a literal list prunes the scan to these folders
-        hit = F.col(partition).isin([n for n in names if n is not None])
-        affected = stored.filter(hit | F.col(partition).isNull() if None in names else hit)
-    else:
-        affected = stored.join(touched, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
+    stored = spark.read.parquet(path)
+    held = null_safe_join(stored.select(*dict.fromkeys([*keys, partition])), updates.select(*keys).distinct(), keys, "left_semi")
+    touched = pin(held.select(F.col(partition).alias("_p")).union(updates.select(F.col(partition).alias("_p"))).distinct())
+    affected = stored.join(touched, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
     merged = pin(upsert(affected, updates.select(*affected.columns), keys))
+    emptied = touched.join(merged.select(F.col(partition).alias("_q")).distinct(), F.col("_p").eqNullSafe(F.col("_q")), "left_anti")
+    folders = (
+        stored.select(partition, F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("folder"))
+        .join(emptied, F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
+        .select("folder").distinct().collect()
+    )
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    jvm = spark.sparkContext._jvm
+    for row in folders:
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def newer_than_target(source: DataFrame, target: DataFrame, ts: str, lookback: str | None = None) -> DataFrame:
@@ -44,18 +53,22 @@ def newer_than_target(source: DataFrame, target: DataFrame, ts: str, lookback: s
     Strict mode drops late rows. `lookback` (an interval such as '3 days') re-reads a margin
     and relies on the keyed upsert to absorb repeats.
     """
-    newest = target.agg(F.max(ts)).first()[0]
+    instant = isinstance(target.schema[ts].dataType, T.TimestampType)
+    # an instant is read as a number, since its text depends on the zone of who reads it
+    newest = target.agg((F.unix_micros(F.max(ts)) if instant else F.max(ts)).alias("newest")).first()[0]
     if newest is None:
         return source
     # a literal bound reaches the source's scan, a subquery would not
-    high = F.lit(str(newest)).cast(source.schema[ts].dataType)
+    high = (F.timestamp_micros(F.lit(newest)) if instant else F.lit(str(newest))).cast(source.schema[ts].dataType)
     return source.filter(F.col(ts) > high if lookback is None else F.col(ts) >= high - F.expr(f"INTERVAL {lookback}"))
 
 
 def incremental_load(
     source: DataFrame, target: DataFrame, keys: Sequence[str], ts: str, lookback: str | None = "3 days"
 ) -> DataFrame:
-    return upsert(target, newer_than_target(source, target, ts, lookback), keys)
+    """Upsert of the new rows. Of several rows of one key in the batch the latest counts."""
+    batch = dedup_latest(newer_than_target(source, target, ts, lookback), keys, [ts])
+    return upsert(target, batch, keys)
 
 
 def update_where(df: DataFrame, condition: Column, sets: Mapping[str, Column]) -> DataFrame:

@@ -13,8 +13,6 @@ from tallyhouse.operators.compare import consistency_check
 from tallyhouse.operators.joins import categorize
 from tallyhouse.session import pin
 
-MAX_COLUMNS = 5_000
-
 
 def wide_to_eav(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per filled cell."""
@@ -22,12 +20,14 @@ def wide_to_eav(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> Da
     return typed.unpivot(list(ids), list(columns), "attribute", "value").filter(F.col("value").isNotNull())
 
 
-def eav_to_wide(df: DataFrame, ids: Sequence[str], attrs: Sequence[str] | None = None, agg: str = "max") -> DataFrame:
-    """One column per attribute. Unnamed attributes are discovered, which reads the data once more."""
+def eav_to_wide(df: DataFrame, ids: Sequence[str], attrs: Sequence[str] | None = None, agg: str = "max", max_columns: int = 5_000
+) -> DataFrame:
+    """One column per attribute. Name the attributes on large tables: unnamed ones are discovered, which
+    reads the data once more and refuses more than `max_columns` of them."""
     if attrs is None:
-        found = df.select("attribute").distinct().limit(MAX_COLUMNS + 1).collect()
-        if len(found) > MAX_COLUMNS:
-            raise ValueError(f"more than {MAX_COLUMNS} attributes; name the ones that become columns")
+        found = df.select("attribute").distinct().limit(max_columns + 1).collect()
+        if len(found) > max_columns:
+            raise ValueError(f"more than {max_columns} attributes; name the ones that become columns")
         attrs = sorted(r[0] for r in found)
     pick = {"max": F.max, "avg": F.avg, "sum": F.sum}[agg]
     return df.groupBy(*ids).agg(*[pick(F.when(F.col("attribute") == a, F.col("value"))).alias(a) for a in attrs])
@@ -44,10 +44,12 @@ def eav_to_json(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     return pack_json(df, ids, "attribute", "value")
 
 
-def json_to_eav(df: DataFrame, ids: Sequence[str], column: str) -> DataFrame:
-    """One row per key of each object, values cast to double."""
-    parsed = F.from_json(F.col(column), T.MapType(T.StringType(), T.DoubleType()))
-    return df.select(*ids, F.explode(parsed).alias("attribute", "value"))
+def json_to_eav(df: DataFrame, ids: Sequence[str], column: str, text: str | None = None) -> DataFrame:
+    """One row per key of each object. Answers that are no numbers have a NULL value; `text` names a column
+    for every answer as it stands."""
+    parsed = F.from_json(F.col(column), T.MapType(T.StringType(), T.StringType()))
+    entries = df.select(*ids, F.explode(parsed).alias("attribute", "_text"))
+    return entries.select(*ids, "attribute", F.col("_text").try_cast("double").alias("value"), *([F.col("_text").alias(text)] if text else []))
 
 
 def explode_keys(df: DataFrame, ids: Sequence[str], column: str) -> DataFrame:
@@ -61,7 +63,7 @@ def json_columns(df: DataFrame, column: str, keys: Mapping[str, str]) -> DataFra
 
 
 def json_has_key(df: DataFrame, column: str, key: str) -> DataFrame:
-    return df.filter(F.get_json_object(F.col(column), f"$.{key}").isNotNull())
+    return df.filter(json_value(column, key, "string").isNotNull())
 
 
 def slot_mapping(df: DataFrame, project: str, standard: Sequence[str]) -> DataFrame:
@@ -83,9 +85,9 @@ def slot_overflow(mapping: DataFrame, n_slots: int) -> DataFrame:
 def eav_to_slots(df: DataFrame, ids: Sequence[str], project: str, standard: Sequence[str], n_slots: int = 20) -> tuple[DataFrame, DataFrame]:
     """Generic slot columns and the mapping that gives them meaning. Raises when a project has too many questions."""
     mapping = slot_mapping(df, project, standard)
-    over = slot_overflow(mapping, n_slots).groupBy(project).count().limit(20).collect()
+    over = slot_overflow(mapping, n_slots).agg(F.countDistinct(project)).first()[0]
     if over:
-        raise ValueError(f"more than {n_slots} questions in: " + ", ".join(str(r[0]) for r in over))
+        raise ValueError(f"more than {n_slots} questions in {over} projects; slot_overflow lists them")
     keyed = df.join(mapping.withColumnRenamed("question_id", "attribute"), [project, "attribute"])
     slots = keyed.groupBy(*ids, *([] if project in ids else [project])).agg(
         *[F.max(F.when(F.col("slot_number") == i, F.col("value"))).alias(f"slot_{i}") for i in range(1, n_slots + 1)]
@@ -130,10 +132,12 @@ def add_attribute(eav: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def add_json_key(df: DataFrame, column: str, key: str, value: Column | str) -> DataFrame:
-    """Set one key of the object where the value is not NULL; other keys keep their values."""
-    parsed = F.from_json(F.col(column), T.MapType(T.StringType(), T.DoubleType()))
-    extra = F.map_from_arrays(F.array(F.lit(key)), F.array(as_col(value).cast("double")))
-    merged = F.map_concat(F.map_filter(parsed, lambda k, _: k != key), extra)
+    """Set one key of the object where the value is not NULL; other keys keep their values, of any kind."""
+    parsed = F.from_json(F.col(column), T.MapType(T.StringType(), T.VariantType()))
+    extra = F.map_from_arrays(F.array(F.lit(key)), F.array(F.to_variant_object(F.array(as_col(value)))))
+    extra = F.transform_values(extra, lambda _, v: F.variant_get(v, "$[0]", "variant"))
+    kept = F.map_filter(parsed, lambda k, _: k != key)
+    merged = F.map_concat(F.coalesce(kept, F.create_map().cast(T.MapType(T.StringType(), T.VariantType()))), extra)
     return df.withColumn(column, F.when(as_col(value).isNotNull(), F.to_json(merged)).otherwise(F.col(column)))
 
 

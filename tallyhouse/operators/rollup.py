@@ -89,5 +89,5 @@ def reduction(raw: DataFrame, gold: DataFrame) -> DataFrame:
     before = raw.agg(F.count(F.lit(1)).alias("n")).scalar()
     after = gold.agg(F.count(F.lit(1)).alias("n"))
     return after.select(before.alias("raw_rows"), F.col("n").alias("gold_rows")).withColumn(
-        "reduction_factor", publish(F.col("raw_rows") / F.col("gold_rows"))
+        "reduction_factor", publish(F.try_divide("raw_rows", "gold_rows"))
     )

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.columns import publish
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's r from moments over the pairs without NULL; NULL where a side is constant or missing."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def pearson(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     return both.groupBy(*keys).agg(
-        publish(F.corr(F.col(x).cast("double"), F.col(y).cast("double")), 4).alias("r"), F.count(F.lit(1)).alias("n")
+        publish(correlation(F.col(x), F.col(y)), 4).alias("r"), F.count(F.lit(1)).alias("n")
     )
 
 
@@ -25,7 +32,7 @@ def driver_analysis(df: DataFrame, target: str, drivers: Sequence[str], segment:
     """
     y = F.col(target).cast("double")
     wide = df.groupBy(*segment).agg(
-        *[F.corr(F.col(d).cast("double"), y).alias(f"r_{d}") for d in drivers],
+        *[correlation(F.col(d), y).alias(f"r_{d}") for d in drivers],
         *[F.count_if(F.col(d).isNotNull() & y.isNotNull()).alias(f"n_{d}") for d in drivers],
     )
     entries = F.array(
@@ -58,28 +65,33 @@ def _moments(df: DataFrame, group: str, x: str) -> DataFrame:
     )
 
 
-def t_statistic(df: DataFrame, group: str, x: str) -> DataFrame:
-    """Welch's t of the first group against the second, in label order, with degrees of freedom."""
-    g = _moments(df, group, x)
+def t_statistic(df: DataFrame, group: str, x: str, labels: Sequence | None = None) -> DataFrame:
+    """Welch's t of the first group against the second, in label order, with degrees of freedom.
+
+    `labels` names the two groups of a column with more. Without it, more than two fail the job, and
+    fewer give no row. Groups without spread have no statistic: t and dof are NULL.
+    """
+    g = _moments(df.filter(F.col(group).isin(list(labels))) if labels else df, group, x)
     side = lambda f, a: f(F.struct("n", "m", "v"), F.col("g")).alias(a)
     pair = g.agg(side(F.min_by, "a"), side(F.max_by, "b"), F.min("g").alias("group_a"), F.max("g").alias("group_b"), F.count(F.lit(1)).alias("groups"))
     sa, sb = F.col("a.v") / F.col("a.n"), F.col("b.v") / F.col("b.n")
-    t = (F.col("a.m") - F.col("b.m")) / F.sqrt(sa + sb)
-    dof = (sa + sb) * (sa + sb) / (sa * sa / (F.col("a.n") - 1) + sb * sb / (F.col("b.n") - 1))
-    return pair.filter("groups = 2").select("group_a", "group_b", publish(t, 4).alias("t"), publish(dof, 2).alias("dof"))
+    t = F.try_divide(F.col("a.m") - F.col("b.m"), F.sqrt(sa + sb))
+    dof = F.try_divide((sa + sb) * (sa + sb), F.try_divide(sa * sa, F.col("a.n") - 1) + F.try_divide(sb * sb, F.col("b.n") - 1))
+    two = F.when(F.col("groups") > 2, F.raise_error("more than two groups: name two labels").cast("boolean")).otherwise(F.col("groups") == 2)
+    return pair.filter(two).select("group_a", "group_b", publish(t, 4).alias("t"), publish(dof, 2).alias("dof"))
 
 
 def anova_f(df: DataFrame, group: str, x: str) -> DataFrame:
     """One-way F from group sizes, means and variances."""
     g = _moments(df, group, x)
-    grand = g.agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm")).scalar()
+    grand = g.agg(F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n")).alias("gm")).scalar()
     sums = g.withColumn("gm", grand).agg(
         F.sum(F.col("n") * (F.col("m") - F.col("gm")) * (F.col("m") - F.col("gm"))).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce("v", F.lit(0.0))).alias("ssw"),
         F.count(F.lit(1)).alias("k"),
         F.sum("n").alias("n"),
     )
-    f = (F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n") - F.col("k")))
+    f = F.try_divide(F.try_divide("ssb", F.col("k") - 1), F.try_divide("ssw", F.col("n") - F.col("k")))
     return sums.select((F.col("k") - 1).alias("df_between"), (F.col("n") - F.col("k")).alias("df_within"), publish(f, 4).alias("f"))
 
 
@@ -147,13 +159,16 @@ def attrition_model(df: DataFrame, features: Sequence[str], label: str, iteratio
 
 
 def attrition_scores(model, df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Risk per row from a fitted model."""
+    """Risk per row from a fitted model; NULL for rows that lack a feature."""
     from pyspark.ml.functions import vector_to_array
 
-    typed = df.select(*keys, *[F.col(f).cast("double").alias(f) for f in features]).dropna()
+    known = F.lit(True)
+    for f in features:
+        known = known & F.col(f).isNotNull()
+    typed = df.select(*keys, known.alias("_known"), *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
     scored = model.transform(typed)
     return scored.select(
         *keys,
-        publish(vector_to_array("probability")[1], 4).alias("risk"),
-        (F.col("prediction") == 1.0).alias("at_risk"),
+        F.when(F.col("_known"), publish(vector_to_array("probability")[1], 4)).alias("risk"),
+        F.when(F.col("_known"), F.col("prediction") == 1.0).alias("at_risk"),
     )

@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
 
 
 def pub(expr: str, digits: int = 2) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
 SILVER_SQL = """

@@ -360,11 +360,13 @@ def mv_incremental_equals_full(spark, sf):
 
 @query("incremental_load", f"SELECT event_id, ts, user_id, event_type, {_CENTS} AS cents FROM events")
 def incremental_load(spark, sf):
-    """A target that stops early and misses some late rows catches up through the lookback margin."""
+    """A target that stops early and misses some late rows catches up through the lookback margin; the source
+    sends some rows again, earlier and with another amount."""
     rows = _events(spark, sf)
     held_back = (F.col("ts") >= F.lit("2024-01-23 00:00:00").cast("timestamp_ntz")) & (F.col("event_type") == "error")
     target = materialize(rows.filter((F.col("ts") < _cut()) & ~held_back), scratch_path(spark, "target"))
-    return refresh.incremental_load(rows, target, ["event_id"], "ts", lookback="3 days")
+    again = rows.filter("event_id % 3 = 0").withColumns({"ts": F.col("ts") - F.expr("INTERVAL 1 HOUR"), "cents": F.col("cents") + 1})
+    return refresh.incremental_load(rows.unionByName(again), target, ["event_id"], "ts", lookback="3 days")
 
 
 @query("incremental_strict", f"""
@@ -389,14 +391,17 @@ def upsert(spark, sf):
 
 
 @query("upsert_partitions", f"""
-SELECT event_id, user_id, event_type, CASE WHEN event_type = 'error' AND value < 50 THEN 0 ELSE {_CENTS} END AS cents FROM events""")
+SELECT event_id, user_id, CASE WHEN event_type = 'signup' OR event_type = 'click' AND event_id % 2 = 0 THEN 'moved' ELSE event_type END AS event_type,
+       CASE WHEN event_type = 'error' AND value < 50 THEN 0 ELSE {_CENTS} END AS cents FROM events""")
 def upsert_partitions(spark, sf):
-    """A keyed upsert into a partitioned table; only the partition of the changed rows is rewritten."""
+    """A keyed upsert into a partitioned table, of changed rows and of rows that move: half of one partition and
+    the whole of another. Only partitions with such rows are rewritten."""
     rows = _events(spark, sf).select("event_id", "user_id", "event_type", "cents")
     path = scratch_path(spark, "partitioned")
     write_parquet(rows, path, partition_by=["event_type"])
     changed = rows.filter("event_type = 'error' AND cents < 5000").withColumn("cents", F.lit(0).cast("bigint"))
-    refresh.upsert_partitions(spark, path, changed, ["event_id"], "event_type")
+    moved = rows.filter("event_type = 'signup' OR event_type = 'click' AND event_id % 2 = 0").withColumn("event_type", F.lit("moved"))
+    refresh.upsert_partitions(spark, path, changed.unionByName(moved), ["event_id"], "event_type")
     return spark.read.parquet(path)
 
 

@@ -244,6 +244,18 @@ def _moves(spark, sf):
     return table(spark, sf, "customer").filter("c_acctbal < 0").select("c_custkey", F.lit("BUILDING").alias("c_mktsegment"))
 
 
+@query("json_answers", """
+SELECT event_id, k AS attribute, TRY_CAST(v AS DOUBLE) AS value, v AS answer FROM (
+  SELECT event_id, UNNEST(['k', 'comment', 'site.visit']) AS k, UNNEST([json_extract_string(props, '$.k'), 'said ' || event_type, CAST(event_id % 7 AS VARCHAR)]) AS v FROM events)
+WHERE v IS NOT NULL""")
+def json_answers(spark, sf):
+    """Objects get a text answer and a key with a dot, and every answer comes back as a row."""
+    rows = table(spark, sf, "events").select("event_id", "event_type", "props")
+    added = reshape.add_json_key(rows, "props", "comment", F.concat(F.lit("said "), "event_type"))
+    added = reshape.add_json_key(added, "props", "site.visit", F.col("event_id") % 7)
+    return reshape.json_to_eav(added, ["event_id"], "props", text="answer")
+
+
 @query("scd1_apply", """
 SELECT c_custkey, c_name, CASE WHEN c_acctbal < 0 THEN 'BUILDING' ELSE c_mktsegment END AS c_mktsegment FROM customer
 UNION ALL SELECT -c_custkey - 1, NULL, 'NEW' FROM customer WHERE c_acctbal > 9000""")
@@ -253,18 +265,23 @@ def scd1_apply(spark, sf):
 
 
 @query("scd2_apply", """
-WITH moved AS (SELECT c_custkey, ROW_NUMBER() OVER (ORDER BY c_custkey) AS i FROM customer WHERE c_acctbal < 0 AND c_mktsegment <> 'BUILDING'),
-top AS (SELECT MAX(c_custkey) + 1 AS m FROM customer)
-SELECT c.c_custkey + 1 AS customer_key, c.c_custkey, c.c_mktsegment, DATE '2020-01-01' AS valid_from,
-       CASE WHEN m.i IS NULL THEN DATE '9999-12-31' ELSE DATE '2024-06-30' END AS valid_to, m.i IS NULL AS is_current
-FROM customer c LEFT JOIN moved m ON c.c_custkey = m.c_custkey
-UNION ALL SELECT t.m + i, c_custkey, 'BUILDING', DATE '2024-07-01', DATE '9999-12-31', TRUE FROM moved CROSS JOIN top t""")
+WITH log AS (
+  SELECT c_custkey, DATE '2020-01-01' AS d, c_mktsegment AS s FROM customer
+  UNION ALL SELECT c_custkey, DATE '2024-07-01', 'BUILDING' FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT c_custkey, DATE '2024-09-15', CASE WHEN c_custkey % 2 = 0 THEN 'MACHINERY' ELSE 'BUILDING' END FROM customer WHERE c_acctbal < 0),
+seen AS (SELECT *, LAG(s) OVER (PARTITION BY c_custkey ORDER BY d) AS before FROM log),
+v AS (SELECT *, LEAD(d) OVER (PARTITION BY c_custkey ORDER BY d) AS next FROM seen WHERE before IS NULL OR before <> s),
+added AS (SELECT *, ROW_NUMBER() OVER (ORDER BY c_custkey, d) AS i FROM v WHERE before IS NOT NULL)
+SELECT c_custkey + 1 AS customer_key, c_custkey, s AS c_mktsegment, d AS valid_from, COALESCE(CAST(next - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to, next IS NULL AS is_current FROM v WHERE before IS NULL
+UNION ALL SELECT (SELECT MAX(c_custkey) + 1 FROM customer) + i, c_custkey, s, d, COALESCE(CAST(next - INTERVAL 1 DAY AS DATE), DATE '9999-12-31'), next IS NULL FROM added""")
 def scd2_apply(spark, sf):
     dim = table(spark, sf, "customer").select(
         (F.col("c_custkey") + 1).alias("customer_key"), "c_custkey", "c_mktsegment",
         F.lit("2020-01-01").cast("date").alias("valid_from"), F.lit("9999-12-31").cast("date").alias("valid_to"), F.lit(True).alias("is_current"),
     )
-    changes = _moves(spark, sf).withColumn("changed_on", F.lit("2024-07-01").cast("date"))
+    first = _moves(spark, sf).withColumn("changed_on", F.lit("2024-07-01").cast("date"))
+    even = F.when(F.col("c_custkey") % 2 == 0, "MACHINERY").otherwise("BUILDING")
+    changes = first.unionByName(first.select("c_custkey", even.alias("c_mktsegment"), F.lit("2024-09-15").cast("date").alias("changed_on")))
     return history.scd2_apply(dim, changes, "c_custkey", ["c_mktsegment"], "changed_on", "customer_key")
 
 

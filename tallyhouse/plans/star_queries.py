@@ -431,22 +431,23 @@ def volume_reduction(spark, sf):
 
 
 @query("rank_teams", with_survey(f"""
-SELECT team_name, mean_score, RANK() OVER (ORDER BY mean_score DESC) AS rnk FROM
-(SELECT team_name, {pub('AVG(score)', 4)} AS mean_score FROM survey GROUP BY team_name)"""))
+SELECT team_name, {pub('SUM(score) * 1.0 / COUNT(score)', 4)} AS mean_score, RANK() OVER (ORDER BY SUM(score) * 1.0 / COUNT(score) DESC) AS rnk
+FROM survey GROUP BY team_name"""))
 def rank_teams(spark, sf):
     return ranking.rank_groups(survey(spark, sf), ["team_name"], "score")
 
 
 @query("rank_respondents", with_survey(f"""
-SELECT respondent_id, mean_score, RANK() OVER (ORDER BY mean_score DESC) AS rnk FROM
-(SELECT respondent_id, {pub('AVG(score)', 4)} AS mean_score FROM survey GROUP BY respondent_id)"""))
+SELECT respondent_id, {pub('SUM(score) * 1.0 / COUNT(score)', 4)} AS mean_score, RANK() OVER (ORDER BY SUM(score) * 1.0 / COUNT(score) DESC) AS rnk
+FROM survey GROUP BY respondent_id"""))
 def rank_respondents(spark, sf):
     return ranking.rank_groups(survey(spark, sf), ["respondent_id"], "score")
 
 
 @query("percent_rank_departments", with_survey(f"""
-SELECT category, team_name, mean_score, {pub('PERCENT_RANK() OVER (PARTITION BY category ORDER BY mean_score)', 4)} AS pct_rank FROM
-(SELECT category, team_name, {pub('AVG(score)', 4)} AS mean_score FROM survey GROUP BY category, team_name)"""))
+SELECT category, team_name, {pub('SUM(score) * 1.0 / COUNT(score)', 4)} AS mean_score,
+       {pub('PERCENT_RANK() OVER (PARTITION BY category ORDER BY SUM(score) * 1.0 / COUNT(score) DESC)', 4)} AS pct_rank
+FROM survey GROUP BY category, team_name"""))
 def percent_rank_departments(spark, sf):
     return ranking.percent_rank_groups(survey(spark, sf), ["category"], ["team_name"], "score")
 

@@ -129,7 +129,7 @@ def test_ranks_over_groups(spark, rows):
     df = spark.createDataFrame([("a", 5), ("b", 3), ("c", 5), ("d", 1)], "t string, s int")
     assert rows(ranking.rank_groups(df, ["t"], "s"), "t", "rnk") == [("a", 1), ("b", 3), ("c", 1), ("d", 4)]
     part = spark.createDataFrame([("x", "a", 1), ("x", "b", 2), ("x", "c", 3), ("y", "a", 9)], "p string, t string, s int")
-    assert rows(ranking.percent_rank_groups(part, ["p"], ["t"], "s"), "p", "t", "pct_rank") == [("x", "a", 0.0), ("x", "b", 0.5), ("x", "c", 1.0), ("y", "a", 0.0)]
+    assert rows(ranking.percent_rank_groups(part, ["p"], ["t"], "s", descending=False), "p", "t", "pct_rank") == [("x", "a", 0.0), ("x", "b", 0.5), ("x", "c", 1.0), ("y", "a", 0.0)]
 
 
 def test_trend_starts_with_null(spark, rows):
