@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.columns import publish, value_bucket
+from tallyhouse.functions.columns import publish
 from tallyhouse.operators.spread import null_safe_join, running_total
+from tallyhouse.session import pin
 
 def mean(measure: str) -> Column:
     """Mean as double whatever the measure's numeric type."""
@@ -110,15 +111,13 @@ def value_counts(df: DataFrame, keys: Sequence[str], column: str, weight: str |
 
 
 def _ranked_values(df: DataFrame, keys: Sequence[str], column: str, weight: str | None = None) -> DataFrame:
+    """Value counts with running totals. The distinct (keys, value) rows are cut into slices of about equal
+    size by range, whatever the values are, and one row per slice and key carries the totals across."""
     counts = value_counts(df, keys, column, weight)
-    # a log scale splits long tails, a linear one splits values that lie close together far from zero
-    bounds = counts.agg(F.struct(F.min("value").cast("double").alias("lo"), F.max("value").cast("double").alias("hi")))
-    lo, hi = bounds.scalar().lo, bounds.scalar().hi
-    linear = F.floor((F.col("value").cast("double") - lo) / F.greatest(hi - lo, F.lit(1e-300)) * 4096)
-    cell = F.struct(value_bucket("value").alias("log"), linear.alias("linear"))
-    return running_total(counts, keys, ["value"], "n", cell, out="upto", total="total").withColumn(
-        "first_pos", F.col("upto") - F.col("n")
-    )
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = pin(counts.repartitionByRange(slices, *[F.col(k) for k in keys], F.col("value")).withColumn("_slice", F.spark_partition_id()))
+    ranked = running_total(placed, keys, ["value"], "n", F.col("_slice"), out="upto", total="total")
+    return ranked.drop("_slice").withColumn("first_pos", F.col("upto") - F.col("n"))
 
 
 def _value_at(position: Column) -> Column:
@@ -221,19 +220,23 @@ def question_metrics(df: DataFrame, keys: Sequence[str], column: str, domain: Se
 
 
 def dimension_slices(df: DataFrame, dims: Sequence[str], keys: Sequence[str], measure: str, domain=(1, 2, 3, 4, 5)):
-    """Each question broken out by one dimension at a time."""
-    long = df.select(
+    """Each question broken out by one dimension at a time. Rows combine to cells of all dimensions and the
+    value before they are listed once per dimension."""
+    cells = df.groupBy(*dict.fromkeys([*keys, *dims, measure])).agg(F.count(F.lit(1)).alias("_n"))
+    long = cells.select(
         *keys,
         measure,
+        "_n",
         F.explode(
             F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dims])
         ).alias("_d"),
-    ).select(*keys, measure, "_d.dimension", "_d.value")
+    ).select(*keys, measure, "_n", "_d.dimension", "_d.value")
     x = F.col(measure)
+    filled = F.coalesce(F.sum(F.when(x.isNotNull(), F.col("_n"))), F.lit(0))
     return long.groupBy(*keys, "dimension", "value").agg(
-        publish(F.avg(x.cast("double"))).alias("mean_score"),
-        F.count(x).alias("response_count"),
-        *[F.count_if(x == v).alias(f"n_{v}") for v in domain],
+        publish(F.try_divide(F.sum(x.cast("double") * F.col("_n")), filled)).alias("mean_score"),
+        filled.alias("response_count"),
+        *[F.coalesce(F.sum(F.when(x == v, F.col("_n"))), F.lit(0)).alias(f"n_{v}") for v in domain],
     )
 
 

@@ -156,31 +156,32 @@ def scd2_key_join(fact: DataFrame, dim: DataFrame, version_key: str) -> DataFram
 def scd2_asof_join(fact: DataFrame, dim: DataFrame, key: str, date: str) -> DataFrame:
     """The version valid on the fact's date.
 
-    Versions are listed once per calendar year they cover inside the fact's date
-    range. The join is then on (key, year) with the interval as residual, so a
-    busy key is split by year and a fact meets only versions of its own year.
+    Versions are listed once per month they cover inside the fact's date range. The join
+    is then on (key, month) with the interval as residual, so a busy key is split by month
+    and a fact meets only versions of its own month.
     """
     day = F.col(date).cast("date")
     span = fact.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    first = F.year(F.greatest(F.col("valid_from"), span.select("lo").scalar()))
-    final = F.year(F.least(F.col("valid_to"), span.select("hi").scalar()))
-    yearly = (
+    month = lambda d: F.year(d) * 12 + F.month(d)
+    first = month(F.greatest(F.col("valid_from"), span.select("lo").scalar()))
+    final = month(F.least(F.col("valid_to"), span.select("hi").scalar()))
+    monthly = (
         dim.withColumn("_first", first)
         .withColumn("_final", final)
         .filter(F.col("_first") <= F.col("_final"))
-        .withColumn("_year", F.explode(F.sequence("_first", "_final")))
+        .withColumn("_month", F.explode(F.sequence("_first", "_final")))
         .withColumnRenamed(key, "_dim_key")
         .drop("_first", "_final")
     )
     return (
-        fact.withColumns({"_day": day, "_fact_year": F.year(day)})
+        fact.withColumns({"_day": day, "_fact_month": month(day)})
         .join(
-            yearly,
+            monthly,
             (F.col(key) == F.col("_dim_key"))
-            & (F.col("_fact_year") == F.col("_year"))
+            & (F.col("_fact_month") == F.col("_month"))
             & F.col("_day").between(F.col("valid_from"), F.col("valid_to")),
         )
-        .drop("_day", "_fact_year", "_year", "_dim_key")
+        .drop("_day", "_fact_month", "_month", "_dim_key")
     )
 
 

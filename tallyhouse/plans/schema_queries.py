@@ -10,7 +10,7 @@ from tallyhouse.operators.aggregate import pivot_eav
 from tallyhouse.plans.catalog import pub, query, with_eav, with_survey
 from tallyhouse.plans.inputs import STANDARD, event_eav
 from tallyhouse.session import scratch_path
-from tallyhouse.sources.files import stored_bytes, write_parquet
+from tallyhouse.sources.files import write_parquet
 from tallyhouse.sources.survey import survey, table
 
 IDS = ["entity_id", "project", "team"]
@@ -295,21 +295,6 @@ def scd3_apply(spark, sf):
 # ---- layout -----------------------------------------------------------------
 
 
-@query("storage_compare")
-def storage_compare(spark, sf):
-    """Rows, files and bytes of the four encodings of the same answers."""
-    eav = event_eav(spark, sf)
-    slots, _ = reshape.eav_to_slots(eav, IDS, "project", STANDARD, N_SLOTS)
-    forms = {"eav": eav, "wide": reshape.eav_to_wide(eav, IDS), "json": reshape.eav_to_json(eav, IDS), "slots": slots}
-    return layout.storage_compare(forms, scratch_path(spark, "forms"))
-
-
-@query("column_sizes")
-def column_sizes(spark, sf):
-    columns = ["l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"]
-    return layout.column_sizes(table(spark, sf, "lineitem"), columns, scratch_path(spark, "columns"))
-
-
 def _two_copies(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
     root = scratch_path(spark, "copies")
@@ -318,20 +303,6 @@ def _two_copies(spark, sf):
     return root
 
 
-@query("pruning_report")
-def pruning_report(spark, sf):
-    """Files a narrow supplier filter must open in a clustered and in an unclustered copy."""
-    root = _two_copies(spark, sf)
-    return layout.pruning_report(spark, {"sorted": f"{root}/sorted", "unsorted": f"{root}/unsorted"}, "l_suppkey", 3, 5)
-
-
-@query("zone_map")
-def zone_map(spark, sf):
-    root = _two_copies(spark, sf)
-    zones = layout.zone_map(spark, f"{root}/sorted", ["l_suppkey", "l_quantity"])
-    return zones.withColumn("file", F.substring_index("file", "/", -1))
-
-
 @query("clustered_read", "SELECT l_suppkey, COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem WHERE l_suppkey BETWEEN 3 AND 5 GROUP BY l_suppkey")
 def clustered_read(spark, sf):
     root = _two_copies(spark, sf)
@@ -363,13 +334,6 @@ def partition_pruned(spark, sf):
     return rows.groupBy("year", "category").agg(publish(F.avg("score")).alias("mean_score"), F.count(F.lit(1)).alias("response_count"))
 
 
-@query("stored_bytes")
-def stored(spark, sf):
-    path = scratch_path(spark, "sizes")
-    write_parquet(table(spark, sf, "orders"), path, sort_by=["o_orderdate"])
-    return stored_bytes(spark, path)
-
-
 @query("json_filter", "SELECT event_type, COUNT(*) AS n FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY event_type")
 def json_filter(spark, sf):
     return table(spark, sf, "events").filter(json_has_key("props", "k")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))

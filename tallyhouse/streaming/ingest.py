@@ -117,6 +117,13 @@ def stream_split_late(sdf: DataFrame, ts: str, delay: str, path: str, checkpoint
     spark = sdf.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read three times
+        try:
+            write_parts(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def write_parts(batch: DataFrame, batch_id: int) -> None:
         bound = None
         if batch_id > 0:
             bound = spark.read.parquet(f"{path}/seen/batch={batch_id - 1}").first()[0]

@@ -105,3 +105,24 @@ def test_scores_are_given_for_rows_that_lack_a_feature(spark):
 def test_products_are_dealt_by_their_size(spark):
     dim = lambda n, c: spark.range(n).withColumnRenamed("id", c)
     assert cross_cells([dim(3, "a"), dim(4, "b")], [["a"], ["b"]]).select("a", "b").distinct().count() == 12
+
+
+def test_one_outlier_does_not_gather_the_values_in_one_task(spark):
+    values = spark.range(20_000).select((100 + F.col("id") / 200_000).alias("v")).unionByName(spark.createDataFrame([(1e12,)], "v double"))
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ranked = aggregate._ranked_values(values, [], "v")
+        sizes = [r[0] for r in ranked.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20_001 and max(sizes) < 20_001 * 0.5
+    assert aggregate.percentiles(values, [], "v", [0.5]).first()[0] == pytest.approx(100.05)
+
+
+def test_slices_skip_missing_answers(spark, rows):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 3), ("a", "y", None)], "q string, d string, s int")
+    assert rows(aggregate.dimension_slices(df, ["d"], ["q"], "s", (1, 2, 3)), "value", "mean_score", "response_count", "n_1", "n_2") == [("x", 2.0, 2, 1, 0), ("y", None, 0, 0, 0)]
