@@ -99,3 +99,55 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     judged = judge(pages.select("page_id", "url"), alias_edges(pages))
     return judged.select("page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_verdict").alias("verdict"))
+
+
+def _sql_parts(u: str) -> tuple[str, str, str]:
+    """Host, path and address of a URL expression in SQL."""
+    at = f"strpos({u}, '://')"
+    rest = f"substr({u}, {at} + 3)"
+    raw = f"regexp_extract({rest}, '^([^/?#]*)', 1)"
+    fold = lambda x: f"translate({x}, '{_UPPER}', '{_LOWER}')"
+    tail = f"substr({rest}, length({raw}) + 1)"
+    host = f"CASE WHEN {at} > 0 THEN {fold(raw)} ELSE '' END"
+    path = f"CASE WHEN {at} > 0 THEN regexp_extract({tail}, '^([^?#]*)', 1) ELSE '' END"
+    whole = f"CASE WHEN {at} > 0 THEN {fold(f'substr({u}, 1, {at} - 1)')} || '://' || {fold(raw)} || regexp_extract({tail}, '^([^#]*)', 1) END"
+    return host, path, whole
+
+
+def _sql_rule(host: str, path: str, what: str) -> str:
+    ordered = sorted(RULES, key=lambda r: (-len(r[0]), -len(r[1])))
+    cases = " ".join(f"WHEN ({host} = '{h}' OR ends_with({host}, '.{h}')) AND starts_with({path}, '{p}') THEN '{h + p if what == 'rule' else v}'" for h, p, v in ordered)
+    return f"CASE {cases} END"
+
+
+_HOST, _PATH, _ADDRESS = _sql_parts("u")
+_LINK = r"""regexp_extract(regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)"""
+_META = r"""regexp_extract(regexp_extract(html, '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1), '(?is)\burl\s*=\s*[''"]?([^"''\s>]+)', 1)"""
+
+SQL = {
+    "op3_url_filter": rf"""
+WITH RECURSIVE p AS (
+  SELECT page_id, u, {_HOST} AS host, {_PATH} AS path, {_ADDRESS} AS address FROM (SELECT page_id, coalesce(url, '') AS u FROM pages)
+), named AS (
+  SELECT url AS v, {_LINK} AS target FROM pages UNION ALL SELECT url, {_META} FROM pages
+), absolute AS (
+  SELECT v, CASE WHEN strpos(target, '://') > 0 THEN target
+    WHEN starts_with(target, '//') THEN regexp_extract(v, '^([^:/?#]+:)', 1) || target
+    WHEN starts_with(target, '/') THEN regexp_extract(v, '^([^:/?#]+://[^/?#]*)', 1) || target
+    ELSE regexp_extract(v, '^([^:/?#]+://[^?#]*/|[^:/?#]+://[^/?#]*)', 1) || CASE WHEN regexp_matches(v, '^[^:/?#]+://[^/?#]*$') THEN '/' ELSE '' END || target END AS w
+  FROM named WHERE v IS NOT NULL AND target <> ''
+), edges AS (
+  SELECT {_sql_parts('v')[2]} AS a, {_sql_parts('w')[2]} AS b FROM absolute
+), both_ways AS (
+  SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b
+), reach AS (
+  SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+), decided AS (
+  SELECT a, bool_or(verdict = 'block') AS b, bool_or(verdict = 'allow') AS w
+  FROM (SELECT a, {_sql_rule('host', 'path', 'verdict')} AS verdict FROM (SELECT a, {_HOST} AS host, {_PATH} AS path FROM (SELECT a, b AS u FROM reach))) GROUP BY a
+)
+SELECT page_id, host, path, {_sql_rule('host', 'path', 'rule')} AS rule,
+       coalesce({_sql_rule('host', 'path', 'verdict')}, CASE WHEN d.b AND NOT coalesce(d.w, FALSE) THEN 'block' END, 'allow') AS verdict
+FROM p LEFT JOIN decided d ON d.a = p.address
+""",
+}

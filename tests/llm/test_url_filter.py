@@ -46,3 +46,18 @@ def test_aliases(spark, stored, tmp_path):
 def test_plan_has_no_python(spark, sf):
     plan = op3_url_filter(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_sql_follows_aliases_too(spark, stored, tmp_path):
+    import duckdb
+
+    from tallyhouse.llm.url_filter import SQL
+
+    stored([(1, "http://x.net/a#q", "<link rel=canonical href='http://example.org/es/1'>"), (2, "http://y.net/b/c", "<meta http-equiv=refresh content='1;url=d'>"),
+            (3, "http://y.net/b/d", "<link href='http://x.net/a' rel=canonical>"), (4, "http://z.net", "<link rel=canonical href='e'>"), (5, "http://z.net/e", None), (6, None, "")], PAGES, "pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    mine = sorted(tuple(r) for r in op3_url_filter(spark, str(tmp_path)).select(*columns).collect())
+    assert mine == sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({SQL['op3_url_filter']})").fetchall())
+    assert [r[-1] for r in mine] == ["block", "block", "block", "allow", "allow", "allow"]
