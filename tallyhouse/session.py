@@ -62,9 +62,21 @@ def shared_root(spark: SparkSession) -> str:
     return named or current
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's stored intermediates, under the shared one."""
+    return f"{shared_root(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's run folder."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the run folder, once nothing that was stored in it is read any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def pin(df: DataFrame) -> DataFrame:
