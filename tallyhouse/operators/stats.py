@@ -46,6 +46,46 @@ def driver_analysis(df: DataFrame, target: str, drivers: Sequence[str], segment:
     return scored.withColumn("driver_rank", F.row_number().over(w).cast("bigint"))
 
 
+def segment_regression(df: DataFrame, target: str, drivers: Sequence[str], segment: Sequence[str]) -> DataFrame:
+    """Joint least squares per segment: each driver's coefficient and its share of the explained variance.
+
+    The shares (coefficient times covariance with the target over the target's variance) add up to R
+    squared, and rank the drivers. Rows with a NULL do not count. One grouped pass gives the moments, and
+    the small equations are solved on one row per segment. Segments whose drivers depend on each other
+    linearly, or whose target is constant, have NULLs. Filter `df` to refit.
+    """
+    names = [*drivers, target]
+    whole = df.select(*segment, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(names)]).dropna(subset=[f"_v{i}" for i in range(len(names))])
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    moments = whole.groupBy(*segment).agg(F.count(F.lit(1)).alias("n"), *[F.covar_pop(f"_v{i}", f"_v{j}").alias(f"_c{i}_{j}") for i, j in pairs])
+    count, keys, labels = len(drivers), list(segment), list(drivers)
+
+    def solve(parts):
+        import numpy as np
+
+        for part in parts:
+            out = []
+            for row in part.to_dict("records"):
+                both = np.array([[row[f"_c{min(i, j)}_{max(i, j)}"] for j in range(count + 1)] for i in range(count + 1)], dtype=float)
+                spread = np.sqrt(np.diag(both))
+                scaled = both / np.where(spread > 0, np.outer(spread, spread), 1)
+                fits = spread.min() > 0 and np.linalg.eigvalsh(scaled[:count, :count]).min() > 1e-9
+                beta = np.linalg.solve(both[:count, :count], both[:count, count]) if fits else [None] * count
+                for i, label in enumerate(labels):
+                    share = beta[i] * both[i, count] / both[count, count] if fits else None
+                    out.append([*(row[k] for k in keys), label, row["n"], beta[i], share])
+            yield part.iloc[:0][keys].reindex(range(len(out))).assign(**{c: [r[i] for r in out] for i, c in enumerate([*keys, "driver", "n", "coefficient", "share"])})
+
+    schema = T.StructType([*(moments.schema[k] for k in keys), *(T.StructField(c, t) for c, t in (("driver", T.StringType()), ("n", T.LongType()), ("coefficient", T.DoubleType()), ("share", T.DoubleType())))])
+    solved = moments.mapInPandas(solve, schema)
+    of = Window.partitionBy(*keys)
+    return solved.select(
+        *keys, "driver", "n", publish("coefficient", 4).alias("coefficient"), publish("share", 4).alias("share"),
+        publish(F.sum("share").over(of), 4).alias("r_squared"),
+        F.row_number().over(of.orderBy(F.col("share").desc_nulls_last(), "driver")).cast("bigint").alias("driver_rank"),
+    )
+
+
 def multi_driver_regression(df: DataFrame, target: str, drivers: Sequence[str]):
     """Least squares on all drivers together; returns the fitted model."""
     from pyspark.ml.feature import VectorAssembler

@@ -49,6 +49,19 @@ def driver_regression(spark, sf):
     return spark.createDataFrame(rows, "driver string, coefficient double, r_squared double")
 
 
+@query("segment_drivers", f"""
+WITH r AS (SELECT l_returnflag AS g, CAST(l_extendedprice AS DOUBLE) AS y, CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) AS b FROM lineitem
+  WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL AND l_discount IS NOT NULL),
+m AS (SELECT g, COUNT(*) AS n, VAR_POP(a) AS aa, COVAR_POP(a, b) AS ab, VAR_POP(b) AS bb, COVAR_POP(a, y) AS ay, COVAR_POP(b, y) AS by_, VAR_POP(y) AS yy FROM r GROUP BY g),
+c AS (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS ka, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS kb FROM m),
+s AS (SELECT g, n, 'l_quantity' AS driver, ka AS k, ka * ay / yy AS share FROM c UNION ALL SELECT g, n, 'l_discount', kb, kb * by_ / yy FROM c)
+SELECT g AS l_returnflag, driver, n, {pub('k', 4)} AS coefficient, {pub('share', 4)} AS share, {pub('SUM(share) OVER (PARTITION BY g)', 4)} AS r_squared,
+       ROW_NUMBER() OVER (PARTITION BY g ORDER BY share DESC, driver) AS driver_rank FROM s""")
+def segment_drivers(spark, sf):
+    """Price explained by quantity and discount together, per return flag, ranked by their share."""
+    return stats.segment_regression(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity", "l_discount"], ["l_returnflag"])
+
+
 @query("t_statistic", f"""
 WITH g AS (SELECT o_orderstatus AS g, COUNT(*) AS n, AVG(o_totalprice) AS m, VAR_SAMP(o_totalprice) AS v FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1),
 a AS (SELECT * FROM g WHERE g = 'F'), b AS (SELECT * FROM g WHERE g = 'O')

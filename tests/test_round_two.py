@@ -126,3 +126,14 @@ def test_one_outlier_does_not_gather_the_values_in_one_task(spark):
 def test_slices_skip_missing_answers(spark, rows):
     df = spark.createDataFrame([("a", "x", 1), ("a", "x", 3), ("a", "y", None)], "q string, d string, s int")
     assert rows(aggregate.dimension_slices(df, ["d"], ["q"], "s", (1, 2, 3)), "value", "mean_score", "response_count", "n_1", "n_2") == [("x", 2.0, 2, 1, 0), ("y", None, 0, 0, 0)]
+
+
+def test_joint_drivers_per_segment(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=200), rng.normal(size=200)
+    rows = [("s", float(x), float(z), float(2 * x - z)) for x, z in zip(a, b, strict=True)] + [("flat", 1.0, 2.0, 3.0)] * 3 + [("s", None, 1.0, 1.0)]
+    got = {(r.g, r.driver): r for r in stats.segment_regression(spark.createDataFrame(rows, "g string, a double, b double, y double"), "y", ["a", "b"], ["g"]).collect()}
+    assert (got["s", "a"].coefficient, got["s", "b"].coefficient, got["s", "a"].r_squared, got["s", "a"].n) == (2.0, -1.0, 1.0, 200)
+    assert (got["s", "a"].driver_rank, got["s", "b"].driver_rank) == (1, 2) and got["flat", "a"].coefficient is None
