@@ -2,7 +2,8 @@
 
 Documents are tokenised where they are read, each followed by an end token. What fills whole windows
 is cut off as windows of its own; the rests are dealt to blocks of about `block_tokens` by a hash, so
-that a block is a bounded sample of all rests, and each block is packed by itself. In a block, every
+that a block is a bounded sample of all rests, and each block is packed by itself. A rest of more than
+half a window is cut in two: with less than two rests to a window, no partition of them is near-equal. In a block, every
 rest starts as a partition of one filled window; the two partitions with the largest differences are
 merged again and again, fullest windows onto emptiest, until one is left, whose windows are nearly
 equal. While the fullest exceeds the capacity, the number of windows rises.
@@ -75,7 +76,7 @@ def pack(sizes: np.ndarray, capacity: int) -> list[list[int]]:
         members = difference(sizes, windows)
         if max(int(sizes[m].sum()) for m in members) <= capacity:
             return [m for m in members if m]
-        windows += max(1, windows // 128)
+        windows += 1
 
 
 def pack_documents(
@@ -98,13 +99,15 @@ def pack_documents(
     ])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, no = TextEncoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, part, no, half = TextEncoder(vocabulary), TaskContext.get().partitionId(), 0, -(-capacity // 2)
         for batch in batches:
             owners, columns, tokens = [], [], []
             for row, data in enumerate(binaries(batch, text)):
                 coded = np.append(encoder.ids(data.decode()), np.uint32(end_token)).astype("<u4")
-                for start in range(0, len(coded), capacity):
-                    piece = coded[start : start + capacity]
+                full = len(coded) - len(coded) % capacity
+                cuts = [*range(0, full, capacity), *range(full, len(coded), half), len(coded)]
+                for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                    piece = coded[start:end]
                     columns.append((start, len(piece), zlib.crc32(piece.tobytes()), len(coded), part, no))
                     owners.append(row)
                     no += 1

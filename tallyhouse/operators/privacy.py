@@ -184,6 +184,15 @@ def suppress_complementary(
     ).drop("_hidden")
 
 
+def line_totals(hidden: DataFrame, line: str, n: str) -> DataFrame:
+    """Totals to publish next to a table with hidden cells: NULL where a line has exactly one of them.
+
+    Only lines of a single cell are left with one by `suppress_complementary`; their total is that cell.
+    """
+    gone = F.count_if(F.col("suppression_reason").isNotNull())
+    return hidden.groupBy(line).agg(F.when(gone != 1, F.sum(n)).alias("total"), gone.alias("hidden_cells"), F.count(F.lit(1)).alias("cells"))
+
+
 def suppress_by_role(agg: DataFrame, n: str, measures: Sequence[str], thresholds: Mapping[str, int]) -> DataFrame:
     """One copy of each group per role, hidden below that role's threshold."""
     roles = F.array(*[F.struct(F.lit(r).alias("role"), F.lit(k).alias("k")) for r, k in thresholds.items()])

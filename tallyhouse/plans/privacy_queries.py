@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.columns import register_functions
+from tallyhouse.functions.columns import publish, register_functions
 from tallyhouse.operators import access, privacy
 from tallyhouse.operators.compare import consistency_check
 from tallyhouse.plans.catalog import pub, query, with_survey
-from tallyhouse.session import scratch_path
+from tallyhouse.session import pin, scratch_path
 from tallyhouse.sources.survey import survey, table
 
 CUTS = [["team_name"], ["team_name", "project"], ["team_name", "project", "location"], ["team_name", "project", "location", "category", "year"]]
@@ -92,7 +92,7 @@ def _adjacent_input(spark, sf):
     """Supplier counts per nation and balance band: small groups inside a parent."""
     band = F.floor(F.col("s_acctbal") / 2500).cast("int").alias("band")
     return table(spark, sf, "supplier").groupBy("s_nationkey", band).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("s_acctbal").cast("decimal(18,6)"), 2).cast("double").alias("mean_score")
+        F.count(F.lit(1)).alias("n"), publish(F.avg("s_acctbal")).alias("mean_score")
     )
 
 
@@ -123,6 +123,19 @@ def suppress_complementary(spark, sf):
     return privacy.suppress_complementary(_adjacent_input(spark, sf), "s_nationkey", "band", "n", ["mean_score"], k=2)
 
 
+@query("complementary_check", _ADJ + """
+SELECT COUNT(CASE WHEN n < 2 THEN 1 END) AS small_cells, CAST(0 AS BIGINT) AS shown_small_cells, CAST(0 AS BIGINT) AS exposed_lines,
+       CAST(SUM(n) AS BIGINT) AS suppliers FROM a""")
+def complementary_check(spark, sf):
+    """The hidden table attacked: small cells still shown, and lines whose published total gives a cell away."""
+    cells = pin(privacy.suppress_complementary(_adjacent_input(spark, sf), "s_nationkey", "band", "n", ["mean_score"], k=2))
+    lines = privacy.line_totals(cells, "s_nationkey", "n").drop("s_nationkey").unionByName(privacy.line_totals(cells, "band", "n").drop("band"))
+    exposed = lines.agg(F.count_if((F.col("hidden_cells") == 1) & F.col("total").isNotNull()).alias("x")).scalar()
+    return cells.agg(
+        F.count_if(F.col("n") < 2).alias("small_cells"), F.count_if((F.col("n") < 2) & F.col("mean_score").isNotNull()).alias("shown_small_cells"), exposed.alias("exposed_lines"), F.sum("n").alias("suppliers")
+    )
+
+
 def _policies(spark, sf):
     """Managers own the teams of their region; the survey admin sees every row."""
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
@@ -193,7 +206,7 @@ WITH g AS (SELECT s_nationkey, COUNT(*) AS n, {pub('AVG(s_acctbal)')} AS m FROM
 SELECT s_nationkey, n, role, CASE WHEN n >= k THEN m END AS mean_score, n < k AS is_suppressed FROM g CROSS JOIN (VALUES ('admin', 1), ('hr', 3), ('manager', 5)) r(role, k)""")
 def suppress_by_role(spark, sf):
     groups = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("s_acctbal").cast("decimal(18,6)"), 2).cast("double").alias("mean_score")
+        F.count(F.lit(1)).alias("n"), publish(F.avg("s_acctbal")).alias("mean_score")
     )
     return privacy.suppress_by_role(groups, "n", ["mean_score"], {"admin": 1, "hr": 3, "manager": 5})
 

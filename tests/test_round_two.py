@@ -137,3 +137,14 @@ def test_joint_drivers_per_segment(spark):
     got = {(r.g, r.driver): r for r in stats.segment_regression(spark.createDataFrame(rows, "g string, a double, b double, y double"), "y", ["a", "b"], ["g"]).collect()}
     assert (got["s", "a"].coefficient, got["s", "b"].coefficient, got["s", "a"].r_squared, got["s", "a"].n) == (2.0, -1.0, 1.0, 200)
     assert (got["s", "a"].driver_rank, got["s", "b"].driver_rank) == (1, 2) and got["flat", "a"].coefficient is None
+
+
+def test_the_total_of_a_line_with_one_cell_is_hidden_too(spark):
+    from tallyhouse.operators import privacy
+
+    cells = spark.createDataFrame([("r1", "c1", 1), ("r2", "c1", 9), ("r2", "c2", 8), ("r3", "c2", 7)], "r string, c string, n int").withColumn("m", F.col("n") * 1.0)
+    out = privacy.suppress_complementary(cells, "r", "c", "n", ["m"], k=4)
+    totals = {x.r: x.total for x in privacy.line_totals(out, "r", "n").collect()}
+    assert totals["r1"] is None
+    for line in ("r", "c"):
+        assert all(x.total is None for x in privacy.line_totals(out, line, "n").collect() if x.hidden_cells == 1)
