@@ -131,23 +131,28 @@ def _stage(rows, cuts) -> str:
     return path
 
 
-@query("stream_dedup", "SELECT event_id, user_id, event_type, value FROM events")
+@query("stream_dedup", "SELECT event_id, user_id, event_type, value FROM events WHERE NOT (ts < TIMESTAMP '2024-01-05 00:00:00' AND event_id % 10 = 0)")
 def stream_dedup(spark, sf):
-    """Two arrivals that overlap by five days; each event is kept once."""
-    path = _stage(table(spark, sf, "events"), [F.col("ts") < _at("18"), F.col("ts") >= _at("13")])
+    """Two arrivals that overlap by five days, and a third of old events, sent again or for the first time: each
+    event is kept once, and what comes behind the watermark is rejected."""
+    old = F.col("ts") < _at("05")
+    held = old & (F.col("event_id") % 10 == 0)
+    path = _stage(table(spark, sf, "events"), [(F.col("ts") < _at("18")) & ~held, F.col("ts") >= _at("13"), held | (old & (F.col("event_id") % 3 == 0))])
     source = ingest.stream_bronze(spark, path, EVENTS, "ts", files_per_batch=4)
-    unique = ingest.stream_dedup(source, ["event_id"], "ts", "40 days")
+    unique = ingest.stream_dedup(source, ["event_id"], "ts", "6 days")
     return ingest.drain(unique, scratch_path(spark, "unique"), scratch_path(spark, "ckpt")).select("event_id", "user_id", "event_type", "value")
 
 
 @query("stream_gold", f"""
-SELECT DATE_TRUNC('day', ts)::TIMESTAMP AS window_start, event_type, {pub('SUM(CAST(value AS DECIMAL(18,4)))::DOUBLE / COUNT(*)')} AS mean_value, COUNT(*) AS n FROM events GROUP BY 1, 2""")
+SELECT DATE_TRUNC('day', ts)::TIMESTAMP AS window_start, event_type, {pub('SUM(CAST(value AS DECIMAL(18,4)))::DOUBLE / COUNT(*)')} AS mean_value, COUNT(*) AS n FROM events
+WHERE NOT (ts < TIMESTAMP '2024-01-05 00:00:00' AND event_id % 10 = 0) GROUP BY 1, 2""")
 def stream_gold(spark, sf):
-    """Daily means per event type kept by the stream over several arrivals."""
-    path = _stage(table(spark, sf, "events"), [F.col("ts") < _at("12"), (F.col("ts") >= _at("12")) & (F.col("ts") < _at("22")), F.col("ts") >= _at("22")])
+    """Daily means per event type kept by the stream over several arrivals; windows behind the watermark are closed."""
+    held = (F.col("ts") < _at("05")) & (F.col("event_id") % 10 == 0)
+    path = _stage(table(spark, sf, "events"), [(F.col("ts") < _at("12")) & ~held, (F.col("ts") >= _at("12")) & (F.col("ts") < _at("22")), (F.col("ts") >= _at("22")) | held])
     source = ingest.stream_bronze(spark, path, EVENTS, "ts", files_per_batch=4)
     out = scratch_path(spark, "gold")
-    ingest.stream_gold(source, "ts", "1 day", ["event_type"], "value", "40 days", out, scratch_path(spark, "ckpt")).awaitTermination()
+    ingest.stream_gold(source, "ts", "1 day", ["event_type"], "value", "3 days", out, scratch_path(spark, "ckpt")).awaitTermination()
     means = ingest.published_means(ingest.read_gold(spark, out, ["event_type"]), ["event_type"])
     return means.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

@@ -153,19 +153,28 @@ def run_layers(
     path: str,
     select: str | None = None,
     gated: bool = True,
+    only: str | None = None,
 ) -> dict[str, DataFrame]:
     """Build the models in order. Stored models go to parquet; each layer's checks must pass first.
 
-    `select` stops after the named layer. A failed check raises before anything
+    `select` stops after the named layer. `only` builds and checks that layer alone: stored models of
+    earlier layers are read as an earlier run left them. A failed check raises before anything
     downstream is built.
     """
     ready: dict[str, DataFrame] = dict(sources)
     ordered = build_order(models)
     layers = list(dict.fromkeys(m.layer for m in ordered))
+    if only is not None and only not in layers:
+        raise ValueError(f"unknown layer {only}")
+    select = only or select
     for layer in layers:
         built = [m for m in ordered if m.layer == layer]
         specs: list[CheckSpec] = []
         for model in built:
+            if only is not None and layer != only:
+                stored = f"{path}/{layer}/{model.name}"
+                ready[model.name] = spark.read.parquet(stored) if model.stored else model.build(*[ready[name] for name in model.inputs])
+                continue
             df = model.build(*[ready[name] for name in model.inputs])
             if model.stored:
                 df.write.mode("overwrite").parquet(f"{path}/{layer}/{model.name}")

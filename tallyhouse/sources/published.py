@@ -34,16 +34,28 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
     return manifest(spark, path).agg(F.max("version")).first()[0]
 
 
+def _claim(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(file)
+
+
 def publish_version(df: DataFrame, path: str, keys: Sequence[str], version: int | None = None) -> int:
     """Write a new version, range-partitioned and sorted by key, then announce it.
 
-    Data left by a load that died before its announcement is replaced.
+    A version is claimed by creating a file that must not exist yet, so two loads never share one: the
+    second takes the next number, or fails if it asked for this one. A load that died before its
+    announcement leaves a claim and its data, which no reader sees.
     """
     spark = df.sparkSession
     newest = latest_version(spark, path) or 0
-    version = newest + 1 if version is None else version
+    asked, version = version, newest + 1 if version is None else version
     if version <= newest:
         raise ValueError(f"version {version} is not after {newest}")
+    while not _claim(spark, f"{path}/claims/v={version}"):
+        if asked is not None:
+            raise ValueError(f"version {version} is taken by another load")
+        version += 1
     data = f"{path}/data/v={version}"
     range_sorted(df, keys).write.mode("overwrite").parquet(data)
     rows = spark.read.schema(df.schema).parquet(data).count()  # from file footers

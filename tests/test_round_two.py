@@ -148,3 +148,33 @@ def test_the_total_of_a_line_with_one_cell_is_hidden_too(spark):
     assert totals["r1"] is None
     for line in ("r", "c"):
         assert all(x.total is None for x in privacy.line_totals(out, line, "n").collect() if x.hidden_cells == 1)
+
+
+def test_one_layer_alone_reads_what_was_stored(spark, tmp_path):
+    from tallyhouse.plans.medallion import Model, run_layers
+
+    built = []
+
+    def model(name, layer, inputs, stored=True):
+        return Model(name=name, layer=layer, inputs=inputs, build=lambda df: built.append(name) or df.withColumn(name, F.lit(1)), stored=stored)
+
+    models = [model("b", "bronze", ("src",)), model("s", "silver", ("b",), stored=False), model("g", "gold", ("s",))]
+    source = {"src": spark.range(3).toDF("id")}
+    run_layers(spark, models, source, str(tmp_path))
+    built.clear()
+    out = run_layers(spark, models, {"src": spark.range(99).toDF("id")}, str(tmp_path), only="gold")
+    assert out["g"].count() == 3 and built == ["s", "g"]
+    with pytest.raises(ValueError):
+        run_layers(spark, models, source, str(tmp_path), only="copper")
+
+
+def test_two_publishers_never_share_a_version(spark, tmp_path):
+    from tallyhouse.sources import published
+
+    path, df = str(tmp_path / "p"), spark.range(5)
+    assert published.publish_version(df, path, ["id"]) == 1
+    assert published._claim(spark, f"{path}/claims/v=2")  # another load that has not announced yet
+    with pytest.raises(ValueError, match="taken"):
+        published.publish_version(df, path, ["id"], version=2)
+    assert published.publish_version(df.limit(2), path, ["id"]) == 3
+    assert published.read_version(spark, path).count() == 2
