@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import binaries, read
+from tallyhouse.llm.common import binaries, bounded_batches, read
 from tallyhouse.llm.tokens import TextEncoder
 from tallyhouse.session import pin
 
@@ -92,6 +92,7 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces of documents with their window: `doc_id`, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, and the ids themselves if `with_tokens`."""
+    bounded_batches(docs.sparkSession)
     ids = docs.schema[doc_id]
     cut_schema = T.StructType([
         T.StructField("doc_id", ids.dataType), *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "_from", "_no")),
