@@ -47,6 +47,8 @@ HEADLINE = [
     "ttl_replay",
     "driver_correlations",
     "chi_squared",
+    "served_read",
+    "stream_gold",
 ]
 
 
