@@ -1,49 +1,42 @@
-"""Token ids of texts by a public byte-level vocabulary, quick for repeated words."""
+"""Token ids of texts by a public byte-level vocabulary."""
 
 from __future__ import annotations
 
 import base64
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
-import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 300_000
+
+def special_strings(vocabulary: str) -> list[str]:
+    at = f"{vocabulary}.json"
+    whole = Tokenizer.from_file(at if "/" in vocabulary else public_tokenizers.path(at))
+    return [t.content for t in whole.get_added_tokens_decoder().values()]
 
 
 class TextEncoder:
     """The ids that the tokenizers library gives without special tokens of its own.
 
-    The vocabulary is stored twice, for two libraries: as pieces of a text are coded independently,
-    the ranks code each distinct piece once, and a bounded table remembers them. A text with the string
-    of a special token goes to the tokenizers library itself.
+    The vocabulary is stored twice, for two libraries. Texts are coded by its ranks, which takes a third
+    of the time; one with the string of a special token goes to the tokenizers library itself.
     """
 
-    def __init__(self, vocabulary: str = "byte_bpe_50k"):
-        """`vocabulary`: a name of the public vocabularies, or the path of its files without their ending."""
-        at = vocabulary if "/" in vocabulary else str(Path(public_tokenizers.path(f"{vocabulary}.json")).with_suffix(""))
-        self.whole = Tokenizer.from_file(f"{at}.json")
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        with open(f"{at}.tiktoken", "rb") as lines:
+    def __init__(self, vocabulary: str = "byte_bpe_50k", special: list[str] | None = None):
+        """`vocabulary`: a name of the public vocabularies, or the path of its files without their ending.
+        `special`: its special tokens' strings, where they are known; the tokenizers library is then
+        loaded only for a text that has one."""
+        self.at = vocabulary if "/" in vocabulary else str(Path(public_tokenizers.path(f"{vocabulary}.json")).with_suffix(""))
+        self.special = special_strings(vocabulary) if special is None else special
+        self.whole: Tokenizer | None = None
+        with open(f"{self.at}.tiktoken", "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, list[int]] = {}
 
     def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        known, pieces = self.known, self.pieces(text)
-        coded = list(map(known.get, pieces))
-        if None in coded:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-            for i, own in enumerate(coded):
-                if own is None:
-                    coded[i] = own = known.get(pieces[i]) or self.encode(pieces[i])
-                    known[pieces[i]] = own
-        return np.fromiter(chain.from_iterable(coded), np.uint32)
+            self.whole = self.whole or Tokenizer.from_file(f"{self.at}.json")
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.encode(text), "<u4")
