@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of texts hold 8 MB, where the session has Spark's default of 64 MB: a task holds
+    a few copies of a batch, outside of the heap, and has no use for larger ones."""
+    if spark.conf.get(_BATCH, None) == f"{64 << 20}b":
+        spark.conf.set(_BATCH, "8m")
+
+
+def release() -> None:
+    """Give freed memory back to the system at the end of a task: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def keyed(docs: DataFrame, *columns: str, key: str = "_row") -> DataFrame:
     """The named columns and a row number that tells repeated rows apart.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import batches_of, binaries, keyed, read, with_texts
+from tallyhouse.llm.common import batches_of, bounded_batches, binaries, keyed, read, release, with_texts
 from tallyhouse.llm.fm_index import FMIndex
 
 PHRASE_WORDS = 10
@@ -145,10 +145,14 @@ def contamination(
     phrase_words: int = PHRASE_WORDS,
     shard_words: int = SHARD_WORDS,
     block_bytes: int = BLOCK_BYTES,
+    cut: bool = False,
+    chars: str | None = None,
 ) -> DataFrame:
     """`docs` with `_words` (words), `_spans` (merged, in words and in bytes of the UTF-8 text) and
-    `_items` (ids of the items found, sorted). With more than one block, `docs` has to be a stored table."""
+    `_items` (ids of the items found, sorted). With more than one block, `docs` has to be a stored table.
+    With `cut`, `docs` alone with the spans taken out of the text, as in `decontaminate`."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"), F.col(item_text).alias("t")).filter("t IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length("i")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
@@ -175,17 +179,22 @@ def contamination(
                 for batch in group:
                     rows = range(done, done + batch.num_rows)
                     done += batch.num_rows
+                    if cleaned:
+                        yield without(batch, {i: _with_bytes(texts[r], _merged(list(hits[r]))) for i, r in enumerate(rows) if r in hits}, text, chars)
+                        continue
                     extra = [
                         pa.array([counts[r] for r in rows], pa.int64()),
                         pa.array([_with_bytes(texts[r], _merged(list(hits[r]))) if r in hits else [] for r in rows], _SPAN_TYPE),
                         pa.array([sorted(named[r]) if r in named else [] for r in rows], pa.list_(pa.string())),
                     ]
                     yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, "_words", "_spans", "_items"])
+            release()
 
         return frame.mapInArrow(run, out)
 
+    cleaned = cut and blocks == 1
     if blocks == 1:
-        return searched(docs, 0, schema)
+        return searched(docs, 0, docs.schema if cut else schema)
     whole = keyed(docs, *docs.columns, key="_doc_row")
     passes = [
         searched(whole.select("_doc_row", text), b, T.StructType([T.StructField("_doc_row", T.LongType()), docs.schema[text], *T._parse_datatype_string(FOUND).fields])).drop(text)
@@ -199,7 +208,26 @@ def contamination(
         F.array_sort(F.flatten(F.collect_list("_spans"))).alias("_spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"),
     )
-    return whole.join(found.mapInArrow(_merge_blocks, found.schema), "_doc_row").drop("_doc_row")
+    found = whole.join(found.mapInArrow(_merge_blocks, found.schema), "_doc_row").drop("_doc_row")
+    if not cut:
+        return found
+    kept = docs.columns
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
+            yield without(batch, {i: own for i, own in enumerate(spans) if own}, text, chars).select(kept)
+
+    return found.mapInArrow(clean, docs.schema)
+
+
+def without(batch: pa.RecordBatch, spans: dict[int, list[dict]], text: str, chars: str | None) -> pa.RecordBatch:
+    """`batch` with the spans of its rows taken out of their texts."""
+    texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
+    for i, own in spans.items():
+        for s in reversed(own):
+            texts[i] = texts[i][: s["first_byte"]] + texts[i][s["end_byte"] :]
+    return with_texts(batch, text, texts, list(spans), chars)
 
 
 _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first_byte", pa.int64()), ("end_byte", pa.int64())]))
@@ -210,20 +238,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
 
     Clean documents are unchanged. `chars` names a column with the texts' code points, to be kept right.
     """
-    found = contamination(docs, benchmark, text=text, **options)
-    kept = docs.columns
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
-            spans = batch.column(batch.schema.get_field_index("_spans")).to_pylist()
-            changed = [i for i, own in enumerate(spans) if own]
-            for i in changed:
-                for s in reversed(spans[i]):
-                    texts[i] = texts[i][: s["first_byte"]] + texts[i][s["end_byte"] :]
-            yield with_texts(batch, text, texts, changed, chars).select(kept)
-
-    return found.mapInArrow(cut, docs.schema)
+    return contamination(docs, benchmark, text=text, cut=True, chars=chars, **options)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import keyed, partitions, read
+from tallyhouse.llm.common import bounded_batches, keyed, partitions, read
 from tallyhouse.session import pin
 
 BLOCKS = 5
@@ -92,6 +92,7 @@ def with_next(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     The next document is that with the next smaller id; the last one's is the first.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = keyed(docs, F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("_row")]
     ranged = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import binaries, bounded_batches, read
-from tallyhouse.llm.tokens import TextEncoder
+from tallyhouse.llm.common import binaries, bounded_batches, release, read
+from tallyhouse.llm.tokens import TextEncoder, special_strings
 from tallyhouse.session import pin
 
 CAPACITY = 1024
@@ -99,8 +99,10 @@ def pack_documents(
         *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_tokens else []),
     ])
 
+    special, names = special_strings(vocabulary), cut_schema.names
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, no, half = TextEncoder(vocabulary), TaskContext.get().partitionId(), 0, -(-capacity // 2)
+        encoder, part, no, half = TextEncoder(vocabulary, special), TaskContext.get().partitionId(), 0, -(-capacity // 2)
         for batch in batches:
             owners, columns, tokens = [], [], []
             for row, data in enumerate(binaries(batch, text)):
@@ -117,7 +119,9 @@ def pack_documents(
             own = batch.column(batch.schema.get_field_index(doc_id)).take(pa.array(owners, pa.int32()))
             numbers = np.array(columns, np.int64).reshape(-1, 6)
             arrays = [own, *(pa.array(numbers[:, c]) for c in range(6)), *([pa.array(tokens, pa.list_(pa.int32()))] if with_tokens else [])]
-            yield pa.RecordBatch.from_arrays(arrays, cut_schema.names)
+            yield pa.RecordBatch.from_arrays(arrays, names)
+        del encoder
+        release()
 
     pieces = pin(docs.select(doc_id, text).mapInArrow(cut, cut_schema))
     full = pieces.filter(F.col("length") == capacity).withColumns({

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import binaries
+from tallyhouse.llm.common import binaries, bounded_batches, release
 from tallyhouse.session import pin, scratch_path
 
 CROWD = 2048
@@ -91,6 +91,7 @@ def runs_of(length: int, symbols: Callable[[int, int], np.ndarray], width: int,
 def runs_table(rows: DataFrame, text: str, symbols_of: Callable[[bytes], tuple[int, Callable]], width: int, gram: int) -> DataFrame:
     """Runs of all rows (`_row` and a text column), stored in the shared folder."""
     names = ["_row", "anchor", "segment", "first", "windows"]
+    bounded_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling()
@@ -104,6 +105,8 @@ def runs_table(rows: DataFrame, text: str, symbols_of: Callable[[bytes], tuple[i
             if parts[0]:
                 arrays = [pa.array(np.concatenate(p)) for p in parts]
                 yield pa.RecordBatch.from_arrays([*arrays[:4], arrays[4].cast(pa.int32())], names)
+        del rolling
+        release()
 
     made = rows.select("_row", text).mapInArrow(run, "_row long, anchor long, segment long, first long, windows int")
     path = scratch_path(rows.sparkSession, "runs")
@@ -182,6 +185,7 @@ def recurring(
             held = []
         if held or group:
             yield solved(held + group)
+        release()
 
     groups = contested.filter("NOT crowded").select("anchor", "segment", "copies", "piece")
     found = groups.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(in_groups, "anchor long, segment long, low int, high int")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import read
+from tallyhouse.llm.common import bounded_batches, read
 
 TARGET_ROWS = 4096
 SHARDS = 40
@@ -89,6 +89,7 @@ def targets(rows: int, shards: int, target_rows: int) -> list[tuple[int, int, in
 def shuffle_to_shards(docs: DataFrame, shards: int, *, seed: int = SEED, target_rows: int = TARGET_ROWS) -> DataFrame:
     """`docs` with `_shard` and `_slot` (gapless from 0 in each shard), uniform over all orders of the rows."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     counted = dict(docs.groupBy(F.spark_partition_id().alias("p")).count().collect())  # one row per input partition
     named = sorted(counted)
     counts = [counted[p] for p in named]

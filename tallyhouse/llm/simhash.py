@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import binaries, keyed, read
+from tallyhouse.llm.common import binaries, bounded_batches, keyed, read, release
 from tallyhouse.llm.components import connected_components
 from tallyhouse.session import pin
 
@@ -61,11 +61,13 @@ def fingerprint(text: bytes, size: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """`docs` without its text, and with `_fp` (64 bits as a signed long)."""
     kept = [c for c in docs.columns if c != text]
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle_words) for t in binaries(batch, text)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(prints)], [*kept, "_fp"])
+        release()
 
     schema = docs.select(*kept, F.lit(0).cast("long").alias("_fp")).schema
     return docs.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import read
+from tallyhouse.llm.common import bounded_batches, read, release
 
 SIZES = (3, 4, 5)
 BITS = 20
@@ -67,20 +67,22 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
     toxic, clean = y.sum(), len(y) - y.sum()
     if not toxic or not clean:
         return np.zeros(0, np.uint32), np.zeros(0), -1e-6
-    rows = [distinct(t) for t in texts]
-    counts = np.zeros((2, 1 << BITS))
-    for own, label in zip(rows, labels.tolist(), strict=True):
-        counts[label, own] += 1
-    with_, without = counts[1] + 0.5, counts[0] + 0.5
+    # features are made twice and not kept, since only a few of their places get a weight
+    counts = np.zeros((2, 1 << BITS), np.float32)
+    for text, label in zip(texts, labels.tolist(), strict=True):
+        counts[label, distinct(text)] += 1
+    with_, without = counts[1].astype(np.float64) + 0.5, counts[0].astype(np.float64) + 0.5
     ratio = np.log(with_ / (toxic + 1)) - np.log(without / (clean + 1))
     error = np.sqrt(1 / with_ - 1 / (toxic + 1) + 1 / without - 1 / (clean + 1))
     kept = np.flatnonzero(np.abs(ratio) > _SENSE * error)
     if not len(kept):
         return np.zeros(0, np.uint32), np.zeros(0), -1e-6
-    number = np.full(1 << BITS, -1)
-    number[kept] = np.arange(len(kept))
-    columns = [number[own] for own in rows]
-    columns = [c[c >= 0] for c in columns]
+    number = np.full(1 << BITS, -1, np.int32)
+    number[kept] = np.arange(len(kept), dtype=np.int32)
+    columns = []
+    for text in texts:
+        own = [number[p] for p in places(text)]
+        columns.append(np.unique(np.concatenate([p[p >= 0] for p in own])) if own else np.zeros(0, np.int32))
     row = np.repeat(np.arange(len(y)), [len(c) for c in columns])
     column = np.concatenate([*columns, np.zeros(0, np.int64)]).astype(np.int64)
     scale = ratio[kept]
@@ -111,6 +113,7 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
 def fitted(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> tuple:
     """The model from the labelled rows that are not held out."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     chosen = (
         labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_label"))
         .filter(~held_out("_id") & F.col("_label").isin(0, 1))
@@ -130,6 +133,8 @@ def fitted(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, fit_
                     texts.append(text)
                     own.append(label)
         where, weights, bias = fit(texts, np.array(own, np.int64))
+        del texts
+        release()
         yield pd.DataFrame({"place": [-1, *where.tolist()], "weight": [bias, *weights.tolist()]})
 
     # in the order of the sample, so that the same rows are learnt from in each run
@@ -159,6 +164,7 @@ def score(docs: DataFrame, model: tuple) -> DataFrame:
                 own = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
                 scores[i] = bias + table[own].sum(dtype=np.float64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(scores, -500, 500))))], [*kept, "_score"])
+        release()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
 

@@ -68,6 +68,7 @@ def test_small_shards_blocks_and_odd_rows(spark, odd_docs, stored):
             hit = sum(s.end - s.start for s in r._spans)
             got.append((r.doc_id, r._words, hit, len(r._items), hashlib.sha256(",".join(sorted(r._items)).encode()).hexdigest(), hit > 0))
         assert sorted(got, key=str) == want
+    assert sorted(map(str, decontaminate(docs, bench).collect())) == sorted(map(str, decontaminate(docs, bench, block_bytes=40).collect()))
     clean = {r.text for r in decontaminate(docs, bench).collect()}
     assert "x  y" in clean and " " in clean and None in clean and not any("fox" in (t or "").lower() for t in clean)
 
