@@ -5,11 +5,14 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.session import scratch_path
+
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -31,13 +34,52 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def keyed(docs: DataFrame, *columns: str, key: str = "_row") -> DataFrame:
+def _plain_parquet(docs: DataFrame) -> bool:
+    """Whether `docs` is columns of Parquet files, with each of their rows."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "SubqueryAlias") and plan.deterministic():
+        plan = plan.children().apply(0)
+    if plan.getClass().getSimpleName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    return plan.relation().fileFormat().getClass().getSimpleName() == "ParquetFileFormat"
+
+
+def file_rows(docs: DataFrame) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """A table with the rows of `docs`, read from Parquet files as they are, and the rows of each file by its path.
+
+    It is `docs` itself where that is such a table, and else a copy of it in the shared folder.
+    """
+    for copy in (not _plain_parquet(docs), True):
+        if copy:
+            path = scratch_path(docs.sparkSession, "rows")
+            docs.write.parquet(path)
+            docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
+        place = docs.metadataColumn("_metadata")
+        files = docs.select(place["file_path"].alias("path"), place["row_index"].alias("at")).groupBy("path").agg(F.count("*").alias("n"), F.max("at").alias("last")).collect()
+        if all(f.n == f.last + 1 for f in files):  # not with a path that is read twice
+            return docs, sorted((f.path, f.n) for f in files)
+    raise RuntimeError("the stored copy has other rows than its files")
+
+
+def numbered(docs: DataFrame, files: list[tuple[str, int]], *columns, key: str = "_row") -> DataFrame:
+    """The named columns and the number of each row, gapless in the order of `files`; both are from `file_rows`."""
+    firsts = accumulate((n for _, n in files), initial=0)
+    known = docs.sparkSession.createDataFrame([(path, first, n) for (path, n), first in zip(files, firsts, strict=False)], "_path string, _first long, _rows long")
+    place = docs.metadataColumn("_metadata")
+    placed = docs.select(place["file_path"].alias("_path"), place["row_index"].alias("_at"), *columns).join(F.broadcast(known), "_path", "left")
+    number = F.when(F.col("_at") < F.col("_rows"), F.col("_first") + F.col("_at")).otherwise(F.raise_error(F.lit("the input has other rows than were counted: store it first")).cast("long"))
+    return placed.withColumn(key, number).select(key, *[c for c in placed.columns if c not in known.columns and c != "_at"])
+
+
+def keyed(docs: DataFrame, *columns, key: str = "_row") -> DataFrame:
     """The named columns and a row number that tells repeated rows apart.
 
-    The number follows the scan, so `docs` has to be a stored table: files or a checkpoint, read
-    the same way each time.
+    The number follows from the file and the place in it, so it is the same in each scan however the
+    files are split over tasks. What is not read from Parquet files is stored as such first; to number it
+    twice alike, take one table from `file_rows`.
     """
-    return docs.select(F.monotonically_increasing_id().alias(key), *columns)
+    docs, files = file_rows(docs)
+    return numbered(docs, files, *columns, key=key)
 
 
 def binaries(batch: pa.RecordBatch, name: str) -> list[bytes]:

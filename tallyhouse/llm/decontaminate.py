@@ -149,7 +149,7 @@ def contamination(
     chars: str | None = None,
 ) -> DataFrame:
     """`docs` with `_words` (words), `_spans` (merged, in words and in bytes of the UTF-8 text) and
-    `_items` (ids of the items found, sorted). With more than one block, `docs` has to be a stored table.
+    `_items` (ids of the items found, sorted).
     With `cut`, `docs` alone with the spans taken out of the text, as in `decontaminate`."""
     spark = docs.sparkSession
     bounded_batches(spark)

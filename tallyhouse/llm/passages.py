@@ -97,7 +97,7 @@ def located(segments: list[tuple[bytes, int]], width: int) -> list[tuple[int, in
 
 
 def repeated_words(docs: DataFrame, *, text: str = "text", width: int = WIDTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, crowd: int = CROWD) -> DataFrame:
-    """`docs` with `_spans`: (start, end) of the words to remove, null where there are none. `docs` is a stored table."""
+    """`docs` with `_spans`: (start, end) of the words to remove, null where there are none."""
     rows = keyed(docs, *docs.columns)
     spans = recurring(
         rows.select("_row", F.col(text).alias("_text")),

@@ -128,7 +128,7 @@ def recurring(
 ) -> DataFrame:
     """(_row, spans) of rows with recurring windows; spans are (start, end) in symbols, sorted.
 
-    `rows` is a stored table with `_row`. `symbols_of` gives a text's length in symbols and the hashes
+    `rows` has a `_row` that is the same in each scan. `symbols_of` gives a text's length in symbols and the hashes
     of a slice; `cut` gives the bytes of a slice. `resolve` gets distinct segments with their numbers of
     occurrences, whole anchor groups of `batch_bytes` or a little more, and gives the first and last
     recurring window of each, or None.

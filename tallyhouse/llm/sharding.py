@@ -1,16 +1,17 @@
 """Uniform sharding by a hypergeometric communication matrix.
 
-A uniform shuffle into shards of exact sizes, in one exchange. How many rows each input partition
-sends to each target follows the multivariate hypergeometric law; a row of that matrix is drawn where
-it is used, by splitting the partitions in halves from all down to one (the same seed for the same
-half), so no place holds the matrix. A task deals its rows to the targets in a random order (the local
-permutation), they are exchanged, and each target is permuted again.
+A uniform shuffle into shards of exact sizes, in one exchange. Rows are numbered by their file and
+their place in it, and each `chunk_rows` of them are a chunk, whatever task reads them. How many rows
+each chunk sends to each target follows the multivariate hypergeometric law; a row of that matrix is
+drawn where it is used, by splitting the chunks in halves from all down to one (the same seed for the
+same half), so no place holds the matrix. The rows of a chunk go to the targets in a random order (the
+local permutation), they are exchanged, and each target is permuted again.
 
 A shard is cut into targets of at most `target_rows` rows, so no task holds a shard. Equal texts are
 rows like others: the law counts rows.
 
-`docs` has to be a stored table, read alike in both passes (files or a checkpoint). A task that meets
-another number of rows than was counted fails. An empty table gives no rows. Null text has no bytes.
+`docs` that is not read from Parquet files is stored as such first. A task that meets a row that was not
+counted fails. An empty table gives no rows. Null text has no bytes.
 """
 
 from __future__ import annotations
@@ -20,14 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import bounded_batches, read
+from tallyhouse.llm.common import bounded_batches, file_rows, numbered, read
 
 TARGET_ROWS = 4096
+CHUNK_ROWS = 1 << 20
+_HELD = 4  # chunks of which a task keeps the order
 SHARDS = 40
 SEED = 20240501
 
@@ -86,45 +88,44 @@ def targets(rows: int, shards: int, target_rows: int) -> list[tuple[int, int, in
     return out
 
 
-def shuffle_to_shards(docs: DataFrame, shards: int, *, seed: int = SEED, target_rows: int = TARGET_ROWS) -> DataFrame:
+def shuffle_to_shards(docs: DataFrame, shards: int, *, seed: int = SEED, target_rows: int = TARGET_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """`docs` with `_shard` and `_slot` (gapless from 0 in each shard), uniform over all orders of the rows."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    counted = dict(docs.groupBy(F.spark_partition_id().alias("p")).count().collect())  # one row per input partition
-    named = sorted(counted)
-    counts = [counted[p] for p in named]
-    places = targets(sum(counts), shards, target_rows)
-    shared = spark.sparkContext.broadcast((named, counts, [n for _, _, n in places]))
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in ("_target", "_from", "_no"))])
+    docs, files = file_rows(docs)
+    total = sum(n for _, n in files)
+    counts = [min(chunk_rows, total - at) for at in range(0, total, chunk_rows)]
+    places = targets(total, shards, target_rows)
+    shared = spark.sparkContext.broadcast((counts, [n for _, _, n in places]))
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in ("_target", "_from"))])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, order, done = TaskContext.get().partitionId(), None, 0
-        named, counts, sizes = shared.value
+        counts, sizes = shared.value
+        orders: dict[int, np.ndarray] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if order is None:
-                row = named.index(part)
-                sent = matrix_row(counts, sizes, row, seed)
-                order = np.random.default_rng([seed, row, len(counts), 1]).permutation(np.repeat(np.arange(len(sizes)), sent))
-            own = order[done : done + batch.num_rows]
-            if len(own) < batch.num_rows:
-                raise RuntimeError("the input has other rows than were counted: store it first")
-            extra = [own, np.full(len(own), part), np.arange(done, done + len(own))]
-            done += len(own)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.int64()) for x in extra)], [*batch.schema.names, "_target", "_from", "_no"])
-        if order is not None and done < len(order):
-            raise RuntimeError("the input has other rows than were counted: store it first")
-
-    dealt = docs.mapInArrow(deal, schema)
+            chunk, at = np.divmod(batch.column(0).to_numpy(), chunk_rows)
+            own = np.empty(len(at), np.int64)
+            for c in np.unique(chunk).tolist():
+                if c not in orders:
+                    if len(orders) == _HELD:
+                        del orders[next(iter(orders))]
+                    sent = matrix_row(counts, sizes, c, seed)
+                    orders[c] = np.random.default_rng([seed, c, len(counts), 1]).permutation(np.repeat(np.arange(len(sizes), dtype=np.int32), sent))
+                mine = chunk == c
+                own[mine] = orders[c][at[mine]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(own), batch.column(0)], [*batch.schema.names[1:], "_target", "_from"])
+
+    dealt = numbered(docs, files, *docs.columns).mapInArrow(deal, schema)
     # the order by a hash of where a row came from is the second permutation, and the same in each attempt
-    again = Window.partitionBy("_target").orderBy(F.xxhash64(F.lit(seed), "_from", "_no"), "_from", "_no")
+    again = Window.partitionBy("_target").orderBy(F.xxhash64(F.lit(seed), "_from"), "_from")
     place = spark.createDataFrame([(t, s, a) for t, (s, a, _) in enumerate(places)], "_target long, _shard int, _first long")
     return (
         dealt.withColumn("_slot", F.row_number().over(again).cast("long") - 1)
         .join(F.broadcast(place), "_target")
         .withColumn("_slot", F.col("_slot") + F.col("_first"))
-        .drop("_target", "_from", "_no", "_first")
+        .drop("_target", "_from", "_first")
     )
 
 

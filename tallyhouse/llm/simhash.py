@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import binaries, bounded_batches, keyed, read, release
+from tallyhouse.llm.common import binaries, bounded_batches, file_rows, keyed, numbered, read, release
 from tallyhouse.llm.components import connected_components
 from tallyhouse.session import pin
 
@@ -147,7 +147,7 @@ def simhash_groups(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, segments: int = SEGMENTS, crowd: int = CROWD
 ) -> DataFrame:
     """(_row, doc_id, _fp, _component, _first): the group's smallest id, and the row number of the row that
-    stands for it (smallest id, nulls last; then the first row). `docs` is a stored table."""
+    stands for it (smallest id, nulls last; then the first row)."""
     prints = pin(fingerprints(keyed(docs, F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")), "_text", shingle_words))
     standing = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("least")
     nodes = prints.groupBy("_fp").agg(standing)
@@ -160,8 +160,9 @@ def simhash_groups(
 
 def near_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """`docs` with one row of each group: the one with the smallest id."""
+    docs, files = file_rows(docs)
     groups = simhash_groups(docs, doc_id=doc_id, text=text, **options)
-    return keyed(docs, *docs.columns).join(groups.filter("_row = _first").select("_row"), "_row", "left_semi").drop("_row")
+    return numbered(docs, files, *docs.columns).join(groups.filter("_row = _first").select("_row"), "_row", "left_semi").drop("_row")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,7 +97,7 @@ def _symbols(data: bytes) -> tuple[int, Callable[[int, int], np.ndarray]]:
 
 
 def repeated_bytes(docs: DataFrame, *, text: str = "text", width: int = WIDTH, gram: int = GRAM, batch_bytes: int = BATCH_BYTES, crowd: int = CROWD) -> DataFrame:
-    """`docs` with `_spans`: (start, end) of the bytes to remove, null where there are none. `docs` is a stored table."""
+    """`docs` with `_spans`: (start, end) of the bytes to remove, null where there are none."""
     rows = keyed(docs, *docs.columns)
     spans = recurring(
         rows.select("_row", F.col(text).alias("_text")),
