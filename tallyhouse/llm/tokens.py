@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from pathlib import Path
 
 import numpy as np
@@ -10,6 +11,9 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
+#: The start of a run of whitespace that the ranks' library, whose stack ends at a million, is not given.
+_LONG_SPACE = re.compile(r"(?<!\s)\s{100001}")
+
 
 def special_strings(vocabulary: str) -> list[str]:
     at = f"{vocabulary}.json"
@@ -21,7 +25,8 @@ class TextEncoder:
     """The ids that the tokenizers library gives without special tokens of its own.
 
     The vocabulary is stored twice, for two libraries. Texts are coded by its ranks, which takes a third
-    of the time; one with the string of a special token goes to the tokenizers library itself.
+    of the time; one with the string of a special token, or with over 100,000 whitespace characters in a
+    row, goes to the tokenizers library itself.
     """
 
     def __init__(self, vocabulary: str = "byte_bpe_50k", special: list[str] | None = None):
@@ -36,7 +41,7 @@ class TextEncoder:
         self.encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or (len(text) > 100_000 and _LONG_SPACE.search(text)):
             self.whole = self.whole or Tokenizer.from_file(f"{self.at}.json")
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self.encode(text), "<u4")

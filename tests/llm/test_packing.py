@@ -59,6 +59,15 @@ def test_ids_are_those_of_the_tokenizers_library(spark, sf):
         assert [*encoder.ids(text).tolist(), 0] == ids(text)
 
 
+def test_long_runs_of_whitespace(spark, stored):
+    texts = [" " * 1_500_000, "a" + "\n" * 1_200_000 + " b", "\u3000 " * 600_000, "c" + " " * 100_001]
+    encoder = TextEncoder()
+    for text in texts:
+        assert [*encoder.ids(text).tolist(), 0] == ids(text)
+    docs = stored([(0, texts[0]), (1, "a b")], "doc_id long, text string")
+    check(pack_documents(docs).collect(), by_id(docs))
+
+
 def test_query(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = op2_packing(spark, sf).collect()
