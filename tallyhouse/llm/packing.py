@@ -1,8 +1,9 @@
 """Sequence packing by Karmarkar-Karp multiway differencing.
 
 Documents are tokenised where they are read, each followed by an end token. What fills whole windows
-is cut off as windows of its own; the rests are dealt to blocks of about `block_tokens` by a hash, so
-that a block is a bounded sample of all rests, and each block is packed by itself. A rest of more than
+is cut off as windows of its own; the rests are dealt to blocks of about `block_tokens`, and of about
+`block_pieces` at most where they are short, by a hash, so that a block is a bounded sample of all rests,
+and each block is packed by itself. A rest of more than
 half a window is cut in two: with less than two rests to a window, no partition of them is near-equal. In a block, every
 rest starts as a partition of one filled window; the two partitions with the largest differences are
 merged again and again, fullest windows onto emptiest, until one is left, whose windows are nearly
@@ -32,6 +33,7 @@ from tallyhouse.session import pin
 
 CAPACITY = 1024
 BLOCK_TOKENS = 1 << 18
+BLOCK_PIECES = 1 << 14  # with 256 windows of eight bytes each, 32 MB of loads
 END_TOKEN = 0
 _SHIFT = 32  # of the block's number in a sequence id
 
@@ -87,6 +89,7 @@ def pack_documents(
     vocabulary: str = "byte_bpe_50k",
     capacity: int = CAPACITY,
     block_tokens: int = BLOCK_TOKENS,
+    block_pieces: int = BLOCK_PIECES,
     end_token: int = END_TOKEN,
     with_tokens: bool = False,
 ) -> DataFrame:
@@ -130,8 +133,8 @@ def pack_documents(
         "offset": F.lit(0).cast("long"),
     })
     rest = pieces.filter(F.col("length") < capacity)
-    total = rest.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    blocks = max(1, round(total / block_tokens))
+    total, count = rest.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    blocks = max(1, round(total / block_tokens), -(-count // block_pieces))
 
     def place(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["_from", "_no"], ignore_index=True)

@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -82,5 +82,13 @@ def test_odd_rows_and_small_blocks(spark, odd_docs, no_docs):
     assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
 
 
+def test_blocks_are_bounded_in_pieces(spark, stored):
+    docs = stored([(i, None if i % 2 else "a") for i in range(60_000)], "doc_id long, text string")
+    rows = pack_documents(docs).collect()
+    check(rows, by_id(docs))
+    pieces = Counter(r.sequence_id >> 33 for r in rows)
+    assert len(pieces) == 4 and max(pieces.values()) < 16_384 * 1.05
+
+
 def test_empty_table(spark, no_docs):
     assert op2_packing(spark, no_docs).collect() == []
