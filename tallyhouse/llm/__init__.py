@@ -25,6 +25,7 @@ _QUERIES = {
     "op8_suffix_dedup": "suffix_dedup",
     "op9_passages": "passages",
     "op10_simhash": "simhash",
+    "op11_spelling": "spelling",
 }
 
 
