@@ -26,6 +26,7 @@ _QUERIES = {
     "op9_passages": "passages",
     "op10_simhash": "simhash",
     "op11_spelling": "spelling",
+    "op12_license_scan": "license_scan",
 }
 
 
