@@ -27,6 +27,7 @@ _QUERIES = {
     "op10_simhash": "simhash",
     "op11_spelling": "spelling",
     "op12_license_scan": "license_scan",
+    "op13_hard_negatives": "hard_negatives",
 }
 
 
