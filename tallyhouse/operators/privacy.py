@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import publish, suppress_below
+from tallyhouse.operators.disclosure import suppress_with_totals
 from tallyhouse.operators.spread import null_safe_join
 from tallyhouse.session import pin
 
@@ -148,49 +149,12 @@ def suppress_adjacent(
 def suppress_complementary(
     cells: DataFrame, row: str, col: str, n: str, measures: Sequence[str], k: int = 4
 ) -> DataFrame:
-    """Hide cells of a two-way table until no row or column total gives a hidden cell away.
+    """Hide cells of a two-way table until its published totals give no hidden one away.
 
-    A line with exactly one hidden cell and at least one open one loses its
-    smallest open cell. Each round hides at least one cell per such line, and
-    the rounds end when there is none left. Rounds work on aggregated cells and
-    are pinned, so the plan stays flat.
+    The totals are published as `disclosure.suppress_with_totals` says, which returns them too.
     """
-    state = pin(cells.withColumn("_hidden", F.col(n) < k))
-
-    def exposed(line: str, other: str) -> DataFrame:
-        open_min = F.min(F.when(~F.col("_hidden"), F.struct(F.col(n).alias("n"), F.col(other).alias("other"))))
-        return (
-            state.groupBy(line)
-            .agg(F.count_if("_hidden").alias("h"), F.count(F.lit(1)).alias("t"), open_min.alias("m"))
-            .filter((F.col("h") == 1) & (F.col("t") > 1))
-            .select(F.col(line).alias("_line"), F.col("m.other").alias("_other"))
-        )
-
-    while True:
-        rows = exposed(row, col).select(F.col("_line").alias("_r"), F.col("_other").alias("_c"))
-        cols = exposed(col, row).select(F.col("_other").alias("_r"), F.col("_line").alias("_c"))
-        more = pin(rows.unionByName(cols).distinct())
-        if more.isEmpty():
-            break
-        hit = more.select("_r", "_c", F.lit(True).alias("_hit"))
-        state = pin(
-            state.join(hit, F.col(row).eqNullSafe(F.col("_r")) & F.col(col).eqNullSafe(F.col("_c")), "left")
-            .withColumn("_hidden", F.col("_hidden") | F.col("_hit").isNotNull())
-            .drop("_r", "_c", "_hit")
-        )
-    reason = F.when(F.col(n) < k, "small_group").when(F.col("_hidden"), "complementary")
-    return state.withColumns(
-        {**{m: F.when(~F.col("_hidden"), F.col(m)) for m in measures}, "suppression_reason": reason}
-    ).drop("_hidden")
-
-
-def line_totals(hidden: DataFrame, line: str, n: str) -> DataFrame:
-    """Totals to publish next to a table with hidden cells: NULL where a line has exactly one of them.
-
-    Only lines of a single cell are left with one by `suppress_complementary`; their total is that cell.
-    """
-    gone = F.count_if(F.col("suppression_reason").isNotNull())
-    return hidden.groupBy(line).agg(F.when(gone != 1, F.sum(n)).alias("total"), gone.alias("hidden_cells"), F.count(F.lit(1)).alias("cells"))
+    table = suppress_with_totals(cells, row, col, n, measures, k)
+    return table.filter("kind = 'cell'").select(*cells.columns, "suppression_reason")
 
 
 def suppress_by_role(agg: DataFrame, n: str, measures: Sequence[str], thresholds: Mapping[str, int]) -> DataFrame:

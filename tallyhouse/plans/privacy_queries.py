@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import publish, register_functions
-from tallyhouse.operators import access, privacy
+from tallyhouse.operators import access, disclosure, privacy
 from tallyhouse.operators.compare import consistency_check
+from tallyhouse.operators.spread import null_safe_join
 from tallyhouse.plans.catalog import pub, query, with_survey
 from tallyhouse.session import pin, scratch_path
 from tallyhouse.sources.survey import survey, table
@@ -119,20 +120,43 @@ def suppress_adjacent_strong(spark, sf):
 
 @query("suppress_complementary")
 def suppress_complementary(spark, sf):
-    """Nation by balance band with totals published: no line keeps exactly one hidden cell."""
+    """Nation by balance band with totals published: no hidden cell can be computed from them."""
     return privacy.suppress_complementary(_adjacent_input(spark, sf), "s_nationkey", "band", "n", ["mean_score"], k=2)
 
 
-@query("complementary_check", _ADJ + """
-SELECT COUNT(CASE WHEN n < 2 THEN 1 END) AS small_cells, CAST(0 AS BIGINT) AS shown_small_cells, CAST(0 AS BIGINT) AS exposed_lines,
+_TOTALS = _ADJ.replace("WITH a", "WITH RECURSIVE a", 1) + """,
+t AS (SELECT 'cell' AS kind, s_nationkey, band, n, 'r' || s_nationkey AS u, 'c' || band AS v FROM a
+      UNION ALL SELECT 'row_total', s_nationkey, NULL, SUM(n)::BIGINT, 'r' || s_nationkey, 'C' FROM a GROUP BY s_nationkey
+      UNION ALL SELECT 'col_total', NULL, band, SUM(n)::BIGINT, 'R', 'c' || band FROM a GROUP BY band
+      UNION ALL SELECT 'grand_total', NULL, NULL, SUM(n)::BIGINT, 'R', 'C' FROM a),
+h AS (SELECT *, ROW_NUMBER() OVER (ORDER BY u, v) AS e FROM t WHERE n < 2),
+reach AS (SELECT e, u AS node FROM h UNION
+          SELECT r.e, CASE WHEN h.u = r.node THEN h.v ELSE h.u END FROM reach r JOIN h ON h.e <> r.e AND (h.u = r.node OR h.v = r.node)),
+x AS (SELECT h.* FROM h ANTI JOIN reach ON reach.e = h.e AND reach.node = h.v)"""
+
+
+@query("disclosed_cells", _TOTALS + " SELECT kind, s_nationkey, band, n FROM x")
+def disclosed_cells(spark, sf):
+    """What a plain threshold hides in vain: small cells and totals that follow from the published ones."""
+    cells = disclosure.with_totals(_adjacent_input(spark, sf), "s_nationkey", "band", "n")
+    return disclosure.recoverable(cells, F.col("n") < 2).select("kind", "s_nationkey", "band", "n")
+
+
+@query("complementary_check", _TOTALS + """
+SELECT (SELECT COUNT(*) FROM h) AS small_cells, CAST(0 AS BIGINT) AS shown_small_cells, (SELECT COUNT(*) FROM x) AS exposed_before, CAST(0 AS BIGINT) AS exposed_cells,
        CAST(SUM(n) AS BIGINT) AS suppliers FROM a""")
 def complementary_check(spark, sf):
-    """The hidden table attacked: small cells still shown, and lines whose published total gives a cell away."""
-    cells = pin(privacy.suppress_complementary(_adjacent_input(spark, sf), "s_nationkey", "band", "n", ["mean_score"], k=2))
-    lines = privacy.line_totals(cells, "s_nationkey", "n").drop("s_nationkey").unionByName(privacy.line_totals(cells, "band", "n").drop("band"))
-    exposed = lines.agg(F.count_if((F.col("hidden_cells") == 1) & F.col("total").isNotNull()).alias("x")).scalar()
-    return cells.agg(
-        F.count_if(F.col("n") < 2).alias("small_cells"), F.count_if((F.col("n") < 2) & F.col("mean_score").isNotNull()).alias("shown_small_cells"), exposed.alias("exposed_lines"), F.sum("n").alias("suppliers")
+    """The hidden table attacked: small cells still shown, and cells that follow from published totals, before and after."""
+    own = pin(_adjacent_input(spark, sf))
+    done = pin(disclosure.suppress_with_totals(own, "s_nationkey", "band", "n", ["mean_score"], k=2))
+    totals = disclosure.with_totals(own, "s_nationkey", "band", "n")
+    reasons = done.select("kind", "s_nationkey", "band", "suppression_reason")
+    attacked = null_safe_join(totals, reasons, ["kind", "s_nationkey", "band"])
+    before, after = (disclosure.recoverable(attacked, hidden).agg(F.count("*").alias("x")).scalar() for hidden in (F.col("n") < 2, F.col("suppression_reason").isNotNull()))
+    small = F.col("n") < 2
+    return done.agg(
+        F.count_if(small).alias("small_cells"), F.count_if(small & (F.col("suppression_reason").isNull() | F.col("mean_score").isNotNull())).alias("shown_small_cells"),
+        before.alias("exposed_before"), after.alias("exposed_cells"), F.sum(F.when(F.col("kind") == "cell", F.col("n"))).alias("suppliers"),
     )
 
 

@@ -83,3 +83,11 @@ def pin(df: DataFrame) -> DataFrame:
     """Write `df` to the reliable checkpoint folder and cut its lineage there."""
     shared_root(df.sparkSession)
     return df.checkpoint()
+
+
+def pin_step(df: DataFrame) -> DataFrame:
+    """`pin` for the steps of an iteration, as a stored table. A checkpoint keeps the planner's estimate of its size,
+    a product over all joins before it, whose digits multiply with each step; a stored table has the size of its files."""
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
