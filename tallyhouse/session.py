@@ -79,6 +79,12 @@ def clean_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete one stored intermediate that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write `df` to the reliable checkpoint folder and cut its lineage there."""
     shared_root(df.sparkSession)
