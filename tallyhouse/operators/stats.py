@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.columns import publish
+from tallyhouse.functions.distributions import chi_squared_tail, f_tail, t_two_sided
+
+P_DIGITS = 6
 
 
 def correlation(x: Column, y: Column) -> Column:
@@ -118,7 +121,7 @@ def t_statistic(df: DataFrame, group: str, x: str, labels: Sequence | None = Non
     t = F.try_divide(F.col("a.m") - F.col("b.m"), F.sqrt(sa + sb))
     dof = F.try_divide((sa + sb) * (sa + sb), F.try_divide(sa * sa, F.col("a.n") - 1) + F.try_divide(sb * sb, F.col("b.n") - 1))
     two = F.when(F.col("groups") > 2, F.raise_error("more than two groups: name two labels").cast("boolean")).otherwise(F.col("groups") == 2)
-    return pair.filter(two).select("group_a", "group_b", publish(t, 4).alias("t"), publish(dof, 2).alias("dof"))
+    return pair.filter(two).select("group_a", "group_b", publish(t, 4).alias("t"), publish(dof, 2).alias("dof"), publish(t_two_sided(t, dof), P_DIGITS).alias("p_value"))
 
 
 def anova_f(df: DataFrame, group: str, x: str) -> DataFrame:
@@ -132,7 +135,8 @@ def anova_f(df: DataFrame, group: str, x: str) -> DataFrame:
         F.sum("n").alias("n"),
     )
     f = F.try_divide(F.try_divide("ssb", F.col("k") - 1), F.try_divide("ssw", F.col("n") - F.col("k")))
-    return sums.select((F.col("k") - 1).alias("df_between"), (F.col("n") - F.col("k")).alias("df_within"), publish(f, 4).alias("f"))
+    between, within = F.col("k") - 1, F.col("n") - F.col("k")
+    return sums.select(between.alias("df_between"), within.alias("df_within"), publish(f, 4).alias("f"), publish(f_tail(f, between, within), P_DIGITS).alias("p_value"))
 
 
 def chi_squared(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -151,9 +155,8 @@ def chi_squared(df: DataFrame, a: str, b: str) -> DataFrame:
         F.countDistinct(a).alias("ra"),
         F.countDistinct(b).alias("cb"),
     )
-    return sums.select(
-        publish(F.col("n") * (F.col("q") - 1), 2).alias("chi2"), ((F.col("ra") - 1) * (F.col("cb") - 1)).alias("dof"), "n"
-    )
+    chi2, dof = F.col("n") * (F.col("q") - 1), (F.col("ra") - 1) * (F.col("cb") - 1)
+    return sums.select(publish(chi2, 2).alias("chi2"), dof.alias("dof"), "n", publish(chi_squared_tail(chi2, dof), P_DIGITS).alias("p_value"))
 
 
 def chosen_test(df: DataFrame, a: str, b: str) -> str:
@@ -169,19 +172,23 @@ def chosen_test(df: DataFrame, a: str, b: str) -> str:
 
 
 def auto_test(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Run the chosen test; one row with its name and statistic."""
+    """Run the chosen test; one row with its name, statistic and p-value."""
     name = chosen_test(df, a, b)
     a_is_group = not isinstance(df.schema[a].dataType, T.NumericType)
     group, x = (a, b) if a_is_group else (b, a)
     if name == "pearson":
-        out, stat = pearson(df, a, b), "r"
+        both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+        r = correlation(F.col(a), F.col(b))
+        t = r * F.sqrt(F.try_divide(F.count(F.lit(1)) - 2, 1 - r * r))
+        own = both.agg(r.alias("raw"), t.alias("t"), (F.count(F.lit(1)) - 2).alias("dof"))
+        out, stat = own.select(publish(F.col("raw"), 4).alias("r"), publish(t_two_sided(F.col("t"), F.col("dof")), P_DIGITS).alias("p_value")), "r"
     elif name == "chi_squared":
         out, stat = chi_squared(df, a, b), "chi2"
     elif name == "t_statistic":
         out, stat = t_statistic(df, group, x), "t"
     else:
         out, stat = anova_f(df, group, x), "f"
-    return out.select(F.lit(name).alias("test"), F.col(stat).alias("statistic"))
+    return out.select(F.lit(name).alias("test"), F.col(stat).alias("statistic"), "p_value")
 
 
 def attrition_model(df: DataFrame, features: Sequence[str], label: str, iterations: int = 20):

@@ -62,11 +62,23 @@ def segment_drivers(spark, sf):
     return stats.segment_regression(table(spark, sf, "lineitem"), "l_extendedprice", ["l_quantity", "l_discount"], ["l_returnflag"])
 
 
+def _t_tail(t: str, dof: str) -> str:
+    """Two-sided probability of t by Simpson's rule over the density."""
+    steps = 20000
+    return f"""(SELECT 1 - 2 * SUM(CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+      * EXP(LGAMMA((v + 1) / 2) - LGAMMA(v / 2) - 0.5 * LN(v * PI()) - (v + 1) / 2 * LN(1 + (x * i / {steps}) * (x * i / {steps}) / v))) * x / {3 * steps}
+      FROM (SELECT ABS({t}) AS x, {dof} AS v), range({steps + 1}) r(i) GROUP BY x, v)"""
+
+
+_T = "(a.m - b.m) / SQRT(a.v / a.n + b.v / b.n)"
+_DOF = "(a.v / a.n + b.v / b.n) * (a.v / a.n + b.v / b.n) / ((a.v / a.n) * (a.v / a.n) / (a.n - 1) + (b.v / b.n) * (b.v / b.n) / (b.n - 1))"
+
+
 @query("t_statistic", f"""
 WITH g AS (SELECT o_orderstatus AS g, COUNT(*) AS n, AVG(o_totalprice) AS m, VAR_SAMP(o_totalprice) AS v FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1),
 a AS (SELECT * FROM g WHERE g = 'F'), b AS (SELECT * FROM g WHERE g = 'O')
-SELECT a.g AS group_a, b.g AS group_b, {pub('(a.m - b.m) / SQRT(a.v / a.n + b.v / b.n)', 4)} AS t,
- {pub('(a.v / a.n + b.v / b.n) * (a.v / a.n + b.v / b.n) / ((a.v / a.n) * (a.v / a.n) / (a.n - 1) + (b.v / b.n) * (b.v / b.n) / (b.n - 1))')} AS dof FROM a CROSS JOIN b""")
+SELECT a.g AS group_a, b.g AS group_b, {pub(_T, 4)} AS t,
+ {pub(_DOF)} AS dof, {pub(_t_tail(_T, _DOF), 6)} AS p_value FROM a CROSS JOIN b""")
 def t_statistic(spark, sf):
     return stats.t_statistic(table(spark, sf, "orders").filter(F.col("o_orderstatus").isin("F", "O")), "o_orderstatus", "o_totalprice")
 
@@ -76,7 +88,11 @@ _ANOVA = """WITH g0 AS (SELECT o_orderpriority, COUNT(*) AS n, AVG(o_totalprice)
 g AS (SELECT *, (SELECT SUM(n * m) / SUM(n) FROM g0) AS gm FROM g0)"""
 
 
-@query("anova_f", f"{_ANOVA} SELECT COUNT(*) - 1 AS df_between, CAST(SUM(n) - COUNT(*) AS BIGINT) AS df_within, {pub(_F, 4)} AS f FROM g")
+# with five groups the F tail has a closed form: I_y(w / 2, 2) = y^(w / 2) * (1 + w / 2 * (1 - y)), y = w / (w + 4 F)
+_F_TAIL = f"""(SELECT POWER(y, w / 2) * (1 + w / 2 * (1 - y)) FROM (SELECT w, w / (w + 4 * f) AS y FROM (SELECT (SELECT SUM(n) - COUNT(*) FROM g)::DOUBLE AS w, {_F} AS f)))"""
+
+
+@query("anova_f", f"{_ANOVA} SELECT COUNT(*) - 1 AS df_between, CAST(SUM(n) - COUNT(*) AS BIGINT) AS df_within, {pub(_F, 4)} AS f, {pub(_F_TAIL, 6)} AS p_value FROM g")
 def anova_f(spark, sf):
     return stats.anova_f(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice")
 
@@ -85,14 +101,23 @@ _CHI = """WITH c AS (SELECT o_orderpriority AS a, o_orderstatus AS b, COUNT(*) A
 e AS (SELECT c.*, CAST(SUM(o) OVER (PARTITION BY a) AS DOUBLE) * SUM(o) OVER (PARTITION BY b) / SUM(o) OVER () AS x FROM c)"""
 
 
-@query("chi_squared", f"{_CHI} SELECT {pub('SUM((o - x) * (o - x) / x)')} AS chi2, (COUNT(DISTINCT a) - 1) * (COUNT(DISTINCT b) - 1) AS dof, CAST(SUM(o) AS BIGINT) AS n FROM e")
+# eight degrees of freedom: the tail is a finite sum
+_CHI2 = "SUM((o - x) * (o - x) / x)"
+_CHI_TAIL = f"EXP(-{_CHI2} / 2) * (1 + {_CHI2} / 2 + POWER({_CHI2} / 2, 2) / 2 + POWER({_CHI2} / 2, 3) / 6)"
+
+
+@query("chi_squared", f"{_CHI} SELECT {pub(_CHI2)} AS chi2, (COUNT(DISTINCT a) - 1) * (COUNT(DISTINCT b) - 1) AS dof, CAST(SUM(o) AS BIGINT) AS n, {pub(_CHI_TAIL, 6)} AS p_value FROM e")
 def chi_squared(spark, sf):
     return stats.chi_squared(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
 
 
+_R_TAIL = _t_tail("r * SQRT((n - 2) / (1 - r * r))", "n - 2")
+
+
 @query("auto_test", f"""
-SELECT 'pearson' AS test, {pub('CORR(o_custkey, o_totalprice)', 4)} AS statistic FROM orders
-UNION ALL SELECT 'anova', ({_ANOVA} SELECT {pub(_F, 4)}) UNION ALL SELECT 'chi_squared', ({_CHI} SELECT {pub('SUM((o - x) * (o - x) / x)')} FROM e)""")
+SELECT 'pearson' AS test, {pub('r', 4)} AS statistic, {pub(_R_TAIL, 6)} AS p_value FROM (SELECT CORR(o_custkey, o_totalprice) AS r, COUNT(*)::DOUBLE AS n FROM orders)
+UNION ALL SELECT 'anova', * FROM ({_ANOVA} SELECT {pub(_F, 4)}, {pub(_F_TAIL, 6)})
+UNION ALL SELECT 'chi_squared', * FROM ({_CHI} SELECT {pub(_CHI2)}, {pub(_CHI_TAIL, 6)} FROM e)""")
 def auto_test(spark, sf):
     """The test for three column pairs, chosen from their types and cardinality."""
     rows = table(spark, sf, "orders")
