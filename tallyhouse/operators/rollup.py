@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import publish
+from tallyhouse.operators.spread import null_safe_join
+from tallyhouse.session import pin
 
 PARTS = ("score_sum", "score_count", "score_min", "score_max")
 
@@ -38,6 +40,29 @@ def merge_rollups(stored: DataFrame, delta: DataFrame, dims: Sequence[str]) -> D
     return derive_rollup(stored.unionByName(delta), dims)
 
 
+def apply_changes(stored: DataFrame, inserted: DataFrame, removed: DataFrame, source: DataFrame, dims: Sequence[str], measure: str) -> DataFrame:
+    """The stored rollup after rows came and went, without reading all facts again.
+
+    Sums and counts add what came and subtract what went; an update is one row of each. Minimum and maximum cannot be
+    subtracted: cells whose extreme may have left, and cells that are left without a measured row, are built again
+    from `source`, the facts after the changes, restricted to these cells. Sums of floating-point measures differ
+    from a full build by rounding.
+    """
+    sides = [part.select(*dims, *PARTS, F.lit(sign).alias("_sign")) for part, sign in ((stored, 0), (build_rollup(inserted, dims, measure), 1), (build_rollup(removed, dims, measure), -1))]
+    both = sides[0].unionByName(sides[1]).unionByName(sides[2])
+    of = lambda sign, column: F.when(F.col("_sign") == sign, F.col(column))
+    signed = lambda column: F.sum(F.when(F.col("_sign") < 0, -F.col(column)).otherwise(F.col(column)))
+    kinds = {f.name: f.dataType for f in stored.schema.fields}
+    extremes = {f"{side}_{end}": agg(of(sign, f"score_{end}")) for end, agg in (("min", F.min), ("max", F.max)) for side, sign in (("old", 0), ("new", 1), ("gone", -1))}
+    cells = pin(both.groupBy(*dims).agg(signed("score_sum").cast(kinds["score_sum"]).alias("score_sum"), signed("score_count").alias("score_count"), *[c.alias(f"_{n}") for n, c in extremes.items()]))
+    left = lambda end, reaches: F.coalesce(reaches(F.col(f"_gone_{end}"), F.col(f"_old_{end}")) & ~F.coalesce(reaches(F.col(f"_new_{end}"), F.col(f"_old_{end}")), F.lit(False)), F.lit(False))
+    again = (F.col("score_count") <= 0) | left("min", lambda a, b: a <= b) | left("max", lambda a, b: a >= b)
+    ends = [F.least("_old_min", "_new_min").alias("score_min"), F.greatest("_old_max", "_new_max").alias("score_max")]
+    kept = cells.filter(~again).select(*dims, "score_sum", "score_count", *ends)
+    rebuilt = build_rollup(null_safe_join(source, cells.filter(again).select(*dims), dims, "left_semi"), dims, measure)
+    return kept.unionByName(rebuilt)
+
+
 def rollup_mean(rollup: DataFrame, dims: Sequence[str]) -> DataFrame:
     return rollup.select(
         *dims,

@@ -347,6 +347,39 @@ def mv_staleness(spark, sf):
     return refresh.MaterializedView(spark, path, lambda: rows, dims, "cents").staleness()
 
 
+@query("mv_inputs_moved", f"""
+SELECT 'customer' AS source, COUNT(*) AS row_count, CAST(NULL AS VARCHAR) AS newest, 'FRESH' AS status FROM customer
+UNION ALL SELECT 'events', COUNT(*), STRFTIME(DATE_TRUNC('day', MAX(ts)), '%Y-%m-%d'), 'STALE' FROM events WHERE ts < {_CUT}""")
+def mv_inputs_moved(spark, sf):
+    """Which inputs of a view moved since it was stored, from file listings: events get new files, customers do not."""
+    rows, path = table(spark, sf, "events"), scratch_path(spark, "mv")
+    feed = f"{path}/events"
+    rows.filter(F.col("ts") < _cut()).write.parquet(feed)
+    view = refresh.MaterializedView(
+        spark, f"{path}/view", lambda: spark.read.parquet(feed), ["event_type"], "user_id", {"events": (feed, "ts"), "customer": f"{sf}/customer.parquet"}
+    )
+    view.refresh()
+    rows.filter(F.col("ts") >= _cut()).write.mode("append").parquet(feed)
+    return view.input_staleness().select("source", "row_count", F.substring("newest", 1, 10).alias("newest"), "status")
+
+
+_CHANGED = f"(SELECT event_type, user_id, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END + {_CENTS} AS cents FROM events WHERE event_id % 11 > 0 OR ts >= {_CUT})"
+
+
+@query("mv_retractions", f"SELECT event_type, user_id, CAST(SUM(cents) AS BIGINT) AS score_sum, COUNT(*) AS score_count, MIN(cents) AS score_min, MAX(cents) AS score_max FROM {_CHANGED} GROUP BY ALL")
+def mv_retractions(spark, sf):
+    """Events stored early, then some deleted, some corrected and new ones added: equal to a full build of what is left."""
+    rows = _events(spark, sf)
+    old = F.col("ts") < _cut()
+    deleted, corrected = old & (F.col("event_id") % 11 == 0), F.col("event_id") % 7 == 0
+    after = rows.filter(~deleted).withColumn("cents", F.col("cents") + F.when(corrected, 1).otherwise(0))
+    dims, path = ["event_type", "user_id"], scratch_path(spark, "mv")
+    refresh.MaterializedView(spark, path, lambda: rows.filter(old), dims, "cents").refresh()
+    view = refresh.MaterializedView(spark, path, lambda: after, dims, "cents")
+    view.refresh_changes(after.filter(~old | corrected), rows.filter(old & (deleted | corrected)))
+    return view.read()
+
+
 @query("mv_incremental_equals_full", f"SELECT event_type, user_id, {_EVENT_PARTS} FROM events GROUP BY ALL")
 def mv_incremental_equals_full(spark, sf):
     """Old events materialised, new ones folded in: equal to a full build."""

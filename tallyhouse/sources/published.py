@@ -23,6 +23,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def stored_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A parquet table, or no rows where nothing was stored."""
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """All published versions, one row each."""
     if not _exists(spark, f"{path}/manifest"):
@@ -79,8 +84,9 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
 
 
 def serve(spark: SparkSession, path: str, version: int | None = None, **key) -> DataFrame:
-    """Keyed read. The equality reaches the parquet scan, where sorted files skip by min/max."""
+    """Keyed read, in the order of the version's keys. The equality reaches the parquet scan, where sorted files skip by min/max."""
     out = read_version(spark, path, version)
     for column, value in key.items():
         out = out.filter(F.col(column) == F.lit(value))
-    return out.orderBy(*out.columns[: len(key) + 1])
+    keys = manifest(spark, path).filter(F.col("version") == (latest_version(spark, path) if version is None else version)).first().keys
+    return out.orderBy(*[F.col(c) for c in keys.split(",")])
