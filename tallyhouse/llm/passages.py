@@ -3,9 +3,9 @@
 A word goes when `width` consecutive words cover it that also start anywhere else in the corpus. Which
 windows can recur at all is settled by their anchors (see `repeats`): windows with an anchor of their
 own are unique, and text whose copies agree as a whole needs no search. The rest is dealt to shards by
-anchor, whole groups each. A shard confirms which of its windows recur, compiles an Aho-Corasick
-automaton of them over the shard's word numbers, and streams its text through the automaton, which
-locates every occurrence. A shard is bounded in bytes, and so is its automaton; every document is
+anchor, whole groups each. A shard confirms by hash counts which of its windows may recur, compiles an
+Aho-Corasick automaton of these over the shard's word numbers, and streams its text through the automaton, which
+locates every occurrence; what it locates decides. A shard is bounded in bytes, and so is its automaton; every document is
 streamed to exactly the shards of its own anchors.
 
 Words are what lies between ASCII white space, compared as bytes. Null text has no words; texts shorter
@@ -15,7 +15,6 @@ than a window stay whole. Repeated rows are copies of each other.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.common import binaries, keyed, read, with_texts
-from tallyhouse.llm.repeats import CROWD, mask_of, mixed, recurring
+from tallyhouse.llm.repeats import CROWD, Rolling, mask_of, mixed, recurring
 
 WIDTH = 35
 GRAM = 8
@@ -74,25 +73,39 @@ def _cut(data: bytes) -> Callable[[int, int], bytes]:
 
 
 def located(segments: list[tuple[bytes, int]], width: int) -> list[tuple[int, int] | None]:
-    """The first and last recurring window of each segment of a shard."""
+    """The first and last recurring window of each segment of a shard.
+
+    Hashes of the windows tell which may recur; these are compiled, and the automaton, which compares
+    words, locates every occurrence of them. A window recurs if it is located twice, or in a segment with copies.
+    """
     number: dict[bytes, int] = {}
     texts = [tuple(number.setdefault(w, len(number)) for w in s.split()) for s, _ in segments]
-    seen: Counter = Counter()
-    for own, (_, copies) in zip(texts, segments, strict=True):
-        for i in range(len(own) - width + 1):
-            seen[own[i : i + width]] += copies
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for window, count in seen.items():
-        if count > 1:
-            automaton.add_word(window)
-    del seen
-    if not len(automaton):
+    rolling = Rolling()
+    hashes = [rolling.load(mixed(np.array(own, np.uint64) + np.uint64(1))).windows(width) for own in texts]
+    copies = np.repeat(np.array([c for _, c in segments]), [len(h) for h in hashes])
+    _, kind = np.unique(np.concatenate(hashes), return_inverse=True)
+    maybe = np.bincount(kind, weights=copies)[kind] > 1
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    known = at = 0
+    for own, h in zip(texts, hashes, strict=True):
+        for i in np.flatnonzero(maybe[at : at + len(h)]).tolist():
+            if not automaton.exists(own[i : i + width]):
+                automaton.add_word(own[i : i + width], known)
+                known += 1
+        at += len(h)
+    if not known:
         return [None] * len(texts)
     automaton.make_automaton()
+    found = np.zeros(known, np.int64)
+    hits = []
+    for own, (_, count) in zip(texts, segments, strict=True):
+        pairs = np.array(list(automaton.iter(own)), np.int64).reshape(-1, 2)
+        np.add.at(found, pairs[:, 1], count)
+        hits.append(pairs)
     out: list[tuple[int, int] | None] = []
-    for own in texts:
-        ends = [end for end, _ in automaton.iter(own)]
-        out.append((ends[0] - width + 1, ends[-1] - width + 1) if ends else None)
+    for pairs in hits:
+        ends = pairs[found[pairs[:, 1]] > 1, 0]
+        out.append((int(ends[0]) - width + 1, int(ends[-1]) - width + 1) if len(ends) else None)
     return out
 
 

@@ -6,7 +6,7 @@ whose anchor's hash is found once in the corpus is unique, and only windows that
 be compared. Neighbouring windows with one anchor are a run, about one for each half width, and a run's
 segment is all text its windows cover.
 
-    runs        one row per run: document, anchor, hash of the segment, place
+    runs        one row per run: document, anchor, hash of the segment, place; only those that share their anchor are kept
     settled     segments that occur again as a whole: all windows of their runs recur
     contested   anchors with several distinct segments: one copy of each goes to its anchor's task, where
                 the operator finds the first and the last recurring window of those without copies
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import binaries, bounded_batches, release
-from tallyhouse.session import pin, scratch_path
+from tallyhouse.session import drop_stored, pin, scratch_path
 
 CROWD = 2048
 CHUNK = 1 << 18
@@ -89,7 +89,10 @@ def runs_of(length: int, symbols: Callable[[int, int], np.ndarray], width: int,
 
 
 def runs_table(rows: DataFrame, text: str, symbols_of: Callable[[bytes], tuple[int, Callable]], width: int, gram: int) -> DataFrame:
-    """Runs of all rows (`_row` and a text column), stored in the shared folder."""
+    """Runs of all rows (`_row` and a text column) whose anchor is that of another run too, stored in the shared folder.
+
+    Anchors are counted alone first, so those of one run cross the network as one number.
+    """
     names = ["_row", "anchor", "segment", "first", "windows"]
     bounded_batches(rows.sparkSession)
 
@@ -109,9 +112,13 @@ def runs_table(rows: DataFrame, text: str, symbols_of: Callable[[bytes], tuple[i
         release()
 
     made = rows.select("_row", text).mapInArrow(run, "_row long, anchor long, segment long, first long, windows int")
-    path = scratch_path(rows.sparkSession, "runs")
+    spark, path, kept = rows.sparkSession, scratch_path(rows.sparkSession, "runs"), scratch_path(rows.sparkSession, "shared")
     made.write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    runs = spark.read.schema(made.schema).parquet(path)
+    shared = runs.groupBy("anchor").count().filter("count > 1").select("anchor")
+    runs.join(shared, "anchor", "left_semi").select(names).write.parquet(kept)
+    drop_stored(spark, path)
+    return spark.read.schema(made.schema).parquet(kept)
 
 
 def recurring(
@@ -135,7 +142,7 @@ def recurring(
     """
     runs = runs_table(rows, text, symbols_of, width, gram)
     segments = runs.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("_row", "first", "windows")).alias("one"))
-    anchors = segments.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).filter("total > 1").select("anchor", "kinds")
+    anchors = segments.groupBy("anchor").agg(F.count("*").alias("kinds"))
     # pinned, so that the join below is between plain shuffles, whose large partitions are split
     repeated = pin(segments.join(pin(anchors), "anchor").select("anchor", "segment", "copies", "kinds", "one"))
     settled = repeated.filter("copies > 1").select("anchor", "segment", F.lit(0).alias("low"), (F.col("one.windows") - 1).alias("high"))
