@@ -7,8 +7,9 @@ backward search over wavelet ranks, located by sampled suffix positions, and mer
 Documents meet no shuffle and are held a few batches at a time; a document longer than a shard is
 cut with an overlap of a phrase.
 
-Phrases go to every task, so their size is checked: a benchmark over `block_bytes` is searched in
-blocks, one pass over the documents each, and the spans of a document are merged afterwards.
+Phrases go to every task, so their number is checked: a benchmark of more than `block_windows` is searched in
+blocks of about so many, one pass over the documents each, and the spans of a document are merged afterwards. Long
+items are cut into overlapping pieces for that. A task holds a block's phrases as one matrix of word codes.
 
 Null, empty or wordless text: no words, no spans. Null or wordless items have no phrases. Repeated
 rows keep a row each. Items with equal text are all named. A null item id is the text "null".
@@ -31,7 +32,8 @@ from tallyhouse.llm.fm_index import FMIndex
 
 PHRASE_WORDS = 10
 SHARD_WORDS = 1 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_WINDOWS = 1 << 20
+PIECE_WORDS = 1 << 16
 GROUP_BYTES = 16 << 20
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -50,16 +52,41 @@ class Phrases:
 
     def __init__(self, items: list[tuple[str, bytes]], size: int = PHRASE_WORDS):
         self.code: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        for item, text in items:
-            coded = [self.code.setdefault(w, len(self.code) + 1) for w in words(text)]
-            for i in range(max(1, len(coded) - size + 1) if coded else 0):
-                owners[tuple(coded[i : i + size])].add(item)
         self.size = size
+        self.names = sorted({item for item, _ in items})
+        number = {item: i for i, item in enumerate(self.names)}
+        windows: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
+        for item, text in items:
+            coded = np.array([self.code.setdefault(w, len(self.code) + 1) for w in words(text)], np.int32)
+            if len(coded):
+                windows[min(size, len(coded))].append((number[item], coded))
         self.by_length = []
-        for length in sorted({len(p) for p in owners}):
-            picked = [p for p in owners if len(p) == length]
-            self.by_length.append((length, np.array(picked, np.int32), [sorted(owners[p]) for p in picked]))
+        for length, own in sorted(windows.items()):
+            matrix = np.concatenate([np.lib.stride_tricks.sliding_window_view(coded, length) for _, coded in own])
+            owners = np.repeat(np.array([i for i, _ in own], np.int32), [len(coded) - length + 1 for _, coded in own])
+            order = np.lexsort((owners, *matrix.T[::-1]))
+            matrix, owners = matrix[order], owners[order]
+            fresh = np.ones(len(matrix), bool)
+            fresh[1:] = (matrix[1:] != matrix[:-1]).any(axis=1)
+            self.by_length.append((length, matrix[fresh], np.append(np.flatnonzero(fresh), len(matrix)), owners))
+
+    def items(self, owners: np.ndarray) -> list[str]:
+        return [self.names[i] for i in np.unique(owners).tolist()]
+
+
+def item_pieces(items: DataFrame, size: int = PHRASE_WORDS, piece_words: int = PIECE_WORDS) -> DataFrame:
+    """(i, t, windows): items (i, t) in pieces that hold each of their windows once; wordless items have none."""
+    step = max(1, piece_words - size + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), binaries(batch, "t"), strict=True):
+                own = words(text)
+                for at in range(0, max(1, len(own) - size + 1) if own else 0, step):
+                    part = own[at : at + step + size - 1]
+                    yield pa.RecordBatch.from_arrays([pa.array([item]), pa.array([b" ".join(part)], pa.binary()).cast(pa.string()), pa.array([max(1, len(part) - size + 1)], pa.int64())], ["i", "t", "windows"])
+
+    return items.mapInArrow(run, "i string, t string, windows long")
 
 
 def _occurrences(shard: list[tuple[int, int, np.ndarray]], phrases: Phrases) -> Iterator[tuple[int, int, int, list[str]]]:
@@ -74,7 +101,7 @@ def _occurrences(shard: list[tuple[int, int, np.ndarray]], phrases: Phrases) ->
         owners += [np.full(len(at) + 1, doc)]
     codes, place, owner = (np.concatenate(x) for x in (parts, places, owners))
     index = FMIndex(codes.astype(np.int32), len(phrases.code) + 1)
-    for length, coded, items in phrases.by_length:
+    for length, coded, first, owned in phrases.by_length:
         low, high = index.search(coded)
         count = high - low
         hit = np.flatnonzero(count)
@@ -83,7 +110,7 @@ def _occurrences(shard: list[tuple[int, int, np.ndarray]], phrases: Phrases) ->
         which = np.repeat(hit, count[hit])
         rows = np.arange(len(which)) - np.repeat(np.cumsum(count[hit]) - count[hit], count[hit]) + low[which]
         for at, phrase in zip(index.locate(rows), which, strict=True):
-            yield int(owner[at]), int(place[at]), length, items[phrase]
+            yield int(owner[at]), int(place[at]), length, phrases.items(owned[first[phrase] : first[phrase + 1]])
 
 
 def _shards(texts: list[bytes], phrases: Phrases, shard_words: int, counts: list[int]) -> Iterator[list]:
@@ -144,7 +171,7 @@ def contamination(
     item_text: str = "text",
     phrase_words: int = PHRASE_WORDS,
     shard_words: int = SHARD_WORDS,
-    block_bytes: int = BLOCK_BYTES,
+    block_windows: int = BLOCK_WINDOWS,
     cut: bool = False,
     chars: str | None = None,
 ) -> DataFrame:
@@ -154,8 +181,9 @@ def contamination(
     spark = docs.sparkSession
     bounded_batches(spark)
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"), F.col(item_text).alias("t")).filter("t IS NOT NULL")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length("i")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
+    items = item_pieces(items, phrase_words, min(PIECE_WORDS, block_windows + phrase_words - 1))
+    windows = items.agg(F.coalesce(F.sum("windows"), F.lit(0))).first()[0]
+    blocks = max(1, -(-windows // block_windows))
     schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(FOUND).fields])
 
     def searched(frame: DataFrame, block: int, out: T.StructType) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 
-from tallyhouse.llm.decontaminate import contamination, decontaminate, op1_decontamination
+from tallyhouse.llm.decontaminate import contamination, decontaminate, item_pieces, op1_decontamination
 from tallyhouse.llm.fm_index import FMIndex
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -61,14 +61,14 @@ def test_small_shards_blocks_and_odd_rows(spark, odd_docs, stored):
     bench = stored(items, "item_id long, text string, text2 string".replace(", text2 string", ""), "benchmark")
     docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
     want = plain([tuple(r) for r in docs.collect()], [("null" if i is None else i, t) for i, t in items])
-    for options in ({}, {"shard_words": 15}, {"block_bytes": 40}, {"block_bytes": 40, "shard_words": 11}):
+    for options in ({}, {"shard_words": 15}, {"block_windows": 3}, {"block_windows": 3, "shard_words": 11}):
         found = contamination(docs, bench, **options).collect()
         got = []
         for r in found:
             hit = sum(s.end - s.start for s in r._spans)
             got.append((r.doc_id, r._words, hit, len(r._items), hashlib.sha256(",".join(sorted(r._items)).encode()).hexdigest(), hit > 0))
         assert sorted(got, key=str) == want
-    assert sorted(map(str, decontaminate(docs, bench).collect())) == sorted(map(str, decontaminate(docs, bench, block_bytes=40).collect()))
+    assert sorted(map(str, decontaminate(docs, bench).collect())) == sorted(map(str, decontaminate(docs, bench, block_windows=3).collect()))
     clean = {r.text for r in decontaminate(docs, bench).collect()}
     assert "x  y" in clean and " " in clean and None in clean and not any("fox" in (t or "").lower() for t in clean)
 
@@ -78,3 +78,32 @@ def test_empty_tables(spark, no_docs, stored):
     assert op1_decontamination(spark, no_docs).collect() == []
     stored([(1, "a b")], "doc_id long, text string")
     assert op1_decontamination(spark, no_docs).first().n_words == 2
+
+
+def test_a_full_block_stays_small():
+    """2^20 windows of 2^17 words, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import resource
+import numpy as np
+from tallyhouse.llm.decontaminate import BLOCK_WINDOWS, Phrases
+rng = np.random.default_rng(1)
+items = [(str(i), b" ".join(b"word%d" % w for w in rng.integers(0, 1 << 17, 4096))) for i in range(BLOCK_WINDOWS >> 12)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+phrases = Phrases(items)
+assert sum(len(p[1]) for p in phrases.by_length) > BLOCK_WINDOWS * 0.99
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120)
+    assert int(out.stdout.split()[-1]) < 300
+
+
+def test_pieces_hold_each_window_once(spark):
+    items = spark.createDataFrame([("a", " ".join(f"w{i}" for i in range(50))), ("b", "x y"), ("c", " "), ("d", " ".join("uvwxyzabcdef"))], "i string, t string")
+    pieces = item_pieces(items, 10, 13).collect()
+    seen = sorted((p.i, tuple(w[k : k + 10])) for p in pieces for w in [p.t.split()] for k in range(max(1, len(w) - 9)))
+    own = [(r.i, r.t.split()) for r in items.collect()]
+    assert seen == sorted((i, tuple(w[k : k + 10])) for i, w in own if w for k in range(max(1, len(w) - 9)))
+    assert sum(p.windows for p in pieces) == len(seen)
