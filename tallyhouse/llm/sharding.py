@@ -2,13 +2,14 @@
 
 A uniform shuffle into shards of exact sizes, in one exchange. Rows are numbered by their file and
 their place in it, and each `chunk_rows` of them are a chunk, whatever task reads them. How many rows
-each chunk sends to each target follows the multivariate hypergeometric law; a row of that matrix is
+each chunk sends to each shard follows the multivariate hypergeometric law; a row of that matrix is
 drawn where it is used, by splitting the chunks in halves from all down to one (the same seed for the
-same half), so no place holds the matrix. The rows of a chunk go to the targets in a random order (the
-local permutation), they are exchanged, and each target is permuted again.
+same half), so no place holds the matrix, and a chunk costs a draw per shard and halving. The rows of a
+chunk go to the shards in a random order (the local permutation) and are exchanged.
 
-A shard is cut into targets of at most `target_rows` rows, so no task holds a shard. Equal texts are
-rows like others: the law counts rows.
+Each shard is permuted again by random 64-bit keys: its slots are the ranks of its rows' keys. So that no task
+holds a shard, it is cut into ranges of keys of about `target_rows` rows, whose numbers of rows are
+counted from the row numbers alone. Equal texts are rows like others: the law counts rows.
 
 `docs` that is not read from Parquet files is stored as such first. A task that meets a row that was not
 counted fails. An empty table gives no rows. Null text has no bytes.
@@ -17,7 +18,7 @@ counted fails. An empty table gives no rows. Null text has no bytes.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +26,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import bounded_batches, file_rows, numbered, read
+from tallyhouse.llm.common import bounded_batches, file_rows, numbered, partitions, read
 
 TARGET_ROWS = 4096
-CHUNK_ROWS = 1 << 20
-_HELD = 4  # chunks of which a task keeps the order
+CHUNK_ROWS = 1 << 14
+TASK_BYTES = 32 << 20  # of stored input for a task after the exchange
+_HELD = 64  # chunks of which a task keeps the order
+_LIBRARY = 10**9  # most rows that the library's own draw takes
 SHARDS = 40
 SEED = 20240501
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
-    """Good ones among `drawn` of `good + bad`, by inversion over the twelve standard deviations
-    around the mean, outside of which lies less than a double can tell."""
+    """Good ones among `drawn` of `good + bad`: beyond the library's range by inversion over the twelve
+    standard deviations around the mean, outside of which lies less than a double can tell."""
     total = good + bad
+    if total < _LIBRARY:
+        return int(rng.hypergeometric(good, bad, drawn)) if drawn else 0
     low, high = max(0, drawn - bad), min(good, drawn)
     if low == high:
         return low
@@ -61,12 +66,12 @@ def split(rng: np.random.Generator, sizes: list[int], drawn: int) -> list[int]:
     return out
 
 
-def matrix_row(counts: list[int], sizes: list[int], row: int, seed: int) -> list[int]:
-    """Row `row` of the matrix with row sums `counts` and column sums `sizes`."""
-    first, last = 0, len(counts)
+def matrix_row(before: Callable[[int], int], chunks: int, sizes: list[int], row: int, seed: int) -> list[int]:
+    """Row `row` of the matrix with column sums `sizes`; `before(c)` rows come ahead of chunk c."""
+    first, last = 0, chunks
     while last - first > 1:
         middle = (first + last) // 2
-        left = split(np.random.default_rng([seed, first, last]), sizes, sum(counts[first:middle]))
+        left = split(np.random.default_rng([seed, first, last]), sizes, before(middle) - before(first))
         if row < middle:
             last, sizes = middle, left
         else:
@@ -74,59 +79,51 @@ def matrix_row(counts: list[int], sizes: list[int], row: int, seed: int) -> list
     return sizes
 
 
-def targets(rows: int, shards: int, target_rows: int) -> list[tuple[int, int, int]]:
-    """(shard, first slot, rows) of each target; shard sizes differ by one at most."""
-    out = []
-    for shard in range(shards):
-        size = rows // shards + (shard < rows % shards)
-        parts = max(1, -(-size // target_rows))
-        at = 0
-        for part in range(parts):
-            n = size // parts + (part < size % parts)
-            out.append((shard, at, n))
-            at += n
-    return out
-
-
 def shuffle_to_shards(docs: DataFrame, shards: int, *, seed: int = SEED, target_rows: int = TARGET_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """`docs` with `_shard` and `_slot` (gapless from 0 in each shard), uniform over all orders of the rows."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs, files = file_rows(docs)
     total = sum(n for _, n in files)
-    counts = [min(chunk_rows, total - at) for at in range(0, total, chunk_rows)]
-    places = targets(total, shards, target_rows)
-    shared = spark.sparkContext.broadcast((counts, [n for _, _, n in places]))
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in ("_target", "_from"))])
+    chunks = max(1, -(-total // chunk_rows))
+    sizes = [total // shards + (shard < total % shards) for shard in range(shards)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, sizes = shared.value
+        before = lambda c: min(total, c * chunk_rows)
         orders: dict[int, np.ndarray] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
             chunk, at = np.divmod(batch.column(0).to_numpy(), chunk_rows)
-            own = np.empty(len(at), np.int64)
+            own = np.empty(len(at), np.int32)
             for c in np.unique(chunk).tolist():
                 if c not in orders:
                     if len(orders) == _HELD:
                         del orders[next(iter(orders))]
-                    sent = matrix_row(counts, sizes, c, seed)
-                    orders[c] = np.random.default_rng([seed, c, len(counts), 1]).permutation(np.repeat(np.arange(len(sizes), dtype=np.int32), sent))
+                    sent = matrix_row(before, chunks, sizes, c, seed)
+                    orders[c] = np.random.default_rng([seed, c, chunks, 1]).permutation(np.repeat(np.arange(shards, dtype=np.int32), sent))
                 mine = chunk == c
                 own[mine] = orders[c][at[mine]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(own), batch.column(0)], [*batch.schema.names[1:], "_target", "_from"])
-
-    dealt = numbered(docs, files, *docs.columns).mapInArrow(deal, schema)
-    # the order by a hash of where a row came from is the second permutation, and the same in each attempt
-    again = Window.partitionBy("_target").orderBy(F.xxhash64(F.lit(seed), "_from"), "_from")
-    place = spark.createDataFrame([(t, s, a) for t, (s, a, _) in enumerate(places)], "_target long, _shard int, _first long")
-    return (
-        dealt.withColumn("_slot", F.row_number().over(again).cast("long") - 1)
-        .join(F.broadcast(place), "_target")
-        .withColumn("_slot", F.col("_slot") + F.col("_first"))
-        .drop("_target", "_from", "_first")
-    )
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(own), batch.column(0)], [*batch.schema.names[1:], "_shard", "_from"])
+
+    def dealt(*columns) -> DataFrame:
+        kept = docs.select(*columns).schema.fields
+        schema = T.StructType([*kept, T.StructField("_shard", T.IntegerType()), T.StructField("_from", T.LongType())])
+        ranges = max(1, -(-max(sizes) // target_rows))
+        out = numbered(docs, files, *columns).mapInArrow(deal, schema).withColumn("_key", F.xxhash64(F.lit(seed), "_from"))
+        # the upper 31 bits of the key, as an equal share of the ranges
+        return out.withColumn("_range", F.shiftright(F.shiftrightunsigned("_key", 33) * ranges, 31).cast("int"))
+
+    counts = dealt().groupBy("_shard", "_range").count()
+    ahead = Window.partitionBy("_shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select(F.col("_shard").alias("_s"), F.col("_range").alias("_r"), F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("_first"))
+    stored = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = max(partitions(spark), -(-stored // TASK_BYTES))
+    # keys are the same in each attempt, and rows with one key go by where they came from
+    again = Window.partitionBy("_shard", "_range").orderBy("_key", "_from")
+    rows = dealt(*docs.columns).repartition(parts, "_shard", "_range").withColumn("_slot", F.row_number().over(again).cast("long") - 1)
+    placed = rows.join(firsts, (F.col("_shard") == F.col("_s")) & (F.col("_range") == F.col("_r")))
+    return placed.withColumn("_slot", F.col("_slot") + F.col("_first")).drop("_s", "_r", "_first", "_from", "_key", "_range")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,13 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tallyhouse.llm import sharding
 from tallyhouse.llm.sharding import hypergeometric, matrix_row, op5_sharding, shuffle_to_shards
 
 
 def test_matrix_has_exact_sums():
     counts, sizes = [5, 0, 17, 3, 9], [10, 10, 14]
-    rows = [matrix_row(counts, sizes, r, 7) for r in range(len(counts))]
+    rows = [matrix_row(lambda c: sum(counts[:c]), len(counts), sizes, r, 7) for r in range(len(counts))]
     assert [sum(r) for r in rows] == counts and [sum(c) for c in zip(*rows, strict=True)] == sizes
 
 
@@ -22,6 +23,26 @@ def test_draws_follow_the_law():
     assert abs(np.mean(big) - 400_000) < 200 and 350 < np.std(big) < 650
 
 
+def test_draws_of_a_chunk_grow_with_the_halvings_only(monkeypatch):
+    draws = []
+    real = sharding.hypergeometric
+    monkeypatch.setattr(sharding, "hypergeometric", lambda *a: draws.append(1) or real(*a))
+    for chunks in (16, 1 << 16, 1 << 24):
+        draws.clear()
+        total = chunks << 14
+        sent = matrix_row(lambda c: c << 14, chunks, [total // 64] * 64, chunks // 3, 5)
+        assert sum(sent) == 1 << 14 and len(draws) == 64 * (chunks.bit_length() - 1)
+
+
+def test_many_chunks_and_ranges(spark, stored):
+    docs = stored([(i,) for i in range(500)], "doc_id long", files=4)
+    rows = shuffle_to_shards(docs, 3, target_rows=20, chunk_rows=16).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(500))
+    assert sorted((r._shard, r._slot) for r in rows) == [(s, i) for s, n in enumerate((167, 167, 166)) for i in range(n)]
+    order = [r.doc_id for r in sorted(rows, key=lambda r: (r._shard, r._slot))]
+    assert abs(np.corrcoef(order, range(500))[0, 1]) < 0.2
+
+
 @pytest.mark.parametrize("target_rows", [4096, 3])
 def test_shards_are_exact_and_gapless(spark, odd_docs, target_rows):
     docs = spark.read.parquet(odd_docs() + "/documents.parquet")
