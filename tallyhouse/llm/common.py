@@ -5,10 +5,9 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.session import scratch_path
@@ -44,31 +43,48 @@ def _plain_parquet(docs: DataFrame) -> bool:
     return plan.relation().fileFormat().getClass().getSimpleName() == "ParquetFileFormat"
 
 
-def file_rows(docs: DataFrame) -> tuple[DataFrame, list[tuple[str, int]]]:
-    """A table with the rows of `docs`, read from Parquet files as they are, and the rows of each file by its path.
+_GROUPS = 256  # of files, by a hash of their paths
 
-    It is `docs` itself where that is such a table, and else a copy of it in the shared folder.
+
+def file_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A table with the rows of `docs`, read from Parquet files as they are, and a stored table of its files:
+    (_path, _first, _rows), the number of a file's first row and of its rows.
+
+    The table is `docs` itself where that is read from such files, and else a copy of it in the shared folder. Files
+    are numbered by groups of their paths' hashes, and stay in Spark: there may be very many of them.
     """
+    spark = docs.sparkSession
     for copy in (not _plain_parquet(docs), True):
         if copy:
-            path = scratch_path(docs.sparkSession, "rows")
+            path = scratch_path(spark, "rows")
             docs.write.parquet(path)
-            docs = docs.sparkSession.read.schema(docs.schema).parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
         place = docs.metadataColumn("_metadata")
-        files = docs.select(place["file_path"].alias("path"), place["row_index"].alias("at")).groupBy("path").agg(F.count("*").alias("n"), F.max("at").alias("last")).collect()
-        if all(f.n == f.last + 1 for f in files):  # not with a path that is read twice
-            return docs, sorted((f.path, f.n) for f in files)
-    raise RuntimeError("the stored copy has other rows than its files")
-
-
-def numbered(docs: DataFrame, files: list[tuple[str, int]], *columns, key: str = "_row") -> DataFrame:
-    """The named columns and the number of each row, gapless in the order of `files`; both are from `file_rows`."""
-    firsts = accumulate((n for _, n in files), initial=0)
-    known = docs.sparkSession.createDataFrame([(path, first, n) for (path, n), first in zip(files, firsts, strict=False)], "_path string, _first long, _rows long")
+        found = docs.select(place["file_path"].alias("_path"), place["row_index"].alias("at")).groupBy("_path").agg(F.count("*").alias("_rows"), F.max("at").alias("last"))
+        at = scratch_path(spark, "files")
+        found.withColumn("_group", F.pmod(F.xxhash64("_path"), F.lit(_GROUPS)).cast("int")).write.parquet(at)
+        files = spark.read.parquet(at)
+        if files.filter("_rows <> last + 1").isEmpty():  # not with a path that is read twice
+            break
+    else:
+        raise RuntimeError("the stored copy has other rows than its files")
+    ahead = lambda w: F.coalesce(F.sum("_rows").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = files.groupBy("_group").agg(F.sum("_rows").alias("_rows")).select("_group", ahead(Window.orderBy("_group")).alias("_start"))
+    inside = files.withColumn("_inner", ahead(Window.partitionBy("_group").orderBy("_path")))
+    numbered_at = scratch_path(spark, "numbers")
+    inside.join(groups, "_group").select("_path", (F.col("_start") + F.col("_inner")).alias("_first"), "_rows").write.parquet(numbered_at)
+    return docs, spark.read.parquet(numbered_at)
+
+
+def numbered(docs: DataFrame, files: DataFrame, *columns, key: str = "_row") -> DataFrame:
+    """The named columns and the number of each row, gapless in the order of `files`; both are from `file_rows`.
+
+    The files are a stored table of known size, so Spark broadcasts it only where it is small.
+    """
     place = docs.metadataColumn("_metadata")
-    placed = docs.select(place["file_path"].alias("_path"), place["row_index"].alias("_at"), *columns).join(F.broadcast(known), "_path", "left")
+    placed = docs.select(place["file_path"].alias("_path"), place["row_index"].alias("_at"), *columns).join(files, "_path", "left")
     number = F.when(F.col("_at") < F.col("_rows"), F.col("_first") + F.col("_at")).otherwise(F.raise_error(F.lit("the input has other rows than were counted: store it first")).cast("long"))
-    return placed.withColumn(key, number).select(key, *[c for c in placed.columns if c not in known.columns and c != "_at"])
+    return placed.withColumn(key, number).select(key, *[c for c in placed.columns if c not in files.columns and c != "_at"])
 
 
 def keyed(docs: DataFrame, *columns, key: str = "_row") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import bounded_batches, file_rows, numbered, partitions, read
+from tallyhouse.llm.common import bounded_batches, file_rows, numbered, read
 
 TARGET_ROWS = 4096
 CHUNK_ROWS = 1 << 14
@@ -84,7 +84,7 @@ def shuffle_to_shards(docs: DataFrame, shards: int, *, seed: int = SEED, target_
     spark = docs.sparkSession
     bounded_batches(spark)
     docs, files = file_rows(docs)
-    total = sum(n for _, n in files)
+    total = files.agg(F.sum("_rows")).first()[0] or 0
     chunks = max(1, -(-total // chunk_rows))
     sizes = [total // shards + (shard < total % shards) for shard in range(shards)]
 
@@ -118,7 +118,7 @@ def shuffle_to_shards(docs: DataFrame, shards: int, *, seed: int = SEED, target_
     ahead = Window.partitionBy("_shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select(F.col("_shard").alias("_s"), F.col("_range").alias("_r"), F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("_first"))
     stored = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    parts = max(partitions(spark), -(-stored // TASK_BYTES))
+    parts = max(1, -(-stored // TASK_BYTES))  # a task's share is the same at every size
     # keys are the same in each attempt, and rows with one key go by where they came from
     again = Window.partitionBy("_shard", "_range").orderBy("_key", "_from")
     rows = dealt(*docs.columns).repartition(parts, "_shard", "_range").withColumn("_slot", F.row_number().over(again).cast("long") - 1)

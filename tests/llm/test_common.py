@@ -81,7 +81,7 @@ def test_blocks_of_a_benchmark(spark, stored, changing):
     docs, _ = many_files(stored, [f"w{i} w{i + 1} w{i + 2}" for i in range(400)])
     items = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(0, 400, 7)], "item_id long, text string")
     whole = sorted((r.doc_id, r._spans, r._items) for r in contamination(docs, items, phrase_words=2).collect())
-    split = contamination(docs, items, phrase_words=2, block_bytes=100)
+    split = contamination(docs, items, phrase_words=2, block_windows=40)
     with changing():
         assert sorted((r.doc_id, r._spans, r._items) for r in split.collect()) == whole
 
