@@ -168,16 +168,31 @@ def stream_dedup(spark, sf):
     return ingest.drain(unique, scratch_path(spark, "unique"), scratch_path(spark, "ckpt")).select("event_id", "user_id", "event_type", "value")
 
 
+@query("stream_dedup_hot", "SELECT event_id AS key, COUNT(*) AS rows_kept FROM (SELECT DISTINCT CASE WHEN event_id % 2 = 0 THEN -1 ELSE event_id END AS event_id FROM events) GROUP BY 1")
+def stream_dedup_hot(spark, sf):
+    """A feed in which one key is half of all rows: its copies are thinned in many tasks before they meet in one."""
+    hot = table(spark, sf, "events").withColumn("event_id", F.when(F.col("event_id") % 2 == 0, -1).otherwise(F.col("event_id")))
+    path = _stage(hot, [F.col("ts") < _at("18"), F.col("ts") >= _at("18")])
+    source = ingest.stream_bronze(spark, path, EVENTS, "ts", files_per_batch=4, arrival="_arrival")
+    unique = ingest.stream_dedup(source, ["event_id"], "ts", "40 days", arrival="_arrival")
+    kept = ingest.drain(unique, scratch_path(spark, "unique"), scratch_path(spark, "ckpt"))
+    return kept.groupBy(F.col("event_id").alias("key")).agg(F.count("*").alias("rows_kept"))
+
+
 @query("stream_gold", f"""
 SELECT DATE_TRUNC('day', ts)::TIMESTAMP AS window_start, event_type, {pub('SUM(CAST(value AS DECIMAL(18,4)))::DOUBLE / COUNT(*)')} AS mean_value, COUNT(*) AS n FROM events
 WHERE NOT (ts < TIMESTAMP '2024-01-05 00:00:00' AND event_id % 10 = 0) GROUP BY 1, 2""")
 def stream_gold(spark, sf):
-    """Daily means per event type kept by the stream over several arrivals; windows behind the watermark are closed."""
+    """Daily means per event type kept by the stream over several arrivals, compacted in between; windows behind the watermark are closed."""
     held = (F.col("ts") < _at("05")) & (F.col("event_id") % 10 == 0)
-    path = _stage(table(spark, sf, "events"), [(F.col("ts") < _at("12")) & ~held, (F.col("ts") >= _at("12")) & (F.col("ts") < _at("22")), (F.col("ts") >= _at("22")) | held])
+    path = _stage(table(spark, sf, "events"), [(F.col("ts") < _at("12")) & ~held, (F.col("ts") >= _at("12")) & (F.col("ts") < _at("22"))])
     source = ingest.stream_bronze(spark, path, EVENTS, "ts", files_per_batch=4)
     out = scratch_path(spark, "gold")
-    ingest.stream_gold(source, "ts", "1 day", ["event_type"], "value", "3 days", out, scratch_path(spark, "ckpt")).awaitTermination()
+    checkpoint = scratch_path(spark, "ckpt")
+    ingest.stream_gold(source, "ts", "1 day", ["event_type"], "value", "3 days", out, checkpoint).awaitTermination()
+    ingest.compact_gold(spark, out, ["event_type"])
+    table(spark, sf, "events").filter((F.col("ts") >= _at("22")) | held).repartitionByRange(4, "ts").write.mode("append").parquet(path)
+    ingest.stream_gold(source, "ts", "1 day", ["event_type"], "value", "3 days", out, checkpoint).awaitTermination()
     means = ingest.published_means(ingest.read_gold(spark, out, ["event_type"]), ["event_type"])
     return means.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 import random
 import statistics
 
@@ -116,8 +117,13 @@ def test_stream_dedup_keeps_one_row_per_id_over_batches(spark, rows, tmp_path):
 def test_copies_are_thinned_before_the_shuffle_and_rows_stay_whole(spark, rows, tmp_path):
     path = str(tmp_path / "in")
     arrivals(spark, path, [(1, 0, "a", 1)] * 500 + [(2, 1, "b", 2)], [(1, 0, "a", 1)] * 500 + [(3, 2, "c", 3)])
-    out = ingest.drain(ingest.stream_dedup(source(spark, path), ["id"], "ts", "10 days", many_copies=True), str(tmp_path / "out"), str(tmp_path / "ck"))
-    assert rows(out, "id", "k", "v") == [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)]
+    feed = ingest.stream_bronze(spark, path, spark.createDataFrame([], SCHEMA).schema, "ts", files_per_batch=1, arrival="_arrival")
+    unique = ingest.stream_dedup(feed, ["id"], "ts", "10 days", arrival="_arrival", ways=16)
+    query = unique.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "id", "k", "v") == [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)]
+    kept = sorted(int(state["numRowsTotal"]) for state in query.lastProgress["stateOperators"])
+    assert kept[0] == 3 and kept[1] == 16 + 2  # the hot key's rows were thinned in 16 places
 
 
 def test_stream_gold_equals_batch_and_resumes(spark, rows, tmp_path):
@@ -131,7 +137,34 @@ def test_stream_gold_equals_batch_and_resumes(spark, rows, tmp_path):
     everything = spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
     batch = ingest.published_means(ingest.windowed_means(everything, "ts", "1 day", ["k"], "v"), ["k"])
     assert rows(stored) == rows(batch) and stored.count() == 3
-    assert ingest.compact_gold(spark, out, ["k"], str(tmp_path / "serving")) == 1
+    assert ingest.publish_gold(spark, out, ["k"], str(tmp_path / "serving")) == 1
+
+
+def test_gold_reads_the_base_and_later_batches_only(spark, rows, tmp_path):
+    path, out, ck = str(tmp_path / "in"), str(tmp_path / "gold"), str(tmp_path / "ck")
+    run = lambda: ingest.stream_gold(source(spark, path), "ts", "1 day", ["k"], "v", "90 days", out, ck).awaitTermination()
+    listed = []
+    for turn in range(3):
+        arrivals(spark, path, *[[(10 * turn + i, 24 * i, "ab"[i % 2], turn)] for i in range(3)])
+        run()
+        before = rows(ingest.read_gold(spark, out, ["k"]))
+        assert ingest.compact_gold(spark, out, ["k"]) == turn + 1
+        assert rows(ingest.read_gold(spark, out, ["k"])) == before and not list((tmp_path / "gold").glob("batch=*"))
+        listed.append(len(ingest.read_gold(spark, out, ["k"]).inputFiles()))
+    assert max(listed) <= listed[0] + 1  # not with the number of batches ever written
+    everything = ingest.windowed_means(spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 day", ["k"], "v")
+    assert rows(ingest.read_gold(spark, out, ["k"])) == rows(everything)
+    # a fold that stopped before its announcement, and one that stopped before it deleted its batches
+    arrivals(spark, path, [(99, 0, "a", 7)])
+    run()
+    want = rows(ingest.read_gold(spark, out, ["k"]))
+    ingest.publish_gold(spark, out, ["k"], f"{out}/base")
+    assert rows(ingest.read_gold(spark, out, ["k"])) == want
+    batch = max((tmp_path / "gold").glob("batch=*"))
+    shutil.copytree(batch, tmp_path / "left")
+    assert ingest.compact_gold(spark, out, ["k"]) == 5
+    shutil.copytree(tmp_path / "left", batch)
+    assert rows(ingest.read_gold(spark, out, ["k"])) == want and ingest.compact_gold(spark, out, ["k"]) == 5 and not batch.exists()
 
 
 def test_late_rows_are_kept_apart_and_none_is_lost(spark, rows, tmp_path):
