@@ -14,6 +14,7 @@ from tallyhouse.plans.catalog import pub, query, with_silver, with_survey
 from tallyhouse.plans.inputs import LATEST, question_config, survey_bronze, survey_silver
 from tallyhouse.session import scratch_path
 from tallyhouse.sources import published
+from tallyhouse.sources import snapshots
 from tallyhouse.sources.files import append, materialize, read_csv, register_view, with_audit, write_parquet
 from tallyhouse.sources.schemas import TABLES
 from tallyhouse.sources.survey import CATEGORIES, survey, table, teams
@@ -423,19 +424,34 @@ def upsert(spark, sf):
     return refresh.upsert(rows, changed.unionByName(added), ["event_id"])
 
 
-@query("upsert_partitions", f"""
+_UPSERTED = f"""
 SELECT event_id, user_id, CASE WHEN event_type = 'signup' OR event_type = 'click' AND event_id % 2 = 0 THEN 'moved' ELSE event_type END AS event_type,
-       CASE WHEN event_type = 'error' AND value < 50 THEN 0 ELSE {_CENTS} END AS cents FROM events""")
+       CASE WHEN event_type = 'error' AND value < 50 THEN 0 ELSE {_CENTS} END AS cents FROM events"""
+
+
+@query("upsert_partitions", _UPSERTED)
 def upsert_partitions(spark, sf):
     """A keyed upsert into a partitioned table, of changed rows and of rows that move: half of one partition and
     the whole of another. Only partitions with such rows are rewritten."""
-    rows = _events(spark, sf).select("event_id", "user_id", "event_type", "cents")
-    path = scratch_path(spark, "partitioned")
+    rows, path = _events(spark, sf).select("event_id", "user_id", "event_type", "cents"), scratch_path(spark, "partitioned")
     write_parquet(rows, path, partition_by=["event_type"])
+    refresh.upsert_partitions(spark, path, _partition_updates(rows), ["event_id"], "event_type")
+    return spark.read.parquet(path)
+
+
+def _partition_updates(rows):
     changed = rows.filter("event_type = 'error' AND cents < 5000").withColumn("cents", F.lit(0).cast("bigint"))
     moved = rows.filter("event_type = 'signup' OR event_type = 'click' AND event_id % 2 = 0").withColumn("event_type", F.lit("moved"))
-    refresh.upsert_partitions(spark, path, changed.unionByName(moved), ["event_id"], "event_type")
-    return spark.read.parquet(path)
+    return changed.unionByName(moved)
+
+
+@query("upsert_snapshot", _UPSERTED)
+def upsert_snapshot(spark, sf):
+    """The same upsert as one commit of a table with snapshots."""
+    rows, path = _events(spark, sf).select("event_id", "user_id", "event_type", "cents"), scratch_path(spark, "snapshots")
+    snapshots.create_snapshot(rows, path, "event_type")
+    snapshots.upsert_snapshot(spark, path, _partition_updates(rows), ["event_id"], "event_type")
+    return snapshots.read_snapshot(spark, path)
 
 
 @query("update_delete", f"""
