@@ -116,3 +116,29 @@ def reduction(raw: DataFrame, gold: DataFrame) -> DataFrame:
     return after.select(before.alias("raw_rows"), F.col("n").alias("gold_rows")).withColumn(
         "reduction_factor", publish(F.try_divide("raw_rows", "gold_rows"))
     )
+
+
+def build_sketches(df: DataFrame, dims: Sequence[str], measure: str, person: str, k: int = 800, lg_k: int = 14) -> DataFrame:
+    """Sketches per cell for what sums and counts cannot derive: `quantiles` of the measure and `people`, the distinct persons.
+
+    They merge like sums do. With these sizes a quantile's rank is off by about 0.3 % and a distinct count by about
+    0.8 % (two standard errors 1.6 %); exact forms stay the default elsewhere. Cells are of bounded size, whatever they sum over.
+    """
+    value = F.col(measure).cast("double")
+    return df.groupBy(*dims).agg(
+        F.kll_sketch_agg_double(value, F.lit(k)).alias("quantiles"), F.hll_sketch_agg(F.col(person), F.lit(lg_k)).alias("people"), F.count(value).alias("score_count")
+    )
+
+
+def derive_sketches(sketches: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Drop dimensions by merging the stored sketches; the facts are not read again."""
+    return sketches.groupBy(*keep).agg(
+        F.kll_merge_agg_double("quantiles").alias("quantiles"), F.hll_union_agg("people").alias("people"), F.sum("score_count").alias("score_count")
+    )
+
+
+def sketched(sketches: DataFrame, dims: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """Estimates from stored sketches: each named quantile, and the number of distinct persons."""
+    measured = F.col("score_count") > 0
+    named = [F.when(measured, F.kll_sketch_get_quantile_double("quantiles", F.lit(float(q)))).alias(name) for name, q in quantiles.items()]
+    return sketches.select(*dims, *named, F.hll_sketch_estimate("people").alias("people"), "score_count")

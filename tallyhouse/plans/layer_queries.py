@@ -315,6 +315,21 @@ def answer_from_rollups(spark, sf):
     return rollup.answer_from_rollups(stored, facts, ["department"], "score")
 
 
+@query("rollup_sketches", "SELECT event_type, COUNT(value) AS score_count, TRUE AS p90_within, TRUE AS people_within FROM events GROUP BY event_type")
+def rollup_sketches(spark, sf):
+    """A P90 and a distinct count from the sketches of a finer stored rollup, held against the facts: the P90's rank
+    within 1 %, the count within 2.5 %."""
+    facts = table(spark, sf, "events").select("event_type", F.to_date("ts").alias("day"), "user_id", "value")
+    path = scratch_path(spark, "sketches")
+    cells = materialize(rollup.build_sketches(facts, ["event_type", "day"], "value", "user_id"), path)
+    derived = rollup.sketched(rollup.derive_sketches(cells, ["event_type"]), ["event_type"], {"p90": 0.9})
+    below = facts.join(derived, "event_type").groupBy("event_type", "score_count", "people").agg(
+        F.avg((F.col("value") <= F.col("p90")).cast("double")).alias("under"), F.avg((F.col("value") < F.col("p90")).cast("double")).alias("strictly"), F.countDistinct("user_id").alias("exact")
+    )
+    near = (F.col("under") >= 0.89) & (F.col("strictly") <= 0.91)
+    return below.select("event_type", "score_count", near.alias("p90_within"), (F.abs(F.col("people") - F.col("exact")) <= 0.025 * F.col("exact")).alias("people_within"))
+
+
 # ---- refresh ----------------------------------------------------------------
 
 _CUT = "TIMESTAMP '2024-01-25 00:00:00'"
