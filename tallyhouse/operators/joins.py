@@ -69,8 +69,8 @@ def categorize(df: DataFrame, mapping: Mapping, key: str, out: str = "category")
 
 
 def label_lookup(df: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """Attach a label; an unknown key keeps the key itself as label."""
-    named = df.join(labels.select(key, label), key, "left")
+    """Attach a label; an unknown key keeps the key itself as label, and of several labels of a key the least counts."""
+    named = df.join(labels.groupBy(key).agg(F.min(label).alias(label)), key, "left")
     return named.withColumn(label, F.coalesce(F.col(label), F.col(key).cast("string")))
 
 

@@ -1,16 +1,16 @@
-"""Clustered copies, zone maps, pruning and encoding reports, storage footprints."""
+"""Clustered copies, partition pruning and encoding reports."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import publish
 from tallyhouse.operators.aggregate import cardinality_profile
 from tallyhouse.operators.spread import dense_index, neighbour
-from tallyhouse.sources.files import range_sorted, stored_bytes, write_parquet
+from tallyhouse.sources.files import range_sorted
 
 
 def cluster_by(df: DataFrame, columns: Sequence[str], path: str, files: int | None = None) -> DataFrame:
@@ -19,32 +19,6 @@ def cluster_by(df: DataFrame, columns: Sequence[str], path: str, files: int | No
     return df.sparkSession.read.parquet(path)
 
 
-def zone_map(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Rows, minimum and maximum of each column per data file."""
-    bounds = []
-    for c in columns:
-        bounds += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    return spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("row_count"), *bounds)
-
-
-def pruning_report(spark: SparkSession, copies: Mapping[str, str], column: str, lo, hi) -> DataFrame:
-    """For each copy: files and rows whose range admits `column BETWEEN lo AND hi`, and the rows that match."""
-    out = None
-    for name, path in copies.items():
-        zones = zone_map(spark, path, [column])
-        admits = (F.col(f"max_{column}") >= lo) & (F.col(f"min_{column}") <= hi)
-        line = zones.agg(
-            F.count(F.lit(1)).alias("files"),
-            F.count_if(admits).alias("files_read"),
-            F.sum("row_count").alias("row_count"),
-            F.coalesce(F.sum(F.when(admits, F.col("row_count"))), F.lit(0)).alias("rows_read"),
-        )
-        matching = spark.read.parquet(path).filter(F.col(column).between(lo, hi)).agg(F.count(F.lit(1)).alias("n"))
-        line = line.select(F.lit(name).alias("copy"), "*").withColumn("rows_matching", matching.scalar())
-        out = line if out is None else out.unionByName(line)
-    return out
-
-
 def encoding_profile(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per column: distinct values, runs of equal values in the given order, and NULL share.
 
@@ -67,32 +41,6 @@ def encoding_profile(df: DataFrame, columns: Sequence[str], order: Sequence[str]
     return cardinality_profile(df, columns).join(runs, "column_name").join(nulls, "column_name")
 
 
-def column_sizes(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
-    """Bytes of each column stored on its own, and its share of the sum."""
-    spark = df.sparkSession
-    out = None
-    for c in columns:
-        df.select(c).write.mode("overwrite").parquet(f"{path}/{c}")
-        line = stored_bytes(spark, f"{path}/{c}").select(F.lit(c).alias("column_name"), F.col("bytes"))
-        out = line if out is None else out.unionByName(line)
-    total = out.agg(F.sum("bytes").alias("s"))
-    return out.withColumn("share_pct", publish(F.lit(100.0) * F.col("bytes") / total.scalar(), 1))
-
-
-def storage_compare(forms: Mapping[str, DataFrame], path: str) -> DataFrame:
-    """Rows, files and bytes of each form written as parquet."""
-    out = None
-    for name, df in forms.items():
-        where = f"{path}/{name}"
-        write_parquet(df, where)
-        rows = df.sparkSession.read.parquet(where).agg(F.count(F.lit(1)).alias("n"))
-        line = stored_bytes(df.sparkSession, where).select(F.lit(name).alias("form"), "files", "bytes").withColumn(
-            "row_count", rows.scalar()
-        )
-        out = line if out is None else out.unionByName(line)
-    return out
-
-
 def pruned(df: DataFrame, column: str, wanted: Sequence) -> DataFrame:
     """Read only the partitions named; the filter is on the partition column itself."""
     return df.filter(F.col(column).isin(list(wanted)))

@@ -189,7 +189,7 @@ def test_new_members_continue_after_the_largest_key(spark, rows):
 
 def test_unknown_label_falls_back_to_the_key(spark, rows):
     df = spark.createDataFrame([("t1",), ("t9",)], "team_id string")
-    labels = spark.createDataFrame([("t1", "Alpha")], "team_id string, team_name string")
+    labels = spark.createDataFrame([("t1", "Beta"), ("t1", "Alpha")], "team_id string, team_name string")
     assert rows(joins.label_lookup(df, labels, "team_id", "team_name")) == [("t1", "Alpha"), ("t9", "t9")]
 
 
