@@ -41,7 +41,22 @@ def driver_correlations(spark, sf):
     return stats.driver_analysis(respondent_means(spark, sf), "engagement", DRIVERS, ["department"])
 
 
-@query("driver_regression")
+def _regression_sql() -> str:
+    """Normal equations in SQL: the covariance matrix swept once per driver; the target is the last row."""
+    columns = [*DRIVERS, "engagement"]
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    cells = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, COVAR_POP({a}, {b}) AS v FROM whole" for i, a in enumerate(columns) for j, b in enumerate(columns))
+    steps = [f"whole AS (SELECT * FROM wide WHERE {whole})", f"a0 AS ({cells})"]
+    for k in range(len(DRIVERS)):
+        steps.append(f"""a{k + 1} AS (SELECT x.i, x.j, CASE WHEN x.i = {k} AND x.j = {k} THEN -1 / d.v WHEN x.i = {k} OR x.j = {k} THEN x.v / d.v ELSE x.v - r.v * c.v / d.v END AS v
+          FROM a{k} x JOIN a{k} d ON d.i = {k} AND d.j = {k} JOIN a{k} r ON r.i = x.i AND r.j = {k} JOIN a{k} c ON c.i = {k} AND c.j = x.j)""")
+    n = len(DRIVERS)
+    names = " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(DRIVERS))
+    fit = f"1 - (SELECT v FROM a{n} WHERE i = {n} AND j = {n}) / (SELECT v FROM a0 WHERE i = {n} AND j = {n})"
+    return with_survey(_WIDE + ", " + ", ".join(steps) + f" SELECT CASE i {names} END AS driver, {pub('v', 4)} AS coefficient, {pub(fit, 4)} AS r_squared FROM a{n} WHERE j = {n} AND i < {n}")
+
+
+@query("driver_regression", _regression_sql())
 def driver_regression(spark, sf):
     """Weight of each category in a regression of engagement on all four."""
     model = stats.multi_driver_regression(respondent_means(spark, sf), "engagement", DRIVERS)

@@ -190,7 +190,8 @@ def _suite_sql(silver: str) -> str:
 def _suite_tables(spark, sf):
     known = teams(spark, sf).filter("department <> 'MIDDLE EAST'")
     bronze = materialize(survey_bronze(spark, sf), scratch_path(spark, "bronze"))
-    return {"silver": _stored_silver(spark, sf), "bronze": bronze, "teams": known}
+    silver = medallion.silver_responses(bronze, question_config(spark, sf), question_key="question_no", latest=LATEST)
+    return {"silver": materialize(silver, scratch_path(spark, "silver")), "bronze": bronze, "teams": known}
 
 
 @query("dq_suite", with_silver(_suite_sql("silver")))
