@@ -17,7 +17,7 @@ from tallyhouse.llm.packing import pack_documents
 from tallyhouse.llm.passages import drop_repeated_words
 from tallyhouse.llm.simhash import near_dedup
 from tallyhouse.llm.toxicity import drop_toxic
-from tallyhouse.session import scratch_path
+from tallyhouse.session import drop_stored, scratch_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
         path = scratch_path(spark, f"stage{number}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # the stored input of the stage that has just been stored itself
+            drop_stored(spark, before)
+        before = path
     return docs
