@@ -79,26 +79,43 @@ def resolve(records: DataFrame, *, cell: int = CELL) -> DataFrame:
 
 
 def captures(pages: DataFrame) -> DataFrame:
-    """Records of a crawl that the pages stand for: every page is fetched once, at its number, and asked for
-    again some steps later (every eleventh, a step before). Entity tags are the page's hash; asked again, a
-    fifth of the servers names another tag, a fifth only the date, a fifth a weak tag."""
-    n, again = F.col("page_id"), F.col("page_id") % 5
-    tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
-    date = F.concat(F.lit("day "), (n % 365).cast("string"))
-    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
-    pairs = lambda **values: F.map_filter(F.create_map(*[x for k, v in values.items() for x in (F.lit(k.replace("_", "-")), v)]), lambda k, v: v.isNotNull())
-    first = pages.select(
-        (n * 2).alias("record_id"), "url", n.cast("long").alias("time"), F.lit("response").alias("kind"), F.lit(200).alias("status"),
-        pairs(etag=tag, last_modified=date, content_type=F.lit("text/html"), content_length=size, cache_control=F.lit("max-age=60")).alias("headers"),
-        F.md5(F.coalesce("html", F.lit(""))).alias("digest"),
-    )
-    asked = F.when(again == 0, F.lit('"other"')).when(again == 2, F.concat(F.lit("W/"), tag)).when(again != 1, tag)
-    second = pages.select(
-        (n * 2 + 1).alias("record_id"), F.concat("url", F.lit("#again")).alias("url"), F.when(n % 11 == 0, n - 1).otherwise(n + 1 + n % 7).cast("long").alias("time"), F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
-        pairs(etag=asked, last_modified=F.when(again == 1, date), content_length=F.lit("0"), cache_control=F.concat(F.lit("max-age="), (n % 100).cast("string")), set_cookie=F.lit("s=1")).alias("headers"),
-        F.lit(None).cast("string").alias("digest"),
-    )
-    return first.unionByName(second)
+    """Records of a crawl that the pages stand for, nine a page. Page n is fetched three times, 3,000 steps
+    apart (of every fourth, the second answer is an error), and asked for again three times, a little
+    after a fetch, at its very time or just before it. Each page also adds a response and two revisits of one
+    common URL, which so has a third of all records, and two responses at a time. Entity tags name the
+    version; asked again, a fifth of the pages names another tag, a fifth only the date, a fifth a weak
+    tag, and a fifth neither at the last time."""
+    n, k, again = F.col("n"), F.col("k"), F.col("n") % 5
+    page = pages.select(
+        F.col("page_id").cast("long").alias("n"), "url", F.md5(F.coalesce("html", F.lit(""))).alias("sum"), F.octet_length(F.coalesce("html", F.lit(""))).cast("string").alias("size")
+    )  # the page's text stays behind
+    rows = page.select("*", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("k"))
+    shared, revisit, visit = k >= 6, k.isin(3, 4, 5, 7, 8), k % 3
+    late = F.when(n % 11 == 0, -1).when(n % 11 == 1, 0).otherwise(1 + n % 7)
+    time = F.when(k < 3, n + k * 3000).when(k < 6, n + visit * 3000 + late).when(k == 6, n - n % 2).otherwise(n + k - 7)
+    version = F.when(shared, F.concat(F.lit("common"), F.floor(n / 50).cast("string"))).otherwise(F.concat("sum", visit.cast("string")))
+    tag = F.concat(F.lit('"'), F.substring(F.md5(version), 1, 16), F.lit('"'))
+    date = F.concat(F.lit("day "), F.when(shared, F.floor(n / 50)).otherwise((n + visit) % 365).cast("string"))
+    neither = (again == 3) & k.isin(5, 8)
+    asked = F.when(again == 0, F.lit('"other"')).when(again == 2, F.concat(F.lit("W/"), tag)).when((again != 1) & ~neither, tag)
+    own = {
+        "etag": F.when(revisit, asked).otherwise(tag),
+        "last-modified": F.when(~revisit | (again == 1), date),
+        "content-type": F.when(~revisit, F.lit("text/html")),
+        "content-length": F.when(revisit, F.lit("0")).otherwise(F.col("size")),
+        "cache-control": F.concat(F.lit("max-age="), F.when(revisit, (n % 100).cast("string")).otherwise("60")),
+        "set-cookie": F.when(revisit, F.lit("s=1")),
+    }
+    headers = F.map_filter(F.create_map(*[x for name, value in own.items() for x in (F.lit(name), value)]), lambda _, v: v.isNotNull())
+    return rows.select(
+        (n * 9 + k).alias("record_id"),
+        F.when(shared, F.lit("http://common.example/")).when(revisit, F.concat("url", F.lit("#again"))).otherwise(F.col("url")).alias("url"),
+        time.cast("long").alias("time"),
+        F.when(revisit, F.lit("revisit")).otherwise("response").alias("kind"),
+        F.when(revisit, 304).when((k == 1) & (n % 4 == 0), 503).otherwise(200).alias("status"),
+        headers.alias("headers"),
+        F.when(~revisit, F.md5(version)).alias("digest"),
+    )
 
 
 def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,22 +130,30 @@ _CANONICAL = r"""CASE WHEN NOT regexp_matches(u, '^[A-Za-z][A-Za-z0-9+.-]*://')
 SQL = {
     "op6_revisits": rf"""
 WITH p AS (
-  SELECT page_id AS n, url, coalesce(html, '') AS html FROM pages
+  SELECT page_id AS n, url, md5(coalesce(html, '')) AS hash, CAST(octet_length(encode(coalesce(html, ''))) AS VARCHAR) AS size FROM pages
+), versions AS (
+  SELECT n, 0 AS common, v, url, size, md5(hash || CAST(v AS VARCHAR)) AS digest, 'day ' || CAST((n + v) % 365 AS VARCHAR) AS date FROM p, range(3) AS t(v)
+  UNION ALL SELECT n, 1, 0, 'http://common.example/', size, md5('common' || CAST(n // 50 AS VARCHAR)), 'day ' || CAST(n // 50 AS VARCHAR) FROM p
+), tagged AS (
+  SELECT *, '"' || substr(digest, 1, 16) || '"' AS tag FROM versions
 ), r AS (
-  SELECT n * 2 AS id, url AS u, n AS t, '"' || substr(md5(html), 1, 16) || '"' AS tag, 'day ' || CAST(n % 365 AS VARCHAR) AS date,
-         CAST(octet_length(encode(html)) AS VARCHAR) AS size, md5(html) AS digest FROM p
+  SELECT CASE common WHEN 1 THEN n * 9 + 6 ELSE n * 9 + v END AS id, url AS u, CASE common WHEN 1 THEN n - n % 2 ELSE n + v * 3000 END AS t, tag, date, size, digest
+  FROM tagged WHERE common = 1 OR v <> 1 OR n % 4 <> 0
+), asks AS (
+  SELECT *, n * 9 + 3 + v AS id, url || '#again' AS u, n + v * 3000 + CASE n % 11 WHEN 0 THEN -1 WHEN 1 THEN 0 ELSE 1 + n % 7 END AS t, v = 2 AS final FROM tagged WHERE common = 0
+  UNION ALL SELECT t.*, n * 9 + 7 + i, url, n + i, i = 1 FROM tagged t, range(2) AS s(i) WHERE common = 1
 ), v AS (
-  SELECT n * 2 + 1 AS id, n, url || '#again' AS u, CASE WHEN n % 11 = 0 THEN n - 1 ELSE n + 1 + n % 7 END AS t,
-         CASE n % 5 WHEN 0 THEN '"other"' WHEN 1 THEN NULL WHEN 2 THEN 'W/"' || substr(md5(html), 1, 16) || '"' ELSE '"' || substr(md5(html), 1, 16) || '"' END AS tag,
-         CASE WHEN n % 5 = 1 THEN 'day ' || CAST(n % 365 AS VARCHAR) END AS date FROM p
+  SELECT id, n, u, t, CASE n % 5 WHEN 0 THEN '"other"' WHEN 1 THEN NULL WHEN 2 THEN 'W/' || tag WHEN 3 THEN CASE WHEN NOT final THEN tag END ELSE tag END AS tag,
+         CASE WHEN n % 5 = 1 THEN date END AS date FROM asks
 ), rc AS (
   SELECT *, {_CANONICAL} AS c FROM (SELECT *, regexp_extract(substr(u, length(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) + 1), '^([^#]*)', 1) AS rest FROM r)
 ), vc AS (
   SELECT *, {_CANONICAL} AS c FROM (SELECT *, regexp_extract(substr(u, length(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) + 1), '^([^#]*)', 1) AS rest FROM v)
+), newest AS (
+  SELECT * FROM rc QUALIFY row_number() OVER (PARTITION BY c, t ORDER BY id DESC) = 1
 ), m AS (
-  SELECT vc.id, vc.n, vc.c, vc.t, vc.tag, vc.date, rc.id AS rid, rc.tag AS rtag, rc.date AS rdate, rc.size, rc.digest
-  FROM vc LEFT JOIN rc ON rc.c = vc.c AND rc.t < vc.t
-  QUALIFY row_number() OVER (PARTITION BY vc.id, vc.n ORDER BY rc.t DESC NULLS LAST, rc.id DESC) = 1
+  SELECT vc.id, vc.n, vc.c, vc.t, vc.tag, vc.date, o.id AS rid, o.tag AS rtag, o.date AS rdate, o.size, o.digest
+  FROM vc ASOF LEFT JOIN newest o ON vc.c = o.c AND vc.t > o.t
 ), d AS (
   SELECT *, CASE WHEN rid IS NULL THEN 'orphan' WHEN tag IS NOT NULL THEN CASE WHEN replace(tag, 'W/', '') = rtag THEN 'resolved' ELSE 'changed' END
                  WHEN date IS NOT NULL THEN CASE WHEN date = rdate THEN 'resolved' ELSE 'changed' END ELSE 'unchecked' END AS verdict FROM m

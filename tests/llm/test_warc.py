@@ -1,4 +1,7 @@
-from tallyhouse.llm.warc import captures, op6_revisits, resolve
+import duckdb
+import pytest
+
+from tallyhouse.llm.warc import SQL, captures, op6_revisits, resolve
 
 RECORDS = "record_id long, url string, time long, kind string, status int, headers map<string,string>, digest string, extra string"
 
@@ -31,7 +34,41 @@ def test_odd_pages(spark, stored, tmp_path):
     pages = [(1, None, None), (None, "http://a.org", "x"), (2, "", ""), (2, "", ""), (3, "http://a.org/#q", None), (4, "http://a.org", "y")]
     stored(pages, "page_id long, url string, html string", "pages")
     rows = op6_revisits(spark, str(tmp_path)).collect()
-    assert len(rows) == len(pages) and {r.url for r in rows} == {None, "", "http://a.org/"}
+    assert len(rows) == 5 * len(pages) and {r.url for r in rows} == {None, "", "http://a.org/", "http://common.example/"}
     stored([], "page_id long, url string, html string", "pages")
     assert op6_revisits(spark, str(tmp_path)).collect() == []
     assert captures(spark.read.parquet(f"{tmp_path}/pages.parquet")).columns[0] == "record_id"
+
+
+def plain(records):
+    """The latest earlier full response of each revisit, by looking at all of its URL."""
+    out = {}
+    for r in records:
+        if r.kind == "revisit":
+            url = r.url.removesuffix("#again")
+            earlier = [(o.time, o.record_id) for o in records if o.kind == "response" and o.status == 200 and o.url == url and o.time < r.time]
+            out[r.record_id] = max(earlier)[1] if earlier else None
+    return out
+
+
+@pytest.mark.parametrize("cell", [4096, 64, 1])
+def test_latest_of_several_responses_across_cells_and_ties(spark, cell):
+    pages = spark.createDataFrame([(i, f"http://h{i % 7}.org/{i}", str(i)) for i in range(120)], "page_id long, url string, html string")
+    records = captures(pages).cache()
+    rows = records.collect()
+    assert sum(r.url == "http://common.example/" for r in rows) * 3 == len(rows)
+    got = resolve(records, cell=cell).collect()
+    assert {r.record_id: r.refers_to for r in got} == plain(rows) and len(got) == 600
+    assert {r.verdict for r in got} == {"resolved", "changed", "unchecked", "orphan"}
+    records.unpersist()
+
+
+def test_repeated_urls_compete_across_pages(spark, stored, tmp_path):
+    """Pages of one URL: their responses compete, in the SQL counterpart too."""
+    stored([(i, ["http://a.org/x", "http://A.org:80/x#f", "http://b.org", "http://www.a.org/x"][i % 4], f"v{i}") for i in range(3000, 3160)], "page_id long, url string, html string", "pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    columns = ["record_id", "url", "time", "refers_to", "verdict", "headers", "digest"]
+    mine = sorted((tuple(r) for r in op6_revisits(spark, str(tmp_path)).select(*columns).collect()), key=str)
+    theirs = sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({SQL['op6_revisits']})").fetchall(), key=str)
+    assert mine == theirs and len(mine) == 800
