@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.url_filter import alias_edges, host_and_path, judge, op3_url_filter
+from tallyhouse.llm.url_filter import address, alias_edges, decoded, host_and_path, judge, op3_url_filter
 
 PAGES = "page_id long, url string, html string"
 
@@ -61,3 +61,63 @@ def test_sql_follows_aliases_too(spark, stored, tmp_path):
     mine = sorted(tuple(r) for r in op3_url_filter(spark, str(tmp_path)).select(*columns).collect())
     assert mine == sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({SQL['op3_url_filter']})").fetchall())
     assert [r[-1] for r in mine] == ["block", "block", "block", "allow", "allow", "allow"]
+
+
+def test_addresses(spark):
+    cases = {
+        "http://H": "http://h/", "http://h?q=/../": "http://h/?q=/../", "HTTP://h/a/./b/../c?x#f": "http://h/a/c?x", "http://h/..": "http://h/", "http://h/a/..": "http://h/",
+        "http://h/a/b/.": "http://h/a/b/", "http://h/../../x": "http://h/x", "http://h/a//../b": "http://h/a/b", "http://h/a...b/.c/..d": "http://h/a...b/.c/..d", "no": None, None: None,
+    }
+    got = spark.createDataFrame([(u,) for u in cases], "u string").select("u", address(F.col("u")).alias("a")).collect()
+    assert {r.u: r.a for r in got} == cases
+
+
+def test_entities_are_decoded_once(spark):
+    import html
+
+    texts = ["a&amp;b", "&amp;lt;", "&#38;&#x26;&#X41;", "&quot;x&apos;&lt;&gt;", "&#128512;", "&#xD800;|&#x110000;|&#0;", "&amp", "plain", "", "&#252;"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decoded(F.col("t")).alias("d")).collect()
+    for r in got:
+        assert r.d == (r.t if r.t.startswith("&#xD") or r.t == "&amp" else html.unescape(r.t))
+    assert spark.createDataFrame([(None,)], "t string").select(decoded(F.col("t"))).first()[0] is None
+
+
+ALIASES = [
+    ("http://x.net/p/q?a=1", '<link rel="nofollow canonical" href="?page=2&amp;ref=x">', "http://x.net/p/q?page=2&ref=x"),
+    ("http://x.net/p/q", "<link href='../r/./s' rel='canonical shortlink'>", "http://x.net/r/s"),
+    ("http://x.net", "<link rel=canonical href=y>", "http://x.net/y"),
+    ("http://x.net?a", "<link rel=canonical href=y>", "http://x.net/y"),
+    ("http://x.net/a/b?c=d/e", "<link rel=canonical href=y>", "http://x.net/a/y"),
+    ("http://x.net/a", "<link rel=canonical/><link rel=canonical href='//Z.net?to=http://w.net/../'>", None),
+    ("http://x.net/b", "<link rel=canonical href='//Z.net?to=http://w.net/../'>", "http://z.net/?to=http://w.net/../"),
+    ("http://x.net/c", "<meta http-equiv=refresh content='0;url=/d&#x2f;e'>", "http://x.net/d/e"),
+    ("http://x.net/d", "<link rel='x-canonical' href='/n'><link data-rel=canonical href='/n'>", None),
+    ("http://x.net/e", "<link rel=canonical href='#top'>", None),
+    ("http://x.net/f", "<link rel=canonical href='mailto:a@b'>", None),
+    ("http://x.net", "<link rel=canonical href='http://x.net/'>", None),
+]
+
+
+def test_references_are_resolved_and_sql_agrees(spark, stored, tmp_path):
+    import duckdb
+
+    from tallyhouse.llm.url_filter import SQL
+
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(ALIASES)], PAGES)
+    assert sorted((r.a, r.b) for r in alias_edges(pages).collect()) == sorted((address_of(u), to) for u, _, to in ALIASES if to)
+    # each target is blocked through a page of its own, and the page that names it inherits that
+    rows = [(i, u, h) for i, (u, h, _) in enumerate(ALIASES)] + [(100 + i, to, f"<link rel=canonical href='http://example.org/es/{i}'>") for i, (_, _, to) in enumerate(ALIASES) if to]
+    stored(rows, PAGES, "pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    mine = sorted(tuple(r) for r in op3_url_filter(spark, str(tmp_path)).select(*columns).collect())
+    assert mine == sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({SQL['op3_url_filter']})").fetchall())
+    blocked = {r[0] for r in mine if r[-1] == "block"}
+    assert blocked >= {i for i, (_, _, to) in enumerate(ALIASES) if to} and not blocked & {5, 8, 9, 10}
+
+
+def address_of(url):
+    scheme, rest = url.split("://")
+    host, mark, query = rest.partition("?")
+    return f"{scheme}://{host if '/' in host else host + '/'}{mark}{query}"
