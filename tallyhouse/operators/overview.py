@@ -173,19 +173,68 @@ def shape_raw(df: DataFrame, keys: Sequence[str], person: str, dims: Sequence[st
     )
 
 
-def payload_sizes(shape: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Compact JSON size per key. Shapes with several rows per key are summed, not assembled."""
-    body = F.to_json(F.struct(*[c for c in shape.columns if c not in keys]))
-    return shape.groupBy(*keys).agg(
-        F.sum(F.octet_length(body)).cast("bigint").alias("size_bytes"), F.sum(F.length(body)).cast("bigint").alias("chars")
-    ).withColumn("shape", F.lit(name))
+def _by_category(rows: DataFrame, keys: Sequence[str], category: str, entry: Column) -> DataFrame:
+    """`categories` per key, each with its `questions` in order. `entry` begins with the question."""
+    per_category = rows.groupBy(*keys, category).agg(F.sort_array(F.collect_list(entry)).alias("questions"))
+    one = F.struct(F.col(category).alias("category"), "questions")
+    return per_category.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("categories"))
 
 
-def payload_report(shapes: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Size, token estimate (four characters each) and rating per shape and key."""
+def whole_documents(
+    df: DataFrame, scopes: DataFrame, keys: Sequence[str], question: str, category: str, measure: str, dims: Sequence[str], domain: Sequence = (1, 2, 3, 4, 5)
+) -> dict[str, DataFrame]:
+    """The four response documents, one row per key, each under the head of its scope.
+
+    `scopes` has a row per key with `team`, `project`, `period`, `response_count`, `response_rate` and
+    `benchmark`. Lists are as long as the questionnaire and the dimensions have values. Raw answers are
+    as many as a scope has people, so their document has an empty list, and `shape_raw` its members.
+    """
+    counts = lambda of: F.struct(*[of(v).alias(str(v)) for v in domain]).alias("distribution")
+    head = ["team", "project", "period"]
+    nested = shape_overview(df, keys, question, category, measure)
+    detail = F.struct(
+        F.col(question).alias("question"), F.col("mean_score").alias("mean"), "median", "std_dev", "p25", "p75", F.col("min_score").alias("min"), F.col("max_score").alias("max"),
+        counts(lambda v: F.element_at("distribution", F.lit(str(v)))), "favorable_pct", "unfavorable_pct",
+    )
+    detailed = _by_category(question_metrics(df, [*keys, category, question], measure, domain), keys, category, detail)
+    one = F.struct("dimension", "value", F.col("mean_score").alias("mean"), F.col("response_count").alias("count"), counts(lambda v: F.col(f"n_{v}")))
+    slices = dimension_slices(df, dims, [*keys, category, question], measure, domain).groupBy(*keys, category, question).agg(F.sort_array(F.collect_list(one)).alias("slices"))
+    crossed = _by_category(slices, keys, category, F.struct(F.col(question).alias("question"), "slices"))
+    under = lambda body, *more: scopes.join(body, list(keys)).select(*[F.col(k).alias(f"_{k}") for k in keys], *head, *more)
+    named = {
+        "A overview": under(nested, "overall_score", "response_count", "response_rate", "benchmark", "categories"),
+        "B detailed": under(detailed, "response_count", "categories"),
+        "C dimensional": under(crossed, "response_count", "categories"),
+        "D raw": scopes.select(*[F.col(k).alias(f"_{k}") for k in keys], *head, F.array().cast("array<string>").alias("responses")),
+    }
+    return named
+
+
+def payload_sizes(shape: DataFrame, keys: Sequence[str], name: str, members: DataFrame | None = None) -> DataFrame:
+    """Compact JSON size per key. Shapes with several rows per key are summed, not assembled.
+
+    `members` are the records of the shape's one list, which is empty there: their sizes and the commas
+    between them are summed per key, so no list of unbounded length is built.
+    """
+    def measured(df: DataFrame) -> DataFrame:
+        body = F.to_json(F.struct(*[c for c in df.columns if c not in keys]), {"ignoreNullFields": "false"})
+        return df.groupBy(*keys).agg(
+            F.sum(F.octet_length(body)).cast("bigint").alias("size_bytes"), F.sum(F.length(body)).cast("bigint").alias("chars"), F.count(F.lit(1)).alias("_n")
+        )
+
+    out = measured(shape)
+    if members is not None:
+        listed = measured(members).select(*keys, F.col("size_bytes").alias("_bytes"), F.col("chars").alias("_chars"), (F.col("_n") - 1).alias("_commas"))
+        added = lambda own, more: (F.col(own) + F.coalesce(F.col(more) + F.col("_commas"), F.lit(0))).alias(own)
+        out = out.join(listed, list(keys), "left").select(*keys, added("size_bytes", "_bytes"), added("chars", "_chars"))
+    return out.select(*keys, "size_bytes", "chars", F.lit(name).alias("shape"))
+
+
+def payload_report(shapes: Mapping[str, DataFrame], keys: Sequence[str], members: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Size, token estimate (four characters each) and rating per shape and key; `members` as in `payload_sizes`, by shape."""
     out = None
     for name, shape in shapes.items():
-        one = payload_sizes(shape, keys, name)
+        one = payload_sizes(shape, keys, name, (members or {}).get(name))
         out = one if out is None else out.unionByName(one)
     tokens = F.expr("chars div 4")
     rating = (

@@ -220,18 +220,59 @@ def shape_raw(spark, sf):
     return overview.shape_raw(survey(spark, sf), ["team_id"], "respondent_id", ["project"], "question_no", "score", range(1, 13))
 
 
-@query("payload_report")
+_DOC_KEYS = ["team_id", "project_id", "time_period"]
+_HEAD = "'team': team_name, 'project': project_id, 'period': time_period"
+_COUNTS = "{" + ", ".join(f"'{v}': COUNT(*) FILTER (score = {v})" for v in range(1, 6)) + "}"
+_SCOPE_SQL = "team_id, project_id, time_period"
+_ANSWERS = ", ".join(f"'q{q}': MAX(score) FILTER (question_no = {q})" for q in range(1, 13))
+_DOCUMENTS = f"""
+, p AS (SELECT *, project AS project_id, {_PERIOD} AS time_period FROM survey)
+, invited AS (SELECT c_nationkey AS team_id, c_mktsegment AS project_id, COUNT(*) AS invited FROM customer GROUP BY ALL)
+, bench AS (SELECT time_period, {pub('AVG(score)')} AS benchmark FROM p GROUP BY time_period)
+, scopes AS (SELECT {_SCOPE_SQL}, MAX(team_name) AS team_name, COUNT(DISTINCT respondent_id) AS people,
+       {pub('CAST(COUNT(DISTINCT respondent_id) AS DOUBLE) / MAX(invited)')} AS rate, MAX(benchmark) AS benchmark
+  FROM p JOIN invited USING (team_id, project_id) JOIN bench USING (time_period) GROUP BY {_SCOPE_SQL})
+, q AS (SELECT {_SCOPE_SQL}, category, question_no, {pub('AVG(score)')} AS m, {pub('STDDEV_POP(score)')} AS sd, LIST_SORT(LIST(score)) AS s, COUNT(*) AS n,
+       {_COUNTS} AS spread, {pub('100.0 * COUNT(*) FILTER (score >= 4) / COUNT(*)', 1)} AS up, {pub('100.0 * COUNT(*) FILTER (score <= 2) / COUNT(*)', 1)} AS down
+  FROM p GROUP BY {_SCOPE_SQL}, category, question_no)
+, ca AS (SELECT {_SCOPE_SQL}, category, {pub('AVG(m)')} AS m, COUNT(*) AS n, LIST({{'question': question_no, 'mean_score': m}}) AS qs,
+       LIST({{'question': question_no, 'mean': m, 'median': s[n // 2 + 1], 'std_dev': sd, 'p25': s[n // 4 + 1], 'p75': s[3 * n // 4 + 1], 'min': s[1], 'max': s[n],
+              'distribution': spread, 'favorable_pct': up, 'unfavorable_pct': down}}) AS ds FROM q GROUP BY {_SCOPE_SQL}, category)
+, a AS (SELECT {_SCOPE_SQL}, {pub('SUM(m * n) / SUM(n)')} AS overall, LIST({{'category': category, 'mean_score': m, 'questions': qs}}) AS cs, LIST({{'category': category, 'questions': ds}}) AS bs FROM ca GROUP BY {_SCOPE_SQL})
+, long AS (SELECT {_SCOPE_SQL}, category, question_no, score, 'location' AS dimension, location AS value FROM p UNION ALL SELECT {_SCOPE_SQL}, category, question_no, score, 'department', department FROM p)
+, sl AS (SELECT {_SCOPE_SQL}, category, question_no, {{'dimension': dimension, 'value': value, 'mean': {pub('AVG(score)')}, 'count': COUNT(score), 'distribution': {_COUNTS}}} AS slice
+  FROM long GROUP BY {_SCOPE_SQL}, category, question_no, dimension, value)
+, sq AS (SELECT {_SCOPE_SQL}, category, {{'question': question_no, 'slices': LIST(slice)}} AS one FROM sl GROUP BY {_SCOPE_SQL}, category, question_no)
+, sc AS (SELECT {_SCOPE_SQL}, {{'category': category, 'questions': LIST(one)}} AS one FROM sq GROUP BY {_SCOPE_SQL}, category)
+, c AS (SELECT {_SCOPE_SQL}, LIST(one) AS cs FROM sc GROUP BY {_SCOPE_SQL})
+, raw AS (SELECT {_SCOPE_SQL}, {{'respondent_id': respondent_id, 'location': location, {_ANSWERS}}} AS one FROM p GROUP BY {_SCOPE_SQL}, respondent_id, location)
+, d AS (SELECT {_SCOPE_SQL}, LIST(one) AS rs FROM raw GROUP BY {_SCOPE_SQL})
+, docs AS (
+  SELECT 'A overview' AS shape, {_SCOPE_SQL}, CAST(TO_JSON({{{_HEAD}, 'overall_score': overall, 'response_count': people, 'response_rate': rate, 'benchmark': benchmark, 'categories': cs}}) AS VARCHAR) AS doc FROM scopes JOIN a USING ({_SCOPE_SQL})
+  UNION ALL SELECT 'B detailed', {_SCOPE_SQL}, CAST(TO_JSON({{{_HEAD}, 'response_count': people, 'categories': bs}}) AS VARCHAR) FROM scopes JOIN a USING ({_SCOPE_SQL})
+  UNION ALL SELECT 'C dimensional', {_SCOPE_SQL}, CAST(TO_JSON({{{_HEAD}, 'response_count': people, 'categories': cs}}) AS VARCHAR) FROM scopes JOIN c USING ({_SCOPE_SQL})
+  UNION ALL SELECT 'D raw', {_SCOPE_SQL}, CAST(TO_JSON({{{_HEAD}, 'responses': rs}}) AS VARCHAR) FROM scopes JOIN d USING ({_SCOPE_SQL}))
+SELECT shape, {_SCOPE_SQL}, OCTET_LENGTH(ENCODE(doc)) AS size_bytes, LENGTH(doc) // 4 AS est_tokens,
+       CASE WHEN LENGTH(doc) // 4 < 1000 THEN 'Excellent' WHEN LENGTH(doc) // 4 < 3000 THEN 'Good' WHEN LENGTH(doc) // 4 < 15000 THEN 'Degrades' ELSE 'Poor' END AS rating FROM docs"""
+
+
+@query("payload_report", with_survey(_DOCUMENTS))
 def payload_report(spark, sf):
-    """JSON size, token estimate and rating of the four shapes per team."""
-    rows = materialize(survey(spark, sf), scratch_path(spark, "survey"))
-    team = ["team_id"]
-    shapes = {
-        "A overview": overview.shape_overview(rows, team, "question_no", "category", "score"),
-        "B detailed": overview.shape_detailed(rows, team, "question_no", "category", "score"),
-        "C dimensional": overview.shape_dimensional(rows, team, "question_no", "category", "score", ["project", "location"]),
-        "D raw": overview.shape_raw(rows, team, "respondent_id", ["project", "location"], "question_no", "score", range(1, 13)),
-    }
-    return overview.payload_report(shapes, team)
+    """JSON size, token estimate and rating of the four whole documents per team, project and period."""
+    period = F.concat(F.col("year").cast("string"), F.lit("-Q"), F.col("quarter").cast("string"))
+    rows = materialize(survey(spark, sf).withColumns({"project_id": F.col("project"), "time_period": period}), scratch_path(spark, "survey"))
+    people = rows.groupBy(*_DOC_KEYS).agg(F.max("team_name").alias("team"), F.countDistinct("respondent_id").alias("response_count"))
+    invited = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("team_id"), F.col("c_mktsegment").alias("project_id")).agg(F.count(F.lit(1)).alias("invited"))
+    bench = rows.groupBy("time_period").agg(publish(F.avg("score")).alias("benchmark"))
+    scopes = people.join(invited, ["team_id", "project_id"]).join(bench, "time_period").select(
+        *_DOC_KEYS, "team", F.col("project_id").alias("project"), F.col("time_period").alias("period"),
+        "response_count", publish(F.col("response_count") / F.col("invited")).alias("response_rate"), "benchmark",
+    )
+    documents = overview.whole_documents(rows, scopes, _DOC_KEYS, "question_no", "category", "score", ["location", "department"])
+    raw = overview.shape_raw(rows, _DOC_KEYS, "respondent_id", ["location"], "question_no", "score", range(1, 13))
+    keys = [f"_{k}" for k in _DOC_KEYS]
+    report = overview.payload_report(documents, keys, {"D raw": raw.withColumnsRenamed(dict(zip(_DOC_KEYS, keys, strict=True)))})
+    return report.withColumnsRenamed(dict(zip(keys, _DOC_KEYS, strict=True)))
 
 
 # ---- cache and tiers --------------------------------------------------------

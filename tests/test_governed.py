@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -82,6 +83,29 @@ def test_shapes_grow_and_are_rated(answers):
     assert [q.question for q in shapes["B"].first().questions] == ["Q01", "Q02", "Q03", "Q04"]
 
 
+def test_whole_documents_carry_their_scope(spark, answers):
+    scopes = spark.createDataFrame([("t1", "Team é", "P", "2025-Q2", 40, 0.5, 3.1)], "team string, name string, project string, period string, response_count int, response_rate double, benchmark double")
+    rows = answers.withColumnRenamed("team", "id")
+    scopes = scopes.withColumnRenamed("team", "id").withColumnRenamed("name", "team")
+    docs = overview.whole_documents(rows, scopes, ["id"], "q", "cat", "s", ["city"])
+    heads = {name[0]: [c for c in d.columns if c != "_id"] for name, d in docs.items()}
+    assert heads["A"] == ["team", "project", "period", "overall_score", "response_count", "response_rate", "benchmark", "categories"]
+    assert heads["B"] == heads["C"] == ["team", "project", "period", "response_count", "categories"]
+    assert heads["D"] == ["team", "project", "period", "responses"]
+    b = docs["B detailed"].first()
+    assert [(c.category, [q.question for q in c.questions]) for c in b.categories] == [("Basic Needs", ["Q01", "Q02"]), ("Growth", ["Q03", "Q04"])]
+    c = docs["C dimensional"].first().categories[0].questions[0]
+    assert [(x.dimension, x.value) for x in c.slices] == [("city", "LA"), ("city", "NY")] and sum(x["count"] for x in c.slices) == 40
+
+    raw = overview.shape_raw(rows, ["id"], "person", ["city"], "q", "s", ["Q01", "Q02"]).withColumnRenamed("id", "_id")
+    report = {r["shape"]: r for r in overview.payload_report(docs, ["_id"], {"D raw": raw}).collect()}
+    members = [r.asDict() for r in raw.drop("_id").collect()]
+    whole = json.dumps({"team": "Team é", "project": "P", "period": "2025-Q2", "responses": members}, separators=(",", ":"), ensure_ascii=False)
+    assert report["D raw"].size_bytes == len(whole.encode()) == len(whole) + 1 and report["D raw"].est_tokens == len(whole) // 4
+    a = docs["A overview"].drop("_id").first().asDict(recursive=True)
+    assert report["A overview"].size_bytes == len(json.dumps(a, separators=(",", ":"), ensure_ascii=False).encode())
+
+
 def replay(log, ttl):
     """Plain replay of one cache: (id, key, seconds) in time order."""
     loaded, out = {}, {}
