@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.session import bounded_tasks
 from tallyhouse.sources.schemas import TABLES
 
 CATEGORIES = ("Basic Needs", "Individual", "Teamwork", "Growth")
@@ -61,6 +62,7 @@ def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survey view. Dimensions are joined to each other first, so the fact moves only twice."""
+    bounded_tasks(spark)
     orders = table(spark, sf_dir, "orders")
     people = respondents(spark, sf_dir)
     sessions = orders.join(people, orders.o_custkey == people.respondent_id).select(

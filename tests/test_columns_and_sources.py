@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyhouse import session
 from tallyhouse.functions import columns as c
 from tallyhouse.sources import files, published, schemas
+from tallyhouse.sources import survey as survey_view
 from tallyhouse.sources.generate import generate_facts
 
 
@@ -153,3 +154,20 @@ def test_generated_facts_cover_all_cells_and_repeat(spark):
     bounds = facts.agg(F.min("score"), F.max("score")).first()
     assert bounds[0] >= 1.0 and bounds[1] <= 5.0
     assert facts.exceptAll(make()).isEmpty()
+
+
+def test_tasks_after_the_survey_joins_read_a_bounded_share(spark, tmp_path):
+    for name in ("customer", "orders", "lineitem", "part", "nation", "region"):
+        spark.createDataFrame([], schemas.TABLES[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    target = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    own = spark.newSession()
+    survey_view.survey(own, str(tmp_path))
+    assert int(own.conf.get(target).rstrip("b")) <= 16 << 20
+    own.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    own.conf.set("spark.sql.shuffle.partitions", "40")
+    wide = own.range(600_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("a"))  # 50 MB shuffled
+    assert wide.groupBy("a").agg(F.max("id").alias("m")).select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    chosen = spark.newSession()
+    chosen.conf.set(target, "96m")
+    survey_view.survey(chosen, str(tmp_path))
+    assert chosen.conf.get(target) == "96m"
