@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import access, privacy
+from tallyhouse.plans import all_queries
+from tallyhouse.sources import schemas
 
 ROLES = ["analyst_role"]
 
@@ -68,6 +70,15 @@ def test_generalisation_climbs_until_the_group_is_large_enough(staff, rows):
     assert rows(nothing, "team", "published_level", "mean_score") == [("A", None, None), ("B", None, None), ("C", None, None)]
 
 
+@pytest.mark.parametrize("name", ["suppressed_cuts", "generalize", "build_star"])
+def test_cells_per_person_are_made_in_bounded_tasks(spark, tmp_path, name):
+    for table in ("customer", "orders", "lineitem", "part", "nation", "region"):
+        spark.createDataFrame([], schemas.TABLES[table]).write.parquet(str(tmp_path / f"{table}.parquet"))
+    own = spark.newSession()
+    assert all_queries()[name](own, str(tmp_path)).isEmpty()
+    assert int(own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").rstrip("b")) <= 16 << 20
+
+
 def adjacent(spark, groups, mode, k=4):
     df = spark.createDataFrame(groups, "dep string, team string, n int").withColumn("m", F.lit(1.0))
     out = privacy.suppress_adjacent(df, ["dep"], ["team"], "n", ["m"], mode, k)
