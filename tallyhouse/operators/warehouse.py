@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.joins import flatten_chain
 from tallyhouse.operators.spread import dense_index, null_safe_join
+from tallyhouse.session import pin_step
 
 
 @dataclass(frozen=True)
@@ -33,11 +34,12 @@ def assign_keys(incoming: DataFrame, natural_key: Sequence[str], key: str, exist
 def build_star(flat: DataFrame, dim_specs: Mapping[str, Sequence[str]], keep: Sequence[str]) -> Star:
     """Split flat rows into dimensions with surrogate keys and a fact that refers to them.
 
-    `dim_specs` maps a key column to the dimension's attributes, natural key first.
+    `dim_specs` maps a key column to the dimension's attributes, natural key first. Dimensions are stored, so that
+    the planner knows how small they are: a shuffled join would deal the fact by a few values of their attributes.
     """
     dims, fact = {}, flat
     for key, attrs in dim_specs.items():
-        dims[key] = assign_keys(flat.select(*attrs).distinct(), attrs, key)
+        dims[key] = pin_step(assign_keys(flat.select(*attrs).distinct(), attrs, key))
         fact = null_safe_join(fact, dims[key], attrs)
     return Star(fact.select(*dim_specs, *keep), dims)
 
@@ -52,7 +54,7 @@ def normalize_dim(dim: DataFrame, levels: Sequence[tuple[str, Sequence[str]]]) -
     for i in range(len(levels) - 1, 0, -1):
         key, attrs = levels[i]
         columns = [*attrs, *([parent_key] if parent_key else [])]
-        table = assign_keys(current.select(*columns).distinct(), columns, key)
+        table = pin_step(assign_keys(current.select(*columns).distinct(), columns, key))
         chain.insert(0, (table, parent_key))
         current = null_safe_join(current, table, columns).drop(*columns)
         parent_key = key

@@ -181,6 +181,16 @@ def test_star_keys_and_snowflake_round_trip(spark, rows):
     assert rows(up) == [("Biz", 5.0), ("Tech", 3.0)]
 
 
+def test_star_does_not_deal_the_fact_by_its_few_dimension_members(spark):
+    flat = spark.createDataFrame([(f"t{i % 3}", i % 2, i) for i in range(60)], "team string, year int, score int")
+    star = warehouse.build_star(flat, {"team_key": ["team"], "year_key": ["year"]}, ["score"])
+    plan = star.fact._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert star.fact.count() == 60 and star.dims["team_key"].count() == 3
+    chain = warehouse.normalize_dim(flat, [("score", ["team"]), ("year_key", ["year"])])
+    assert "SortMergeJoin" not in chain[0][0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_new_members_continue_after_the_largest_key(spark, rows):
     old = spark.createDataFrame([("b", 7), ("c", 3)], "name string, k bigint")
     got = warehouse.assign_keys(spark.createDataFrame([("b",), ("a",), ("z",)], "name string"), ["name"], "k", old)
