@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.session import bounded_tasks
+from tallyhouse.session import bounded_tasks, stored_size
 from tallyhouse.sources.schemas import TABLES
 
 CATEGORIES = ("Basic Needs", "Individual", "Teamwork", "Growth")
@@ -62,7 +62,8 @@ def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survey view. Dimensions are joined to each other first, so the fact moves only twice."""
-    bounded_tasks(spark)
+    lines = table(spark, sf_dir, "lineitem")
+    bounded_tasks(spark, stored_size(lines))
     orders = table(spark, sf_dir, "orders")
     people = respondents(spark, sf_dir)
     sessions = orders.join(people, orders.o_custkey == people.respondent_id).select(
@@ -78,9 +79,7 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.quarter("o_orderdate").alias("quarter"),
     )
     items = question_items(spark, sf_dir)
-    answers = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"
-    )
+    answers = lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     quantity = F.col("l_quantity").cast("int")
     return (
         answers.join(items, answers.l_partkey == items.p_partkey)

@@ -171,3 +171,27 @@ def test_tasks_after_the_survey_joins_read_a_bounded_share(spark, tmp_path):
     chosen.conf.set(target, "96m")
     survey_view.survey(chosen, str(tmp_path))
     assert chosen.conf.get(target) == "96m"
+
+
+def test_partitions_before_merging_follow_the_stored_answers(spark, tmp_path):
+    assert [session.initial_partitions(n << 20) for n in (0, 7, 700, 6400)] == [0, 2, 175, 400]
+    assert session.initial_partitions(1 << 50) == session.shuffle_partitions(1 << 50)
+    for name in ("customer", "orders", "part", "nation", "region"):
+        spark.createDataFrame([], schemas.TABLES[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    answers = spark.range(500_000).select(*[F.rand(i).alias(c) for i, c in enumerate(("l_quantity", "l_extendedprice", "l_discount", "l_tax"))])
+    answers.write.parquet(str(tmp_path / "lineitem.parquet"))  # 16 MB
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    few, chosen = spark.newSession(), spark.newSession()
+    for own in (few, chosen):
+        own.conf.set("spark.sql.shuffle.partitions", "2")
+    chosen.conf.set(number, "3")
+    for own in (few, chosen, few):
+        survey_view.survey(own, str(tmp_path))
+    raised = session.initial_partitions(session.stored_size(survey_view.table(few, str(tmp_path), "lineitem")))
+    assert raised > 3 and few.conf.get(number) == str(raised) and chosen.conf.get(number) == "3"
+    few.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1b")
+    few.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
+    dealt = few.range(10_000).groupBy("id").count().select(F.spark_partition_id().alias("p")).distinct().count()
+    assert dealt == raised
+    session.bounded_tasks(few, 6400 << 20)
+    assert few.conf.get(number) == "400" and few.conf.get("spark.sql.files.maxPartitionBytes") == f"{32 << 20}b"
