@@ -195,3 +195,6 @@ def test_partitions_before_merging_follow_the_stored_answers(spark, tmp_path):
     assert dealt == raised
     session.bounded_tasks(few, 6400 << 20)
     assert few.conf.get(number) == "400" and few.conf.get("spark.sql.files.maxPartitionBytes") == f"{32 << 20}b"
+    few.conf.set("spark.sql.shuffle.partitions", "600")
+    survey_view.survey(few, str(tmp_path))
+    assert few.conf.get(number, None) is None
