@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 
 from tallyhouse.llm.passages import drop_repeated_words, op9_passages, repeated_words, word_bounds, word_hashes
-from tallyhouse.llm.repeats import Rolling, least, runs_of
-from tallyhouse.llm.suffix_dedup import op8_suffix_dedup, repeated_bytes, suffix_array
+from tallyhouse.llm.repeats import Rolling, least, runs_of, runs_table
+from tallyhouse.llm.suffix_dedup import _symbols, op8_suffix_dedup, repeated_bytes, suffix_array
 
 
 def gone(texts, width):
@@ -138,3 +138,29 @@ def test_odd_rows(spark, odd_docs):
 
 def test_empty_table(spark, no_docs):
     assert op8_suffix_dedup(spark, no_docs).collect() == [] and op9_passages(spark, no_docs).collect() == []
+
+
+def test_runs_of_a_common_anchor_are_not_one_task(spark, stored):
+    """Each task writes a file of runs; one passage in every document gives one anchor most of them."""
+    conf = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.maxPartitionBytes": "4k",
+        "spark.sql.files.openCostInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    passage = "".join(random.Random(3).choices("abcdefgh", k=80))
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        docs = stored([(i, f"{passage} {i}") for i in range(400)], "_row long, text string", files=8)
+        runs = runs_table(docs, "text", _symbols, 60, 8)
+        of = runs.groupBy("anchor", runs.metadataColumn("_metadata")["file_path"].alias("file")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert {r.anchor for r in of} == {of[0].anchor} and sum(r["count"] for r in of) == 400
+    assert max(r["count"] for r in of) <= 200
